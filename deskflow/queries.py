@@ -72,3 +72,49 @@ def q_ticket_extract(spark, sf_dir):
 @register("incident_extract")
 def q_incident_extract(spark, sf_dir):
     return incident_extract(_wh(spark, sf_dir))
+
+
+# --------------------------------------------------------------- analysis
+from deskflow.plans import analysis  # noqa: E402
+
+
+def _te(spark, sf_dir):
+    return ticket_extract(_wh(spark, sf_dir))
+
+
+def _ie(spark, sf_dir):
+    return incident_extract(_wh(spark, sf_dir))
+
+
+for _name, _fn, _src in [
+    ("tickets_by_month", analysis.tickets_by_month, _te),
+    ("monthly_peaks", analysis.monthly_peaks, _te),
+    ("tickets_by_region_type", analysis.tickets_by_region_type, _te),
+    ("tickets_by_client", analysis.tickets_by_client, _te),
+    ("top_clients_by_volume", analysis.top_clients_by_volume, _te),
+    ("tickets_by_priority", analysis.tickets_by_priority, _te),
+    ("day_hour_heatmap", analysis.day_hour_heatmap, _te),
+    ("incidents_by_region_type", analysis.incidents_by_region_type, _ie),
+    ("mttr_by_region_type", analysis.mttr_by_region_type, _ie),
+    ("incident_region_detail", analysis.incident_region_detail, _ie),
+    ("mttr_box_stats", analysis.mttr_box_stats, _ie),
+    ("rework_overall", analysis.rework_overall, _ie),
+    ("rework_by_client", analysis.rework_by_client, _ie),
+    ("top_clients_by_rework", analysis.top_clients_by_rework, _ie),
+    ("rework_by_region_type", analysis.rework_by_region_type, _ie),
+    ("reassign_impact", analysis.reassign_impact, _ie),
+    ("reassign_step", analysis.reassign_step, _ie),
+    ("corr_tickets", analysis.corr_tickets, _te),
+    ("corr_incidents", analysis.corr_incidents, _ie),
+    ("mttr_by_priority", analysis.mttr_by_priority, _ie),
+    ("ticket_summary", analysis.ticket_summary, _te),
+    ("incident_summary", analysis.incident_summary, _ie),
+    ("csat_distribution", analysis.csat_distribution, _te),
+]:
+    REGISTRY[_name] = (lambda fn, src: lambda spark, sf_dir: fn(src(spark, sf_dir)))(_fn, _src)
+
+
+@register("insights")
+def q_insights(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return analysis.insights(ticket_extract(w), incident_extract(w), HOME_COUNTRY)

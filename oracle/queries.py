@@ -133,3 +133,157 @@ left join (select client_id, count(*) as incident_count,
 
 Q["ticket_extract"] = TICKET_EXTRACT
 Q["incident_extract"] = INCIDENT_EXTRACT
+
+# ------------------------------------------------------------------ analysis
+TE = f"te as ({TICKET_EXTRACT})"
+IE = f"ie as ({INCIDENT_EXTRACT})"
+
+
+def _share(n: str, total_sql: str) -> str:
+    return f"cast({n} as double) * 100 / nullif(cast(({total_sql}) as double), 0)"
+
+
+Q["tickets_by_month"] = f"""with {TE}
+select year_month, count(*) as ticket_count from te where year_month is not null group by year_month"""
+
+Q["monthly_peaks"] = f"""with {TE}, m as (select year_month, count(*) as n from te where year_month is not null group by year_month)
+select avg(n) as avg_monthly_tickets, first(year_month order by n desc, year_month) as peak_month, max(n) as peak_tickets,
+  first(year_month order by n, year_month) as low_month, min(n) as low_tickets from m"""
+
+
+def _value_counts(src: str, key: str, count_name: str, share: bool = True) -> str:
+    share_sql = f", {_share('count(*)', f'select count(*) from {src}')} as share_pct" if share else ""
+    return f"select {key}, count(*) as {count_name}{share_sql} from {src} where {key} is not null group by {key}"
+
+
+Q["tickets_by_region_type"] = f"with {TE} " + _value_counts("te", "region_type", "ticket_count")
+Q["tickets_by_client"] = f"with {TE} " + _value_counts("te", "client_name", "ticket_count", share=False)
+Q["top_clients_by_volume"] = f"""with {TE}, c as ({_value_counts('te', 'client_name', 'ticket_count', share=False)})
+select * from c order by ticket_count desc, client_name limit 3"""
+Q["tickets_by_priority"] = f"with {TE} " + _value_counts("te", "priority_name", "ticket_count")
+
+_DAYS = ",".join(f"('{d}', {i + 1})" for i, d in enumerate(
+    ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]))
+Q["day_hour_heatmap"] = f"""with {TE},
+days as (select * from (values {_DAYS}) d(day_of_week, day_order)),
+p as (select day_of_week, {', '.join(f'count(*) filter (where hour_of_day = {h}) as h{h:02d}' for h in range(24))}
+      from te group by day_of_week)
+select d.day_of_week, d.day_order, {', '.join(f'coalesce(p.h{h:02d}, 0) as h{h:02d}' for h in range(24))}
+from days d left join p on d.day_of_week = p.day_of_week"""
+
+Q["incidents_by_region_type"] = f"with {IE} " + _value_counts("ie", "region_type", "incident_count")
+Q["mttr_by_region_type"] = f"""with {IE}
+select region_type, avg(resolution_hours) as avg_resolution_hours from ie where region_type is not null group by region_type"""
+Q["incident_region_detail"] = f"""with {IE}
+select region_name, count(incident_id) as incident_count,
+  {_round_even('avg(resolution_hours)')} as avg_resolution_hours,
+  {_round_even('avg(reassignment_count)')} as avg_reassignments,
+  {_round_even('avg(reopen_count)')} as avg_reopens
+from ie where region_name is not null group by region_name"""
+
+Q["mttr_box_stats"] = f"""with {IE},
+k as (select region_type, cast(resolution_hours as double) as v from ie where resolution_hours < 100 and region_type is not null),
+q as (select region_type, count(v) as n, quantile_cont(v, 0.25) as q1, quantile_cont(v, 0.5) as median,
+        quantile_cont(v, 0.75) as q3 from k group by region_type),
+f as (select *, q3 - q1 as iqr, q1 - 1.5 * (q3 - q1) as lower_fence, q3 + 1.5 * (q3 - q1) as upper_fence from q)
+select f.region_type, f.n, f.q1, f.median, f.q3, f.iqr, f.lower_fence, f.upper_fence,
+  min(case when k.v >= f.lower_fence then k.v end) as whisker_low,
+  max(case when k.v <= f.upper_fence then k.v end) as whisker_high,
+  count(*) filter (where k.v < f.lower_fence or k.v > f.upper_fence) as outliers
+from f join k on f.region_type = k.region_type
+group by f.region_type, f.n, f.q1, f.median, f.q3, f.iqr, f.lower_fence, f.upper_fence"""
+
+Q["rework_overall"] = f"""with {IE}
+select avg(reassignment_count) as avg_reassignments,
+  count(*) filter (where reassignment_count > 0) as reassigned_incidents,
+  cast(count(*) filter (where reassignment_count > 0) as double) * 100 / cast(count(*) as double) as reassigned_pct,
+  avg(reopen_count) as avg_reopens,
+  count(*) filter (where reopen_count > 0) as reopened_incidents,
+  cast(count(*) filter (where reopen_count > 0) as double) * 100 / cast(count(*) as double) as reopened_pct
+from ie"""
+
+REWORK_BY_CLIENT = f"""select client_name, count(incident_id) as incident_count,
+  {_round_even('avg(reassignment_count)')} as avg_reassignments, {_round_even('avg(reopen_count)')} as avg_reopens
+from ie where client_name is not null group by client_name"""
+Q["rework_by_client"] = f"with {IE} " + REWORK_BY_CLIENT
+Q["top_clients_by_rework"] = f"""with {IE}, r as ({REWORK_BY_CLIENT})
+select * from r order by avg_reassignments desc, client_name limit 3"""
+Q["rework_by_region_type"] = f"""with {IE}
+select region_type, avg(reassignment_count) as avg_reassignments, avg(reopen_count) as avg_reopens
+from ie where region_type is not null group by region_type"""
+
+REASSIGN_IMPACT = """select bins.reassign_bin, bins.bin_order, a.mean_hours, a.median_hours,
+  coalesce(a.incident_count, 0) as incident_count
+from (select * from (values ('0', 0), ('1', 1), ('2', 2), ('3', 3), ('4+', 4)) t(reassign_bin, bin_order)) bins
+left join (
+  select reassign_bin, avg(resolution_hours) as mean_hours,
+    quantile_cont(cast(resolution_hours as double), 0.5) as median_hours, count(resolution_hours) as incident_count
+  from (select case when reassignment_count > -1 and reassignment_count <= 0 then '0'
+                    when reassignment_count > 0 and reassignment_count <= 1 then '1'
+                    when reassignment_count > 1 and reassignment_count <= 2 then '2'
+                    when reassignment_count > 2 and reassignment_count <= 3 then '3'
+                    when reassignment_count > 3 and reassignment_count <= 100 then '4+' end as reassign_bin,
+               resolution_hours from ie) b
+  where reassign_bin is not null group by reassign_bin) a on bins.reassign_bin = a.reassign_bin"""
+Q["reassign_impact"] = f"with {IE} " + REASSIGN_IMPACT
+STEP = f"""select avg(d) as hours_per_reassignment
+from (select mean_hours - lag(mean_hours) over (order by bin_order) as d from ({REASSIGN_IMPACT}) ri) x"""
+Q["reassign_step"] = f"with {IE} " + STEP
+
+
+def _corr(src: str, cols: list[str]) -> str:
+    parts = []
+    for a in cols:
+        for b in cols:
+            both = f"{a} is not null and {b} is not null"
+            parts.append(
+                f"select '{a}' as x_col, '{b}' as y_col, round(covar_pop({a}, {b}) filter (where {both}) / "
+                f"nullif(stddev_pop({a}) filter (where {both}) * stddev_pop({b}) filter (where {both}), 0), 6) as r from {src}")
+    return "\nunion all ".join(parts)
+
+
+Q["corr_tickets"] = f"with {TE} " + _corr("te", ["resolution_hours", "response_hours", "agent_interactions"])
+Q["corr_incidents"] = f"with {IE} " + _corr("ie", ["resolution_hours", "reassignment_count", "reopen_count"])
+Q["mttr_by_priority"] = f"""with {IE}
+select priority_name, {_round_even('avg(resolution_hours)')} as mean_hours,
+  {_round_even('quantile_cont(cast(resolution_hours as double), 0.5)')} as median_hours,
+  count(resolution_hours) as incident_count
+from ie where priority_name is not null group by priority_name"""
+
+Q["ticket_summary"] = f"""with {TE}
+select count(*) as total_tickets, avg(resolution_hours) as avg_resolution_hours,
+  quantile_cont(cast(resolution_hours as double), 0.5) as median_resolution_hours,
+  cast(count(*) filter (where sla_status = 'Met') as double) * 100 / cast(count(*) as double) as sla_compliance_pct
+from te"""
+Q["incident_summary"] = f"""with {IE}
+select count(*) as total_incidents, avg(resolution_hours) as avg_resolution_hours,
+  quantile_cont(cast(resolution_hours as double), 0.5) as median_resolution_hours,
+  avg(cast(made_sla as double)) * 100 as sla_compliance_pct,
+  avg(reassignment_count) as avg_reassignments, avg(reopen_count) as avg_reopens
+from ie"""
+Q["csat_distribution"] = f"""with {TE}, p as (select * from te where survey_results is not null)
+select survey_results, round_even(cast(count(*) as double) / cast((select count(*) from p) as double) * 100 * 10, 0) / 10 as pct
+from p group by survey_results"""
+
+Q["insights"] = f"""with {TE}, {IE},
+t as (select {_share("count(*) filter (where region_type = '" + HOME + "')", 'select count(*) from te')} as home_share,
+             {_share("count(*) filter (where region_type = 'International')", 'select count(*) from te')} as intl_share,
+             {_share("count(*) filter (where priority_name = 'Medium')", 'select count(*) from te')} as medium_share from te),
+i as (select coalesce(avg(case when region_type = 'International' then resolution_hours end), 0)
+           - coalesce(avg(case when region_type = '{HOME}' then resolution_hours end), 0) as gap,
+         {_round_even("avg(case when priority_name = 'Critical' then resolution_hours end)")} as critical,
+         cast(count(*) filter (where reopen_count > 0) as double) * 100 / cast(count(*) as double) as reopen_rate,
+         avg(case when region_type = 'International' then reassignment_count end) as intl_re,
+         avg(case when region_type = '{HOME}' then reassignment_count end) as home_re from ie),
+top as (select * from ({REWORK_BY_CLIENT}) r order by avg_reassignments desc, client_name limit 1),
+step as ({STEP})
+select 'home_ticket_share_pct' as metric, cast(null as varchar) as label, home_share as value from t
+union all select 'international_ticket_share_pct', null, intl_share from t
+union all select 'medium_ticket_share_pct', null, medium_share from t
+union all select 'mttr_gap_hours', null, gap from i
+union all select 'hours_per_reassignment', null, hours_per_reassignment from step
+union all select 'top_rework_client', client_name, avg_reassignments from top
+union all select 'critical_mttr_hours', null, critical from i
+union all select 'reopen_rate_pct', null, reopen_rate from i
+union all select 'focus_region', case when intl_re is null or home_re is null then null
+                                      when intl_re > home_re then 'International' else '{HOME}' end, null from i"""

@@ -118,3 +118,140 @@ for _name, _fn, _src in [
 def q_insights(spark, sf_dir):
     w = _wh(spark, sf_dir)
     return analysis.insights(ticket_extract(w), incident_extract(w), HOME_COUNTRY)
+
+
+# ------------------------------------------------------------ cleaning, load
+from deskflow.plans import etl  # noqa: E402
+
+
+@register("rename_map")
+def q_rename_map(spark, sf_dir):
+    return etl.rename_ticket_columns(_wh(spark, sf_dir).raw_ticket)
+
+
+@register("ticket_priority_rules")
+def q_ticket_priority_rules(spark, sf_dir):
+    return etl.ticket_priority_rules(_wh(spark, sf_dir).raw_ticket)
+
+
+@register("synthetic_fill")
+def q_synthetic_fill(spark, sf_dir):
+    return etl.synthetic_fill(_wh(spark, sf_dir).raw_ticket)
+
+
+@register("surrogate_key")
+def q_surrogate_key(spark, sf_dir):
+    return etl.surrogate_key(_wh(spark, sf_dir).raw_ticket)
+
+
+@register("ticket_transform")
+def q_ticket_transform(spark, sf_dir):
+    return etl.ticket_transform(_wh(spark, sf_dir).raw_ticket)
+
+
+@register("default_columns")
+def q_default_columns(spark, sf_dir):
+    return etl.default_columns(_wh(spark, sf_dir).raw_ticket)
+
+
+@register("agent_lookup")
+def q_agent_lookup(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return etl.agent_lookup(w.raw_ticket, w.dim_agent)
+
+
+@register("load_fact_ticket")
+def q_load_fact_ticket(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return etl.load_fact_ticket(w.raw_ticket, w.dims())[0]
+
+
+@register("fk_rejects")
+def q_fk_rejects(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return etl.fk_rejects(w.batch_ticket, w.dim_client, w.dim_site)
+
+
+@register("pk_dedupe")
+def q_pk_dedupe(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return etl.pk_dedupe(w.batch_ticket, w.fact_ticket)
+
+
+@register("incident_clean")
+def q_incident_clean(spark, sf_dir):
+    return etl.incident_clean(_wh(spark, sf_dir).raw_incident)
+
+
+@register("incident_priority_rules")
+def q_incident_priority_rules(spark, sf_dir):
+    return etl.incident_priority_rules(_wh(spark, sf_dir).raw_incident)
+
+
+@register("incident_rejects")
+def q_incident_rejects(spark, sf_dir):
+    return etl.incident_rejects(_wh(spark, sf_dir).raw_incident)
+
+
+@register("incident_impute")
+def q_incident_impute(spark, sf_dir):
+    return etl.incident_impute(_wh(spark, sf_dir).fact_incident)
+
+
+@register("load_fact_incident")
+def q_load_fact_incident(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return etl.load_fact_incident(w.raw_incident, w.dims())[0]
+
+
+@register("metrics_clean")
+def q_metrics_clean(spark, sf_dir):
+    return etl.metrics_clean(_wh(spark, sf_dir).raw_metrics)
+
+
+@register("metrics_rejects")
+def q_metrics_rejects(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return etl.metrics_rejects(w.raw_metrics, w.dim_site)
+
+
+@register("load_fact_metrics")
+def q_load_fact_metrics(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return etl.load_fact_metrics(w.raw_metrics, w.dim_site)[0]
+
+
+@register("stage_support")
+def q_stage_support(spark, sf_dir):
+    return etl.stage_support(_wh(spark, sf_dir).raw_support)
+
+
+@register("lifecycle_times")
+def q_lifecycle_times(spark, sf_dir):
+    return etl.lifecycle_times(_wh(spark, sf_dir).fact_ticket)
+
+
+@register("dim_time")
+def q_dim_time(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    w = _wh(spark, sf_dir)
+    return etl.dim_time(F.col("created_at"), F.col("opened_at"), frames=[w.fact_ticket, w.fact_incident])
+
+
+@register("schema_intersect")
+def q_schema_intersect(spark, sf_dir):
+    from deskflow import schemas
+
+    dim = _wh(spark, sf_dir).dim_client
+    return dim.select([c for c in dim.columns if c in schemas.DIM_CLIENT_DDL.names])
+
+
+@register("table_counts")
+def q_table_counts(spark, sf_dir):
+    from deskflow.operators.profile import table_counts
+
+    w = _wh(spark, sf_dir)
+    tables = {**{n: w.dims()[n] for n in ["dim_client", "dim_site", "dim_agent", "dim_priority", "dim_region"]},
+              **w.facts(), "stg_it_support": w.raw_support, "stg_tech_support": w.raw_tech_support}
+    return table_counts(tables)

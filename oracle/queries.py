@@ -287,3 +287,182 @@ union all select 'critical_mttr_hours', null, critical from i
 union all select 'reopen_rate_pct', null, reopen_rate from i
 union all select 'focus_region', case when intl_re is null or home_re is null then null
                                       when intl_re > home_re then 'International' else '{HOME}' end, null from i"""
+
+# ------------------------------------------------------------- cleaning, load
+AS_OF = "timestamp '2024-06-30 00:00:00'"
+
+
+def _mix(key: str, lo: int, hi: int, salt: int) -> str:
+    m = hi - lo
+    return f"cast({lo} + ((({key}) * 7919 + {salt}) % {m} + {m}) % {m} as int)"
+
+
+def _lifecycle(key: str) -> dict[str, str]:
+    days, resp = _mix(key, 1, 180, 11), _mix(key, 5, 120, 23)
+    hours, close = _mix(key, 1, 72, 37), _mix(key, 5, 60, 41)
+    created = f"({AS_OF} - {days} * interval '1 day')"
+    first = f"({created} + {resp} * interval '1 minute')"
+    resolved = f"({first} + {hours} * interval '1 hour')"
+    return {"days_ago": days, "response_minutes": resp, "resolve_hours": hours, "close_minutes": close,
+            "agent_interactions": _mix(key, 1, 10, 53), "created_at": created, "first_response_at": first,
+            "resolved_at": resolved, "closed_at": f"({resolved} + {close} * interval '1 minute')"}
+
+
+TICKET_PRIORITY_CASE = """case priority when '1' then 'Critical' when '2' then 'High' when '3' then 'Medium' when '4' then 'Low'
+  when 'Critical' then 'Critical' when 'High' then 'High' when 'Medium' then 'Medium' when 'Low' then 'Low'
+  when 'P1' then 'Critical' when 'P2' then 'High' when 'P3' then 'Medium' when 'P4' then 'Low' end"""
+
+Q["rename_map"] = "select subject, answer as survey_results, queue, priority, type, language as source, version, tag_1, seq from raw_ticket"
+
+Q["ticket_priority_rules"] = """select seq, priority,
+  cast(case when contains(p, 'CRITICAL') or contains(p, 'P1') then 1 when contains(p, 'HIGH') or contains(p, 'P2') then 2
+            when contains(p, 'LOW') or contains(p, 'P4') then 4 else 3 end as int) as priority_id
+from (select seq, priority, upper(trim(coalesce(priority, 'NAN'))) as p from raw_ticket) x"""
+
+Q["synthetic_fill"] = "select seq, " + ", ".join(f"{v} as {k}" for k, v in _lifecycle("seq").items()) + " from raw_ticket"
+
+Q["surrogate_key"] = """select seq, 10000 + n as ticket_id, cast(n % 5 + 1 as int) as client_id,
+  cast(n % 6 + 1 as int) as site_id, cast(n % 5 + 1 as int) as agent_id
+from (select seq, row_number() over (order by seq) - 1 as n from raw_ticket) x"""
+
+Q["ticket_transform"] = f"""select subject, coalesce(answer, 'Neutral') as survey_results, queue,
+  coalesce({TICKET_PRIORITY_CASE}, 'Medium') as priority, type, language as source, version, tag_1, seq,
+  10000 + row_number() over (order by seq) - 1 as ticket_id,
+  1 as client_id, 1 as site_id, 1 as agent_id, 3 as priority_id, 'Closed' as status, 'Standard' as support_level
+from raw_ticket"""
+
+Q["default_columns"] = """select seq, 1 as client_id, 1 as site_id, 1 as agent_id, 3 as priority_id, 'Closed' as status,
+  'Standard' as support_level, 'Ticket ' || cast(row_number() over (order by seq) - 1 as varchar) as subject
+from raw_ticket"""
+
+AGENT_MAP = "(select assignment_group, max(agent_id) as agent_id from dim_agent where assignment_group is not null group by assignment_group)"
+Q["agent_lookup"] = f"""select t.seq, t.queue, coalesce(a.agent_id, 1) as agent_id
+from raw_ticket t left join {AGENT_MAP} a on t.queue = a.assignment_group"""
+
+_LC = _lifecycle("ticket_id")
+Q["load_fact_ticket"] = f"""with t as (
+  select subject, coalesce(answer, 'Neutral') as survey_results, queue, coalesce({TICKET_PRIORITY_CASE}, 'Medium') as priority,
+    type, language as source, version, tag_1, 10000 + row_number() over (order by seq) - 1 as ticket_id
+  from raw_ticket),
+r as (select t.*, cast(1 as bigint) as client_id, cast(1 as bigint) as site_id, coalesce(a.agent_id, 1) as agent_id,
+        cast(coalesce(p.priority_id, 3) as int) as priority_id
+      from t left join {AGENT_MAP} a on t.queue = a.assignment_group
+      left join (select priority_name, max(priority_id) as priority_id from dim_priority group by priority_name) p
+        on t.priority = p.priority_name)
+select r.ticket_id, r.client_id, r.site_id, r.agent_id, r.priority_id,
+  {_LC['created_at']} as created_at, {_LC['first_response_at']} as first_response_at,
+  {_LC['resolved_at']} as resolved_at, {_LC['closed_at']} as closed_at,
+  'Closed' as status, substring(source, 1, 50) as source, substring(type, 1, 100) as topic,
+  substring(subject, 1, 200) as subject, '' as body,
+  240 as expected_sla_resolve_min, 30 as sla_first_response_min, 180 as sla_resolution_min,
+  {_LC['agent_interactions']} as agent_interactions, substring(survey_results, 1, 50) as survey_results,
+  substring(version, 1, 100) as product_group, substring(tag_1, 1, 50) as support_level
+from r
+where r.client_id in (select client_id from dim_client) and r.site_id in (select site_id from dim_site)
+  and r.agent_id in (select agent_id from dim_agent) and r.priority_id in (select priority_id from dim_priority)"""
+
+Q["fk_rejects"] = """select b.ticket_id, b.client_id, b.site_id, b.seq,
+  case when b.client_id is not null and c.client_id is null then 'client_id not in dim_client'
+       when b.site_id is not null and s.site_id is null then 'site_id not in dim_site' end as reject_reason
+from batch_ticket b left join (select distinct client_id from dim_client) c on b.client_id = c.client_id
+left join (select distinct site_id from dim_site) s on b.site_id = s.site_id
+where (b.client_id is not null and c.client_id is null) or (b.site_id is not null and s.site_id is null)"""
+
+Q["pk_dedupe"] = """select ticket_id, client_id, site_id, seq
+from (select *, row_number() over (partition by ticket_id order by seq) as rn from batch_ticket) b
+where rn = 1 and not exists (select 1 from fact_ticket f where f.ticket_id = b.ticket_id)"""
+
+INCIDENT_LABEL = """case priority when '1 - Critical' then 'critical' when '2 - High' then 'high'
+  when '3 - Moderate' then 'moderate' when '4 - Low' then 'low' end"""
+INCIDENT_CLEAN = f"""select number as incident_id,
+  case s when 'nat' then 'new' when '7' then 'resolved' when '6' then 'closed' else s end as incident_state,
+  cast(active as int) as active, cast(made_sla as int) as made_sla, cast(reassignment_count as int) as reassignment_count,
+  sys_mod_count as modification_count,
+  coalesce(try_strptime(trim(opened_at), '%d/%m/%Y %H:%M'), try_strptime(trim(opened_at), '%d/%m/%Y %H:%M:%S'),
+           try_cast(opened_at as timestamp)) as opened_at,
+  try_cast(trim(split_part(impact, '-', 1)) as int) as impact,
+  try_cast(trim(split_part(urgency, '-', 1)) as int) as urgency,
+  priority, {INCIDENT_LABEL} as priority_name, nullif(vendor, '?') as vendor,
+  trim(assignment_group) as assignment_group, lower(trim(contact_type)) as contact_type
+from (select *, case when lower(trim(nullif(incident_state, '-100'))) <> 'nan'
+                     then lower(trim(nullif(incident_state, '-100'))) end as s from raw_incident) x"""
+Q["incident_clean"] = INCIDENT_CLEAN
+
+
+def _incident_priority(code: str, name: str) -> str:
+    c = f"trim(coalesce({code}, '3'))"
+    n = f"lower(coalesce({name}, ''))"
+    return (f"cast(case when contains({c}, '1') or contains({n}, 'critical') then 1 "
+            f"when contains({c}, '2') or contains({n}, 'high') then 2 "
+            f"when contains({c}, '4') or contains({n}, 'low') then 4 else 3 end as int)")
+
+
+Q["incident_priority_rules"] = f"""select incident_id, priority, priority_name, {_incident_priority('priority', 'priority_name')} as priority_id
+from (select number as incident_id, priority, {INCIDENT_LABEL} as priority_name from raw_incident) x"""
+
+Q["incident_rejects"] = f"""select incident_id,
+  case when impact is null then 'impact is not an integer' when urgency is null then 'urgency is not an integer' end as reject_reason
+from ({INCIDENT_CLEAN}) c where impact is null or urgency is null"""
+
+Q["incident_impute"] = f"""select incident_id, opened_at,
+  coalesce(resolved_at, opened_at + {_mix('incident_id', 1, 72, 37)} * interval '1 hour') as resolved_at,
+  resolved_at is null as resolved_imputed from fact_incident"""
+
+_ORDER = ", ".join(f"{c} nulls first" for c in ["opened_at", "incident_state", "impact", "urgency", "priority", "vendor",
+                                                  "assignment_group", "made_sla", "active", "reassignment_count",
+                                                  "modification_count"])
+Q["load_fact_incident"] = f"""with c as ({INCIDENT_CLEAN}),
+f as (select *, row_number() over (partition by incident_id order by {_ORDER}) as rn
+      from c where impact is not null and urgency is not null),
+o as (select *, coalesce(opened_at, {AS_OF} - {_mix('incident_id', 1, 180, 11)} * interval '1 day') as op from f where rn = 1)
+select incident_id, cast(null as bigint) as ticket_id, cast(1 as bigint) as client_id, cast(1 as bigint) as site_id,
+  {_incident_priority('priority', 'priority_name')} as priority_id, op as opened_at,
+  op + {_mix('incident_id', 1, 72, 37)} * interval '1 hour' as resolved_at,
+  substring(incident_state, 1, 50) as incident_state, active, reassignment_count, 0 as reopen_count, made_sla,
+  substring(contact_type, 1, 50) as contact_type, impact, urgency, substring(assignment_group, 1, 100) as assignment_group
+from o"""
+
+METRICS_CLEAN = """select seq, try_cast(site_id as int) as site_id, try_cast(timestamp_utc as timestamp) as timestamp_utc,
+  try_cast(cpu_util_pct as double) as cpu_util_pct, try_cast(mem_util_pct as double) as mem_util_pct,
+  try_cast(link_util_pct as double) as link_util_pct, try_cast(latency_ms as double) as latency_ms,
+  try_cast(packet_loss_pct as double) as packet_loss_pct from raw_metrics"""
+Q["metrics_clean"] = METRICS_CLEAN
+_MCOLS = {"cpu_util_pct": "decimal(5,2)", "mem_util_pct": "decimal(5,2)", "link_util_pct": "decimal(5,2)",
+          "latency_ms": "decimal(8,2)", "packet_loss_pct": "decimal(5,2)"}
+_REASON = ("case when site_id is null then 'site_id is missing' when timestamp_utc is null then 'timestamp_utc is not a time' "
+           + " ".join(f"when {c} is null then '{c} is not a number' when try_cast({c} as {t}) is null then '{c} does not fit {t}'"
+                      for c, t in _MCOLS.items())
+           + " when not known then 'site_id not in dim_site' end")
+METRICS_REASONED = f"""(select m.*, s.site_id is not null as known, {_REASON.replace('site_id is null', 'm.site_id is null')} as reject_reason
+  from ({METRICS_CLEAN}) m left join (select distinct cast(site_id as int) as site_id from dim_site) s on m.site_id = s.site_id)"""
+Q["metrics_rejects"] = f"select seq, reject_reason from {METRICS_REASONED} r where reject_reason is not null"
+ACCEPTED_METRICS = (f"select seq, site_id, timestamp_utc, "
+                    + ", ".join(f"cast({c} as {t}) as {c}" for c, t in _MCOLS.items())
+                    + f" from {METRICS_REASONED} r where reject_reason is null")
+Q["load_fact_metrics"] = f"""select row_number() over (order by seq) as metric_id, site_id, timestamp_utc, {', '.join(_MCOLS)}
+from ({ACCEPTED_METRICS}) a"""
+
+Q["stage_support"] = f"""select row_number() over (order by support_id) as support_id, support_id as source_id,
+  substring(body, 1, 4000) as body, substring(assignment_group, 1, 100) as assignment_group,
+  substring(priority_name, 1, 50) as priority_name, substring(support_level, 1, 50) as support_level,
+  {AS_OF} as load_date, length(body) as body_chars from raw_support"""
+
+Q["lifecycle_times"] = """select ticket_id, created_at,
+  coalesce(first_response_at, created_at + 30 * interval '1 minute') as est_first_response_at,
+  coalesce(resolved_at, created_at + 120 * interval '1 minute') as est_resolved_at,
+  coalesce(closed_at, coalesce(resolved_at, created_at + 120 * interval '1 minute') + 15 * interval '1 minute') as est_closed_at
+from fact_ticket"""
+
+Q["dim_time"] = """with b as (select min(d) as lo, max(d) as hi from (
+    select cast(created_at as date) as d from fact_ticket union all select cast(opened_at as date) from fact_incident) x),
+g as (select lo, cast(unnest(generate_series(cast(lo as timestamp), cast(hi as timestamp), interval 1 day)) as date) as d from b)
+select cast(date_diff('day', lo, d) + 1 as int) as time_id, d as date, cast(day(d) as int) as day,
+  cast(month(d) as int) as month, cast(quarter(d) as int) as quarter, cast(year(d) as int) as year from g"""
+
+Q["schema_intersect"] = "select client_id, client_name, industry, size_segment, hq_country, region_group, contract_tier from dim_client"
+
+Q["table_counts"] = "\nunion all ".join(
+    f"select '{name}' as table_name, count(*) as row_count from {src}" for name, src in [
+        ("dim_client", "dim_client"), ("dim_site", "dim_site"), ("dim_agent", "dim_agent"), ("dim_priority", "dim_priority"),
+        ("dim_region", "dim_region"), ("fact_ticket", "fact_ticket"), ("fact_incident", "fact_incident"),
+        ("fact_metrics", "fact_metrics"), ("stg_it_support", "raw_support"), ("stg_tech_support", "raw_tech_support")])

@@ -29,7 +29,7 @@ def minutes_crossed(start, end) -> Column:
 
 def elapsed_hours(start, end) -> Column:
     """Whole elapsed hours, truncated (for contrast with ``hours_crossed``)."""
-    return F.timestampdiff("HOUR", col(start), col(end))
+    return F.timestamp_diff("HOUR", col(start), col(end))
 
 
 def add_minutes(ts, minutes) -> Column:

@@ -255,3 +255,65 @@ def q_table_counts(spark, sf_dir):
     tables = {**{n: w.dims()[n] for n in ["dim_client", "dim_site", "dim_agent", "dim_priority", "dim_region"]},
               **w.facts(), "stg_it_support": w.raw_support, "stg_tech_support": w.raw_tech_support}
     return table_counts(tables)
+
+
+# --------------------------------------------------------------- business
+from deskflow.plans import business  # noqa: E402
+
+# Region-group membership used with the test tables (4 home, 4 abroad; the
+# remaining regions are reported as unassigned).
+FIXTURE_REGION_GROUPS = {
+    HOME_COUNTRY: ["NATION_2", "NATION_7", "NATION_12", "NATION_17"],
+    "International": ["NATION_0", "NATION_1", "NATION_3", "NATION_4"],
+}
+
+
+@register("executive_summary")
+def q_executive_summary(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return business.executive_summary(w.fact_incident, w.dim_site, w.dim_region, w.dim_priority)
+
+
+@register("penalty_exposure")
+def q_penalty_exposure(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return business.penalty_exposure(w.dim_client, w.fact_ticket, w.fact_incident)
+
+
+@register("capacity_hourly")
+def q_capacity_hourly(spark, sf_dir):
+    return business.capacity_hourly(_wh(spark, sf_dir).fact_metrics)
+
+
+@register("capacity_by_region")
+def q_capacity_by_region(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return business.capacity_by_region(w.fact_metrics, w.dim_site, w.dim_region)
+
+
+@register("sla_config_minutes")
+def q_sla_config_minutes(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return business.sla_config_minutes(w.fact_ticket, w.dim_priority)
+
+
+@register("sla_contract_terms")
+def q_sla_contract_terms(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return business.sla_contract_terms(w.fact_ticket, w.dim_client)
+
+
+@register("region_rollup")
+def q_region_rollup(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return business.region_rollup(w.fact_incident, w.dim_site, w.dim_region, FIXTURE_REGION_GROUPS)
+
+
+@register("datediff_boundaries")
+def q_datediff_boundaries(spark, sf_dir):
+    return business.datediff_boundaries(_wh(spark, sf_dir).fact_incident)
+
+
+@register("date_features")
+def q_date_features(spark, sf_dir):
+    return business.date_features(_wh(spark, sf_dir).fact_ticket)

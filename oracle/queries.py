@@ -466,3 +466,84 @@ Q["table_counts"] = "\nunion all ".join(
         ("dim_client", "dim_client"), ("dim_site", "dim_site"), ("dim_agent", "dim_agent"), ("dim_priority", "dim_priority"),
         ("dim_region", "dim_region"), ("fact_ticket", "fact_ticket"), ("fact_incident", "fact_incident"),
         ("fact_metrics", "fact_metrics"), ("stg_it_support", "raw_support"), ("stg_tech_support", "raw_tech_support")])
+
+# ------------------------------------------------------------------ business
+Q["executive_summary"] = f"""with i as (
+  select f.*, sr.region_name, p.priority_name from fact_incident f join {SITE_REGION} sr on f.site_id = sr.site_id
+  join dim_priority p on f.priority_id = p.priority_id),
+r as (select region_name, count(*) as n from i group by region_name),
+top as (select first(region_name order by n desc, region_name) as top_region, max(n) as top_n from r),
+tot as (select count(*) as total_incidents, count(*) filter (where made_sla = 0) as sla_breaches,
+          avg(case when priority_name = 'Critical' then date_diff('hour', opened_at, resolved_at) end) / 24.0 as crit from i)
+select tot.total_incidents, top.top_region, top.top_n as top_region_incidents,
+  cast(top.top_n as double) * 100 / cast(tot.total_incidents as double) as top_region_share_pct,
+  tot.sla_breaches, cast(tot.total_incidents - tot.sla_breaches as double) * 100 / cast(tot.total_incidents as double) as sla_compliance_pct,
+  tot.crit as critical_avg_resolution_days, 4 as critical_target_hours
+from tot, top"""
+
+Q["penalty_exposure"] = """with ib as (select client_id, cast(sum(case when made_sla = 0 then 1 else 0 end) as bigint) as n from fact_incident group by client_id),
+tb as (select client_id, cast(sum(case when date_diff('minute', created_at, resolved_at) > sla_resolution_min then 1 else 0 end) as bigint) as n
+       from fact_ticket group by client_id)
+select c.client_id, c.client_name, c.penalty_per_breach, coalesce(ib.n, 0) as incident_breaches, coalesce(tb.n, 0) as ticket_breaches,
+  coalesce(ib.n, 0) + coalesce(tb.n, 0) as total_breaches,
+  cast(cast(coalesce(ib.n, 0) + coalesce(tb.n, 0) as decimal(18,0)) * c.penalty_per_breach as decimal(18,2)) as penalty_exposure
+from dim_client c left join ib on c.client_id = ib.client_id left join tb on c.client_id = tb.client_id"""
+
+
+def _dec_avg(x: str, precision: int) -> str:
+    """Exact decimal mean of a scale-2 decimal, rounded half up to scale 6."""
+    cents = f"cast(sum({x}) * 100 as hugeint)"
+    n = f"count({x})"
+    q = (f"case when {cents} >= 0 then ({cents} * 20000 + {n}) // (2 * {n}) "
+         f"else -((-{cents} * 20000 + {n}) // (2 * {n})) end")
+    return f"cast(cast({q} as decimal(18,0)) * cast(0.000001 as decimal(7,6)) as decimal({precision},6))"
+
+
+_MEAN_P = {"cpu_util_pct": 9, "mem_util_pct": 9, "link_util_pct": 9, "latency_ms": 12, "packet_loss_pct": 9}
+
+
+def _capacity(src: str, keys: str, key_cols: str) -> str:
+    aggs = ", ".join(f"{_dec_avg(m, p)} as {m}_mean, max({m}) as {m}_max, "
+                     f"round(quantile_cont(cast({m} as double), 0.95), 6) as {m}_p95" for m, p in _MEAN_P.items())
+    return f"select {key_cols}, count(*) as samples, {aggs} from {src} group by {keys}"
+
+
+Q["capacity_hourly"] = _capacity("fact_metrics", "site_id, date_trunc('hour', timestamp_utc)",
+                                 "site_id, date_trunc('hour', timestamp_utc) as hour")
+Q["capacity_by_region"] = _capacity(
+    f"(select m.*, sr.region_name from fact_metrics m join {SITE_REGION} sr on m.site_id = sr.site_id) x",
+    "region_name, cast(timestamp_utc as date)", "region_name, cast(timestamp_utc as date) as day")
+
+Q["sla_config_minutes"] = f"""with t as (select p.priority_name, t.created_at, t.resolved_at,
+    case p.priority_name when 'Critical' then 60 when 'High' then 240 when 'Medium' then 480 when 'Low' then 1440 end as sla_minutes,
+    date_diff('minute', t.created_at, t.resolved_at) as m
+  from fact_ticket t join dim_priority p on t.priority_id = p.priority_id)
+select priority_name, sla_minutes, count(*) as ticket_count, count(*) filter (where resolved_at is not null) as resolved_count,
+  count(*) filter (where resolved_at is not null and m > sla_minutes) as breached_count,
+  count(*) filter (where resolved_at is not null and m <= sla_minutes) as within_sla_count,
+  {_pct2("count(*) filter (where resolved_at is not null and m <= sla_minutes)", "count(*) filter (where resolved_at is not null)")} as compliance_pct
+from t group by priority_name, sla_minutes"""
+
+Q["sla_contract_terms"] = """select c.client_id, c.client_name, c.response_time_sla_min, c.resolution_time_sla_min, count(*) as ticket_count,
+  count(*) filter (where date_diff('minute', t.created_at, t.first_response_at) > c.response_time_sla_min) as response_breaches,
+  count(*) filter (where date_diff('minute', t.created_at, t.resolved_at) > c.resolution_time_sla_min) as resolution_breaches
+from fact_ticket t join dim_client c on t.client_id = c.client_id
+group by c.client_id, c.client_name, c.response_time_sla_min, c.resolution_time_sla_min"""
+
+_GROUPS = {HOME: ["NATION_2", "NATION_7", "NATION_12", "NATION_17"],
+           "International": ["NATION_0", "NATION_1", "NATION_3", "NATION_4"]}
+_MEMBERS = ", ".join(f"('{r}', '{g}')" for g, rs in _GROUPS.items() for r in rs)
+Q["region_rollup"] = f"""with m as (select * from (values {_MEMBERS}) t(region_name, region_group)),
+i as (select f.*, sr.region_name from fact_incident f join {SITE_REGION} sr on f.site_id = sr.site_id)
+select coalesce(m.region_group, 'Unassigned') as region_group, count(distinct i.region_name) as regions, count(*) as incident_count,
+  cast(sum(case when made_sla = 1 then 1 else 0 end) as bigint) as sla_met,
+  cast(sum(case when made_sla = 0 then 1 else 0 end) as bigint) as sla_breached,
+  {_int_avg("date_diff('hour', opened_at, resolved_at)")} as avg_resolution_hours
+from i left join m on i.region_name = m.region_name group by coalesce(m.region_group, 'Unassigned')"""
+
+Q["datediff_boundaries"] = """select incident_id, cast(date_diff('minute', opened_at, acknowledged_at) as int) as minutes_to_ack,
+  cast(date_diff('hour', opened_at, resolved_at) as int) as hours_to_resolve,
+  cast(date_diff('day', opened_at, resolved_at) as int) as days_to_resolve,
+  date_sub('hour', opened_at, resolved_at) as elapsed_hours_to_resolve from fact_incident"""
+
+Q["date_features"] = f"select ticket_id, created_at, {_calendar('created_at')} from fact_ticket"

@@ -317,3 +317,201 @@ def q_datediff_boundaries(spark, sf_dir):
 @register("date_features")
 def q_date_features(spark, sf_dir):
     return business.date_features(_wh(spark, sf_dir).fact_ticket)
+
+
+# ---------------------------------------------------------------- profiling
+from deskflow.operators import profile, quality  # noqa: E402
+
+
+@register("profile_shape")
+def q_profile_shape(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return profile.shape({"raw_incident": w.raw_incident, "raw_ticket": w.raw_ticket,
+                          "raw_metrics": w.raw_metrics, "raw_support": w.raw_support})
+
+
+@register("profile_missing")
+def q_profile_missing(spark, sf_dir):
+    return profile.missing_values(_wh(spark, sf_dir).raw_incident)
+
+
+@register("profile_duplicates")
+def q_profile_duplicates(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return profile.duplicate_rows({"raw_incident": w.raw_incident, "raw_ticket": w.raw_ticket,
+                                   "raw_metrics": w.raw_metrics, "batch_ticket": w.batch_ticket})
+
+
+@register("profile_describe")
+def q_profile_describe(spark, sf_dir):
+    return profile.describe(_wh(spark, sf_dir).raw_incident)
+
+
+@register("profile_key_columns")
+def q_profile_key_columns(spark, sf_dir):
+    return profile.key_columns(_wh(spark, sf_dir).raw_incident)
+
+
+@register("profile_unique")
+def q_profile_unique(spark, sf_dir):
+    return profile.unique_values(_wh(spark, sf_dir).raw_incident)
+
+
+@register("profile_date_ranges")
+def q_profile_date_ranges(spark, sf_dir):
+    return profile.date_ranges(_wh(spark, sf_dir).facts())
+
+
+# ------------------------------------------------------------------ quality
+def _tables(w: Warehouse) -> dict:
+    return {**w.dims(), **w.facts()}
+
+
+@register("fk_audit")
+def q_fk_audit(spark, sf_dir):
+    from deskflow import schemas
+
+    return quality.fk_audit(_tables(_wh(spark, sf_dir)), schemas.FOREIGN_KEYS)
+
+
+def validation_metrics(w: Warehouse):
+    from pyspark.sql import functions as F
+
+    from deskflow import schemas
+    from deskflow.operators.quality import Check, null_pct, table_checks
+
+    def pct(c):  # null share in percent, rounded half to even at 4 digits
+        return F.rint(null_pct(c) * 10000) / 10000
+
+    def dup(c):
+        return F.count(F.lit(1)) - F.count_distinct(c)
+
+    neg = lambda a, b: F.count_if(F.col(b) < F.col(a))
+    outside = lambda c, lo, hi: F.count_if((F.col(c) < lo) | (F.col(c) > hi))
+    rows = [
+        table_checks(w.fact_ticket, "fact_ticket", [
+            Check("completeness", "resolved_at null pct", pct("resolved_at"), 10),
+            Check("completeness", "survey_results null pct", pct("survey_results"), 10),
+            Check("validity", "resolved before created", neg("created_at", "resolved_at"), 0),
+            Check("validity", "responded before created", neg("created_at", "first_response_at"), 0),
+            Check("uniqueness", "duplicate ticket_id", dup("ticket_id"), 0)]),
+        table_checks(w.fact_incident, "fact_incident", [
+            Check("completeness", "made_sla null pct", pct("made_sla"), 5),
+            Check("completeness", "resolved_at null pct", pct("resolved_at"), 10),
+            Check("validity", "resolved before opened", neg("opened_at", "resolved_at"), 0),
+            Check("uniqueness", "duplicate incident_id", dup("incident_id"), 0)]),
+        table_checks(w.fact_metrics, "fact_metrics", [
+            Check("range", "cpu_util_pct outside 0-100", outside("cpu_util_pct", 0, 100), 0),
+            Check("range", "packet_loss_pct outside 0-100", outside("packet_loss_pct", 0, 100), 0),
+            Check("completeness", "latency_ms null pct", pct("latency_ms"), 1)]),
+        table_checks(w.dim_client, "dim_client", [
+            Check("completeness", "industry null pct", pct("industry"), 5),
+            Check("uniqueness", "duplicate client_id", dup("client_id"), 0)]),
+    ]
+    fk = quality.fk_audit(_tables(w), schemas.FOREIGN_KEYS).select(
+        F.col("child_table").alias("table_name"), F.lit("referential").alias("validation_type"),
+        F.concat_ws(" -> ", "fk_column", "parent_table").alias("validation_metric"),
+        F.col("orphan_rows").cast(quality.METRIC_TYPE).alias("metric_value"),
+        F.lit(0).cast(quality.METRIC_TYPE).alias("threshold_value"), F.lit(None).cast("string").alias("notes"))
+    out = fk
+    for r in rows:
+        out = out.unionByName(r)
+    return out
+
+
+@register("validation_log")
+def q_validation_log(spark, sf_dir):
+    return quality.validation_log(validation_metrics(_wh(spark, sf_dir)), etl.as_of_lit())
+
+
+@register("dq_score")
+def q_dq_score(spark, sf_dir):
+    return quality.dq_score(q_validation_log(spark, sf_dir))
+
+
+# -------------------------------------------------------- sources and sinks
+from deskflow.plans import reload  # noqa: E402
+from deskflow.session import work_dir  # noqa: E402
+from deskflow.sources import files  # noqa: E402
+
+
+def _sources(w: Warehouse) -> reload.Sources:
+    return reload.Sources(w.dims(), w.raw_ticket, w.raw_incident, w.raw_metrics, w.raw_support, w.raw_tech_support)
+
+
+@register("csv_roundtrip")
+def q_csv_roundtrip(spark, sf_dir):
+    src = _wh(spark, sf_dir).raw_support
+    path = work_dir(spark, "csv") + "/support"
+    files.write_csv(src, path)
+    return files.read_csv(spark, path, src.schema, token_columns=["assignment_group", "priority_name", "support_level"])
+
+
+@register("optional_source")
+def q_optional_source(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from deskflow import schemas
+
+    w = _wh(spark, sf_dir)
+    wanted = {"customer": w.raw("customer").schema, "orders": w.raw("orders").schema,
+              "ticket_archive": schemas.FACT_TICKET}
+    out = None
+    for name, schema in wanted.items():
+        df, found = files.read_optional(spark, f"{w.sf_dir}/{name}.parquet", schema)
+        one = df.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("source_name"), F.lit("loaded" if found else "missing").alias("status"), "row_count")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("sample_first_n")
+def q_sample_first_n(spark, sf_dir):
+    return _wh(spark, sf_dir).raw_ticket.orderBy("seq").limit(100)
+
+
+@register("append_aligned")
+def q_append_aligned(spark, sf_dir):
+    return reload.append_aligned(spark, _wh(spark, sf_dir).batch_ticket, work_dir(spark, "append"))
+
+
+@register("dim_reload")
+def q_dim_reload(spark, sf_dir):
+    return reload.dim_reload(spark, _wh(spark, sf_dir).dims(), work_dir(spark, "dims"))
+
+
+def _loaded(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    src = _sources(w)
+    root = reload.run_load(spark, src, work_dir(spark, "load"))
+    return src, root
+
+
+@register("load_report")
+def q_load_report(spark, sf_dir):
+    src, root = _loaded(spark, sf_dir)
+    return reload.load_report(spark, src, root)
+
+
+@register("audit_log")
+def q_audit_log(spark, sf_dir):
+    src, root = _loaded(spark, sf_dir)
+    return reload.audit_log(spark, reload.load_report(spark, src, root), root)
+
+
+@register("schema_catalog")
+def q_schema_catalog(spark, sf_dir):
+    _, root = _loaded(spark, sf_dir)
+    return reload.schema_catalog(spark, root)
+
+
+# ---------------------------------------------------------------- streaming
+@register("metrics_incremental")
+def q_metrics_incremental(spark, sf_dir):
+    from deskflow.streaming import incremental
+
+    w = _wh(spark, sf_dir)
+    base = work_dir(spark, "stream")
+    incremental.land_in_files(w.raw_metrics, f"{base}/landing", files=4)
+    return incremental.run_incremental(spark, f"{base}/landing", w.raw_metrics.schema, w.dim_site,
+                                       f"{base}/fact_metrics", f"{base}/_checkpoint")

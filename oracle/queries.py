@@ -547,3 +547,147 @@ Q["datediff_boundaries"] = """select incident_id, cast(date_diff('minute', opene
   date_sub('hour', opened_at, resolved_at) as elapsed_hours_to_resolve from fact_incident"""
 
 Q["date_features"] = f"select ticket_id, created_at, {_calendar('created_at')} from fact_ticket"
+
+# ----------------------------------------------------------------- profiling
+RAW_COLUMNS = {
+    "raw_incident": ["number", "incident_state", "impact", "urgency", "priority", "vendor", "opened_at", "made_sla",
+                     "active", "reassignment_count", "assignment_group", "contact_type", "sys_mod_count"],
+    "raw_ticket": ["subject", "answer", "queue", "priority", "type", "language", "version", "tag_1", "seq"],
+    "raw_metrics": ["asset_id", "site_id", "timestamp_utc", "cpu_util_pct", "mem_util_pct", "link_util_pct",
+                    "latency_ms", "packet_loss_pct", "seq"],
+    "raw_support": ["support_id", "body", "assignment_group", "priority_name", "support_level"],
+}
+Q["profile_shape"] = "\nunion all ".join(
+    f"select '{t}' as table_name, count(*) as row_count, {len(c)} as column_count, '{','.join(c)}' as columns from {t}"
+    for t, c in RAW_COLUMNS.items())
+Q["profile_missing"] = "\nunion all ".join(
+    f"select {i + 1} as column_position, '{c}' as column_name, count(*) filter (where {c} is null) as missing_count from raw_incident"
+    for i, c in enumerate(RAW_COLUMNS["raw_incident"]))
+Q["profile_duplicates"] = "\nunion all ".join(
+    f"select '{t}' as table_name, count(*) as row_count, count(*) - (select count(*) from (select distinct * from {t}) d) as duplicate_rows from {t}"
+    for t in ["raw_incident", "raw_ticket", "raw_metrics", "batch_ticket"])
+
+_NUM = ["number", "reassignment_count", "sys_mod_count"]
+_CAT = ["incident_state", "impact", "urgency", "priority", "vendor", "opened_at", "made_sla", "active",
+        "assignment_group", "contact_type"]
+_POS = {c: i + 1 for i, c in enumerate(RAW_COLUMNS["raw_incident"])}
+_num_parts = [
+    f"""select {_POS[c]} as column_position, '{c}' as column_name, count({c}) as count, cast(null as bigint) as unique,
+  cast(null as varchar) as top, cast(null as bigint) as freq, round(avg(cast({c} as double)), 6) as mean,
+  round(stddev_samp(cast({c} as double)), 6) as std, min(cast({c} as double)) as min,
+  round(quantile_cont(cast({c} as double), 0.25), 6) as q25, round(quantile_cont(cast({c} as double), 0.5), 6) as q50,
+  round(quantile_cont(cast({c} as double), 0.75), 6) as q75, max(cast({c} as double)) as max from raw_incident""" for c in _NUM]
+_cat_parts = [
+    f"""select {_POS[c]} as column_position, '{c}' as column_name, coalesce(cast(sum(n) as bigint), 0) as count, count(*) as unique,
+  first(value order by n desc, value) as top, max(n) as freq, cast(null as double) as mean, cast(null as double) as std,
+  cast(null as double) as min, cast(null as double) as q25, cast(null as double) as q50, cast(null as double) as q75,
+  cast(null as double) as max
+from (select cast({c} as varchar) as value, count(*) as n from raw_incident where {c} is not null group by 1) g""" for c in _CAT]
+Q["profile_describe"] = "\nunion all ".join(_num_parts + _cat_parts)
+
+_TEXT = ["incident_state", "impact", "urgency", "priority", "vendor", "opened_at", "assignment_group", "contact_type"]
+_TEXT_LONG = "\n union all ".join(f"select '{c}' as column_name, {c} as value from raw_incident" for c in _TEXT)
+Q["profile_key_columns"] = f"""with v as ({_TEXT_LONG})
+select column_name, count(distinct value) as distinct_count from v where value is not null
+group by column_name having count(distinct value) < 20"""
+Q["profile_unique"] = f"""with v as ({_TEXT_LONG}),
+c as (select column_name, value, count(*) as row_count from v group by column_name, value),
+k as (select column_name from c where value is not null group by column_name having count(*) < 20)
+select c.column_name, c.value, c.row_count from c join k on c.column_name = k.column_name"""
+Q["profile_date_ranges"] = "\nunion all ".join(
+    f"select '{t}' as table_name, '{c}' as column_name, min({c}) as min_value, max({c}) as max_value from {t}"
+    for t, cols in [("fact_ticket", ["created_at", "first_response_at", "resolved_at", "closed_at"]),
+                    ("fact_incident", ["opened_at", "acknowledged_at", "resolved_at"]),
+                    ("fact_metrics", ["timestamp_utc"])] for c in cols)
+
+# ------------------------------------------------------------------- quality
+FK_EDGES = [
+    ("dim_site", "client_id", "dim_client", "client_id"), ("dim_site", "region_id", "dim_region", "region_id"),
+    ("fact_ticket", "client_id", "dim_client", "client_id"), ("fact_ticket", "site_id", "dim_site", "site_id"),
+    ("fact_ticket", "agent_id", "dim_agent", "agent_id"), ("fact_ticket", "priority_id", "dim_priority", "priority_id"),
+    ("fact_incident", "client_id", "dim_client", "client_id"), ("fact_incident", "site_id", "dim_site", "site_id"),
+    ("fact_incident", "priority_id", "dim_priority", "priority_id"), ("fact_metrics", "site_id", "dim_site", "site_id"),
+]
+FK_AUDIT = "\nunion all ".join(
+    f"select '{ch}' as child_table, '{col}' as fk_column, '{par}' as parent_table, count(*) as orphan_rows from {ch} c "
+    f"where c.{col} is not null and not exists (select 1 from {par} p where p.{pk} = c.{col})"
+    for ch, col, par, pk in FK_EDGES)
+Q["fk_audit"] = FK_AUDIT
+
+
+def _nullpct(c: str) -> str:
+    return f"round_even(cast(count(*) filter (where {c} is null) as double) * 100 / count(*) * 10000, 0) / 10000"
+
+
+_CHECKS = {
+    "fact_ticket": [("completeness", "resolved_at null pct", _nullpct("resolved_at"), 10),
+                    ("completeness", "survey_results null pct", _nullpct("survey_results"), 10),
+                    ("validity", "resolved before created", "count(*) filter (where resolved_at < created_at)", 0),
+                    ("validity", "responded before created", "count(*) filter (where first_response_at < created_at)", 0),
+                    ("uniqueness", "duplicate ticket_id", "count(*) - count(distinct ticket_id)", 0)],
+    "fact_incident": [("completeness", "made_sla null pct", _nullpct("made_sla"), 5),
+                      ("completeness", "resolved_at null pct", _nullpct("resolved_at"), 10),
+                      ("validity", "resolved before opened", "count(*) filter (where resolved_at < opened_at)", 0),
+                      ("uniqueness", "duplicate incident_id", "count(*) - count(distinct incident_id)", 0)],
+    "fact_metrics": [("range", "cpu_util_pct outside 0-100", "count(*) filter (where cpu_util_pct < 0 or cpu_util_pct > 100)", 0),
+                     ("range", "packet_loss_pct outside 0-100", "count(*) filter (where packet_loss_pct < 0 or packet_loss_pct > 100)", 0),
+                     ("completeness", "latency_ms null pct", _nullpct("latency_ms"), 1)],
+    "dim_client": [("completeness", "industry null pct", _nullpct("industry"), 5),
+                   ("uniqueness", "duplicate client_id", "count(*) - count(distinct client_id)", 0)],
+}
+_METRIC_ROWS = "\nunion all ".join(
+    [f"select child_table as table_name, 'referential' as validation_type, fk_column || ' -> ' || parent_table as validation_metric, "
+     f"cast(orphan_rows as decimal(20,4)) as metric_value, cast(0 as decimal(20,4)) as threshold_value from ({FK_AUDIT}) fk"]
+    + [f"select '{t}', '{ty}', '{m}', cast({expr} as decimal(20,4)), cast({thr} as decimal(20,4)) from {t}"
+       for t, checks in _CHECKS.items() for ty, m, expr, thr in checks])
+VALIDATION_LOG = f"""select row_number() over (order by table_name, validation_type, validation_metric) as validation_id,
+  {AS_OF} as validation_date, table_name, validation_type, validation_metric, metric_value, threshold_value,
+  coalesce(case when threshold_value = 0 then case when metric_value = 0 then 'PASS' else 'FAIL' end
+                else case when metric_value <= threshold_value then 'PASS' else 'FAIL' end end, 'FAIL') as validation_status,
+  cast(null as varchar) as notes
+from ({_METRIC_ROWS}) m"""
+Q["validation_log"] = VALIDATION_LOG
+Q["dq_score"] = f"""select count(*) as checks_total, count(*) filter (where validation_status = 'PASS') as checks_passed,
+  count(*) filter (where validation_status <> 'PASS') as checks_failed,
+  {_pct2("count(*) filter (where validation_status = 'PASS')", "count(*)")} as dq_score_pct
+from ({VALIDATION_LOG}) v"""
+
+# --------------------------------------------------------- sources and sinks
+Q["csv_roundtrip"] = "select support_id, body, assignment_group, priority_name, support_level from raw_support"
+Q["optional_source"] = """select 'customer' as source_name, 'loaded' as status, count(*) as row_count from customer
+union all select 'orders', 'loaded', count(*) from orders
+union all select 'ticket_archive', 'missing', cast(0 as bigint)"""
+Q["sample_first_n"] = "select * from raw_ticket order by seq limit 100"
+_FT_TYPES = [("agent_id", "bigint"), ("priority_id", "int"), ("created_at", "timestamp"), ("first_response_at", "timestamp"),
+             ("resolved_at", "timestamp"), ("closed_at", "timestamp"), ("status", "varchar"), ("source", "varchar"),
+             ("topic", "varchar"), ("subject", "varchar"), ("body", "varchar"), ("expected_sla_resolve_min", "int"),
+             ("sla_first_response_min", "int"), ("sla_resolution_min", "int"), ("agent_interactions", "int"),
+             ("survey_results", "varchar"), ("product_group", "varchar"), ("support_level", "varchar")]
+Q["append_aligned"] = ("select ticket_id, client_id, site_id, "
+                       + ", ".join(f"cast(null as {t}) as {c}" for c, t in _FT_TYPES) + " from batch_ticket")
+_DIMS = ["dim_region", "dim_client", "dim_site", "dim_agent", "dim_priority"]
+Q["dim_reload"] = "\nunion all ".join(
+    f"select '{d}' as table_name, {i + 1} as load_order, count(*) as rows_loaded from {d}" for i, d in enumerate(_DIMS))
+
+LOAD_REPORT = f"""with lt as (select count(*) as n from ({Q['load_fact_ticket']}) x),
+li as (select count(*) as n from ({Q['load_fact_incident']}) x),
+ri as (select count(*) as n from ({Q['incident_rejects']}) x),
+lm as (select count(*) as n from ({Q['load_fact_metrics']}) x),
+rm as (select count(*) as n from ({Q['metrics_rejects']}) x),
+r as (
+  {' union all '.join(f"select '{d}' as table_name, count(*) as input_rows, count(*) as accepted_rows, cast(0 as bigint) as rejected_rows from {d}" for d in _DIMS)}
+  union all select 'fact_ticket', (select count(*) from raw_ticket), lt.n, (select count(*) from raw_ticket) - lt.n from lt
+  union all select 'fact_incident', (select count(*) from raw_incident), li.n, ri.n from li, ri
+  union all select 'fact_metrics', (select count(*) from raw_metrics), lm.n, rm.n from lm, rm
+  union all select 'stg_it_support', count(*), count(*), 0 from raw_support
+  union all select 'stg_tech_support', count(*), count(*), 0 from raw_tech_support)
+select table_name, input_rows, accepted_rows, rejected_rows, input_rows - accepted_rows - rejected_rows as duplicate_rows from r"""
+Q["load_report"] = LOAD_REPORT
+Q["audit_log"] = f"""with rep as ({LOAD_REPORT})
+select cast(1 as bigint) as audit_id, 'deskflow_load_20240630_000000' as process_name,
+  cast(sum(accepted_rows) as varchar) as rows_processed, 'COMPLETED' as status, {AS_OF} as run_timestamp,
+  'rejected=' || cast(sum(rejected_rows) as varchar) as notes
+from rep where table_name in ('fact_ticket', 'fact_incident', 'fact_metrics')"""
+
+# ----------------------------------------------------------------- streaming
+Q["metrics_incremental"] = ACCEPTED_METRICS

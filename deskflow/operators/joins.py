@@ -14,14 +14,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 # Broadcast limit for a hinted side (bytes, optimizer estimate).
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+# Parquet scan estimates are compressed sizes, so the limit is kept well
+# below what an executor can hold as a hashed relation.
+BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
     """Optimizer size estimate of a plan (an upper bound for file scans);
     None when it cannot be read (e.g. a remote session)."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     except Exception:  # noqa: BLE001 - no estimate available
         return None
 

@@ -12,6 +12,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from deskflow.functions.util import local_rows
+from deskflow.operators.keys import dense_ids
+
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Row count per table, one row each (union of count aggregates)."""
@@ -72,6 +75,36 @@ def _text_value_counts(df: DataFrame, columns: list[str], keep_nulls: bool) -> D
     return long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
+    """Exact, linearly interpolated quantiles of several numeric columns.
+
+    A global exact percentile keeps one value->count map per group; over a
+    high-cardinality column (ids, amounts) that map is unbounded and lands in
+    one task.  Here the (column, value) pairs are sorted once across the
+    cluster and numbered densely; each quantile then reads the one or two
+    values at its rank positions.  Output: column_name, q0, q1, ...
+    """
+    pairs = ", ".join(f"'{c}', cast(`{c}` as double)" for c in columns)
+    long = df.selectExpr(f"stack({len(columns)}, {pairs}) as (column_name, value)").where(F.col("value").isNotNull())
+    ranked = dense_ids(long, ["column_name", "value"], "__rank", base=0)
+    bounds = ranked.groupBy("column_name").agg(F.min("__rank").alias("__start"), F.count(F.lit(1)).alias("__n"))
+    j = ranked.join(F.broadcast(bounds), "column_name")  # one row per column
+    pos = F.col("__rank") - F.col("__start")
+    wanted, aggs = None, []
+    for i, p in enumerate(probs):
+        exact = F.lit(p) * (F.col("__n") - 1)
+        lo, hi = F.floor(exact), F.ceil(exact)
+        hit = (pos == lo) | (pos == hi)
+        wanted = hit if wanted is None else (wanted | hit)
+        aggs += [F.max(F.when(pos == lo, F.col("value"))).alias(f"__lo{i}"),
+                 F.max(F.when(pos == hi, F.col("value"))).alias(f"__hi{i}"),
+                 F.max(exact - lo).alias(f"__f{i}")]
+    picked = j.where(wanted).groupBy("column_name").agg(*aggs)
+    return picked.select("column_name", *[
+        (F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * F.col(f"__f{i}")).alias(f"q{i}")
+        for i in range(len(probs))])
+
+
 def describe(df: DataFrame, digits: int = 6) -> DataFrame:
     """count/unique/top/freq for text and boolean columns; count/mean/std/
     min/quartiles/max for numeric columns (exact, linearly interpolated
@@ -87,23 +120,23 @@ def describe(df: DataFrame, digits: int = 6) -> DataFrame:
             x = F.col(c).cast("double")
             aggs += [F.count(x).alias(f"c{i}"), F.round(F.avg(x), digits).alias(f"mean{i}"),
                      F.round(F.stddev_samp(x), digits).alias(f"std{i}"), F.min(x).alias(f"min{i}"),
-                     F.max(x).alias(f"max{i}"), F.percentile(x, [0.25, 0.5, 0.75]).alias(f"q{i}")]
+                     F.max(x).alias(f"max{i}")]
         wide = df.agg(*aggs)
-        rows = ", ".join(f"{position[c]}, '{c}', c{i}, mean{i}, std{i}, min{i}, "
-                         f"round(q{i}[0], {digits}), round(q{i}[1], {digits}), round(q{i}[2], {digits}), max{i}"
-                         for i, c in enumerate(numeric))
-        num = wide.selectExpr(f"stack({len(numeric)}, {rows}) as (column_position, column_name, count, mean, std, "
-                              "min, q25, q50, q75, max)")
+        rows = ", ".join(f"{position[c]}, '{c}', c{i}, mean{i}, std{i}, min{i}, max{i}" for i, c in enumerate(numeric))
+        num = wide.selectExpr(f"stack({len(numeric)}, {rows}) as (column_position, column_name, count, mean, std, min, max)")
+        quart = exact_quantiles(df, numeric, [0.25, 0.5, 0.75])
+        num = num.join(F.broadcast(quart), "column_name", "left")
         parts.append(num.select("column_position", "column_name", F.col("count").cast("long").alias("count"),
                                 F.lit(None).cast("long").alias("unique"), F.lit(None).cast("string").alias("top"),
-                                F.lit(None).cast("long").alias("freq"), "mean", "std", "min", "q25", "q50", "q75", "max"))
+                                F.lit(None).cast("long").alias("freq"), "mean", "std", "min",
+                                F.round("q0", digits).alias("q25"), F.round("q1", digits).alias("q50"),
+                                F.round("q2", digits).alias("q75"), "max"))
     if categorical:
         vc = _text_value_counts(df, categorical, keep_nulls=False)
         cat = vc.groupBy("column_name").agg(
             F.sum("n").cast("long").alias("count"), F.count(F.lit(1)).alias("unique"),
             F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("top"), F.max("n").alias("freq"))
-        names = df.sparkSession.createDataFrame([(position[c], c) for c in categorical],
-                                                "column_position int, column_name string")
+        names = local_rows(df.sparkSession, [(position[c], c) for c in categorical], "column_position int, column_name string")
         cat = names.join(cat, "column_name", "left")
         dbl = F.lit(None).cast("double")
         parts.append(cat.select("column_position", "column_name",

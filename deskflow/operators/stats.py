@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from deskflow.functions.numeric import first_label_of_max, first_label_of_min, pearson, share_pct
-from deskflow.functions.util import col
+from deskflow.functions.util import col, local_rows
 from deskflow.operators.joins import broadcast_if_small
 
 
@@ -52,8 +52,7 @@ def crosstab_fixed(df: DataFrame, row_key: str, row_values: Sequence[str], col_k
     so no extra job looks them up."""
     piv = df.groupBy(row_key).pivot(col_key, list(col_values)).count()
     piv = piv.select(row_key, *[F.col(str(v)).alias(col_name(v)) for v in col_values])
-    rows = df.sparkSession.createDataFrame([(v, i + 1) for i, v in enumerate(row_values)],
-                                           f"{row_key} string, {order_name} int")
+    rows = local_rows(df.sparkSession, [(v, i + 1) for i, v in enumerate(row_values)], f"{row_key} string, {order_name} int")
     out = rows.join(broadcast_if_small(piv), row_key, "left")
     return out.select(row_key, order_name,
                       *[F.coalesce(F.col(col_name(v)), F.lit(0).cast("long")).alias(col_name(v)) for v in col_values])

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from deskflow import schemas
 from deskflow.functions.clean import reassign_bin
 from deskflow.functions.numeric import round_even, share_pct
+from deskflow.functions.util import local_rows
 from deskflow.operators import stats
 from deskflow.operators.joins import broadcast_if_small
 
@@ -118,8 +119,8 @@ def reassign_impact(ie: DataFrame) -> DataFrame:
            .agg(F.avg("resolution_hours").alias("mean_hours"),
                 F.median(F.col("resolution_hours").cast("double")).alias("median_hours"),
                 F.count("resolution_hours").alias("incident_count")))
-    bins = ie.sparkSession.createDataFrame(
-        [(lab, i) for i, lab in enumerate(schemas.REASSIGN_BIN_LABELS)], "reassign_bin string, bin_order int")
+    bins = local_rows(ie.sparkSession, [(lab, i) for i, lab in enumerate(schemas.REASSIGN_BIN_LABELS)],
+                      "reassign_bin string, bin_order int")
     return (bins.join(broadcast_if_small(agg), "reassign_bin", "left")
             .select("reassign_bin", "bin_order", "mean_hours", "median_hours",
                     F.coalesce("incident_count", F.lit(0).cast("long")).alias("incident_count"))

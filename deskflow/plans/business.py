@@ -13,6 +13,7 @@ from deskflow import schemas
 from deskflow.functions.numeric import first_label_of_max, int_avg, pct2, share_pct, sum_flag
 from deskflow.functions.temporal import (calendar_parts, day_start, days_crossed, elapsed_hours, hour_start,
                                          hours_crossed, minutes_crossed)
+from deskflow.functions.util import local_rows
 from deskflow.operators.joins import broadcast_if_small, join_dim
 
 METRICS = ["cpu_util_pct", "mem_util_pct", "link_util_pct", "latency_ms", "packet_loss_pct"]
@@ -114,8 +115,8 @@ def region_rollup(fact_incident, dim_site, dim_region, assignments: Mapping[str,
     """Incidents rolled up to configured region groups (membership by region
     name; regions in no group are reported as ``unassigned``)."""
     spark = fact_incident.sparkSession
-    members = spark.createDataFrame([(r, g) for g, regions in assignments.items() for r in regions],
-                                    "region_name string, region_group string")
+    members = local_rows(spark, [(r, g) for g, regions in assignments.items() for r in regions],
+                         "region_name string, region_group string")
     site = join_dim(dim_site.select("site_id", "region_id"), dim_region.select("region_id", "region_name"), "region_id")
     i = join_dim(fact_incident.select("site_id", "opened_at", "resolved_at", "made_sla"),
                  site.select("site_id", "region_name"), "site_id")

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from deskflow import schemas
 from deskflow.functions.temporal import add_minutes
+from deskflow.functions.util import local_rows
 
 HOME_COUNTRY = "ASIA"
 
@@ -95,7 +96,7 @@ class Warehouse:
 
     @cached_property
     def dim_priority(self) -> DataFrame:
-        return self.spark.createDataFrame(schemas.PRIORITY_ROWS, schemas.DIM_PRIORITY)
+        return local_rows(self.spark, schemas.PRIORITY_ROWS, schemas.DIM_PRIORITY.simpleString())
 
     # --------------------------------------------------------------- facts
     @cached_property

@@ -34,7 +34,7 @@ def main() -> None:
     from deskflow.queries import REGISTRY
     from deskflow.session import local_session
 
-    spark = local_session(cores=cpus, shuffle_partitions=int(cpus) * 2, app="deskflow-bench")
+    spark = local_session(cores=cpus, shuffle_partitions=int(cpus) * 4, app="deskflow-bench")
     warm, cold = {}, {}
     for name in names:
         for target in (cold, warm):

@@ -26,7 +26,8 @@ SALT_DAYS, SALT_RESPONSE, SALT_RESOLVE, SALT_CLOSE, SALT_INTERACT = 11, 23, 37,
 
 
 def as_of_lit(as_of: _dt.datetime = AS_OF) -> Column:
-    return F.lit(as_of).cast("timestamp_ntz")
+    """The run time as a wall-clock literal (text cast, so no time zone is involved)."""
+    return F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def _first_reason(checks: list[tuple[Column, str]]) -> Column:

@@ -21,6 +21,9 @@ from deskflow.functions.util import local_rows
 
 HOME_COUNTRY = "ASIA"
 
+# Footer schemas of the test tables by path (read-only inputs).
+_SCHEMAS: dict[str, object] = {}
+
 RAW_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
               "events", "documents", "labels", "conversations"]
 
@@ -38,9 +41,19 @@ class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """The parquet table ``name``; read once per warehouse, with the footer
+        schema remembered per path so later reads skip the footer."""
+        if name not in self._raw:
+            path = f"{self.sf_dir}/{name}.parquet"
+            schema = _SCHEMAS.get(path)
+            reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+            df = reader.parquet(path)
+            _SCHEMAS.setdefault(path, df.schema)
+            self._raw[name] = df
+        return self._raw[name]
 
     # ---------------------------------------------------------------- dims
     @cached_property

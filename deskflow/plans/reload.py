@@ -11,9 +11,10 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from deskflow import schemas
+from deskflow.functions.util import local_rows
 from deskflow.plans import etl
 from deskflow.sources import files
 
@@ -61,23 +62,36 @@ def _write_rejects(rejected: DataFrame, key: str, path: str) -> None:
     rejected.select(F.col(key).cast("long").alias("key"), "reject_reason").write.mode("overwrite").parquet(path)
 
 
-def run_load(spark: SparkSession, src: Sources, root: str, as_of: _dt.datetime = etl.AS_OF) -> str:
+def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """Attach a row counter that is filled in by the write itself."""
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+def run_load(spark: SparkSession, src: Sources, root: str, as_of: _dt.datetime = etl.AS_OF) -> dict[str, int]:
     """Full reload: dimensions, facts (accepted rows to the table, rejected
-    rows with reasons to ``_rejects``), staging.  Returns ``root``."""
+    rows with reasons to ``_rejects``), staging.  Returns the accepted and
+    rejected row counts observed while writing (no extra pass)."""
     dims = load_dimensions(spark, src.dims, root)
-    acc, rej = etl.load_fact_ticket(src.raw_ticket, dims, as_of)
-    files.overwrite(acc, f"{root}/fact_ticket", schemas.FACT_TICKET)
-    _write_rejects(rej, "ticket_id", f"{root}/_rejects/fact_ticket")
-    acc, rej = etl.load_fact_incident(src.raw_incident, dims, as_of)
-    files.overwrite(acc, f"{root}/fact_incident", schemas.FACT_INCIDENT)
-    _write_rejects(rej, "incident_id", f"{root}/_rejects/fact_incident")
-    acc, rej = etl.load_fact_metrics(src.raw_metrics, dims["dim_site"])
-    files.overwrite(acc, f"{root}/fact_metrics", schemas.FACT_METRICS)
-    _write_rejects(rej, "seq", f"{root}/_rejects/fact_metrics")
+    loads = [
+        ("fact_ticket", "ticket_id", schemas.FACT_TICKET, etl.load_fact_ticket(src.raw_ticket, dims, as_of)),
+        ("fact_incident", "incident_id", schemas.FACT_INCIDENT, etl.load_fact_incident(src.raw_incident, dims, as_of)),
+        ("fact_metrics", "seq", schemas.FACT_METRICS, etl.load_fact_metrics(src.raw_metrics, dims["dim_site"])),
+    ]
+    counts: dict[str, int] = {}
+    for name, key, schema, (acc, rej) in loads:
+        acc, acc_obs = _counted(files.align(acc, schema), f"{name}_accepted")
+        acc.write.mode("overwrite").parquet(f"{root}/{name}")
+        rej, rej_obs = _counted(rej, f"{name}_rejected")
+        _write_rejects(rej, key, f"{root}/_rejects/{name}")
+        counts[f"{name}.accepted"] = acc_obs.get["rows"]
+        counts[f"{name}.rejected"] = rej_obs.get["rows"]
     for name, raw in [("stg_it_support", src.raw_support), ("stg_tech_support", src.raw_tech_support)]:
-        files.overwrite(etl.stage_support(raw, as_of), f"{root}/{name}", schemas.STG_SUPPORT)
+        staged, obs = _counted(files.align(etl.stage_support(raw, as_of), schemas.STG_SUPPORT), name)
+        staged.write.mode("overwrite").parquet(f"{root}/{name}")
         spark.createDataFrame([], REJECT_SCHEMA).write.mode("overwrite").parquet(f"{root}/_rejects/{name}")
-    return root
+        counts[f"{name}.accepted"], counts[f"{name}.rejected"] = obs.get["rows"], 0
+    return counts
 
 
 def _count(df: DataFrame, name: str) -> DataFrame:
@@ -97,7 +111,7 @@ def load_report(spark: SparkSession, src: Sources, root: str) -> DataFrame:
             rejected = _count(files.read_table(spark, f"{root}/_rejects/{name}"), "rejected_rows")
         else:
             given = _count(src.dims[name], "input_rows")
-            rejected = spark.createDataFrame([(0,)], "rejected_rows long")
+            rejected = local_rows(spark, [(0,)], "rejected_rows long")
         one = given.select(
             F.lit(name).alias("table_name"), "input_rows",
             stored.select("accepted_rows").scalar().alias("accepted_rows"),

@@ -168,3 +168,23 @@ def incident_extract(fact_incident: DataFrame, dim_client: DataFrame, dim_site:
         home_or_international("country", home_country).alias("region_type"),
         *[v.alias(k) for k, v in calendar_parts("opened_at").items()],
     )
+
+
+def register_views(spark, fact_ticket: DataFrame, fact_incident: DataFrame, dims: dict[str, DataFrame],
+                   home_country: str) -> list[str]:
+    """Register the KPI views as temporary views for SQL users; each is the
+    lazy DataFrame above, inlined and optimised with the query using it."""
+    frames = {
+        "ticket_kpis": ticket_kpis(fact_ticket, dims["dim_client"], dims["dim_site"], dims["dim_agent"], dims["dim_priority"]),
+        "incident_kpis": incident_kpis(fact_incident, dims["dim_client"], dims["dim_site"], dims["dim_priority"]),
+        "operations_feed": operations_view(fact_ticket, fact_incident, dims["dim_client"], dims["dim_site"],
+                                           dims["dim_region"], dims["dim_priority"]),
+        "sla_dashboard": sla_view(fact_incident, dims["dim_client"], dims["dim_site"], dims["dim_region"], dims["dim_priority"]),
+        "customer_health": customer_health(dims["dim_client"], fact_ticket, fact_incident),
+        "ticket_extract": ticket_extract(fact_ticket, dims["dim_client"], dims["dim_priority"], home_country),
+        "incident_extract": incident_extract(fact_incident, dims["dim_client"], dims["dim_site"], dims["dim_region"],
+                                             dims["dim_priority"], home_country),
+    }
+    for name, df in frames.items():
+        df.createOrReplaceTempView(name)
+    return list(frames)

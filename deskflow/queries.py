@@ -483,7 +483,8 @@ def q_dim_reload(spark, sf_dir):
 def _loaded(spark, sf_dir):
     w = _wh(spark, sf_dir)
     src = _sources(w)
-    root = reload.run_load(spark, src, work_dir(spark, "load"))
+    root = work_dir(spark, "load")
+    reload.run_load(spark, src, root)
     return src, root
 
 

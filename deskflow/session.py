@@ -35,6 +35,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def cluster_conf(shuffle_bytes: int, executors_cores: int) -> dict[str, str]:
+    """Suggested settings for a large cluster: initial shuffle partitions
+    sized for ~256 MB per partition (AQE coalesces down, and splits skewed
+    join partitions), scan splits of 256 MB, and a conservative broadcast
+    threshold (estimates of parquet scans are compressed sizes)."""
+    partitions = max(executors_cores * 2, shuffle_bytes // (256 * 1024 * 1024))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.autoBroadcastJoinThreshold": "32m",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder; create a local one only when
     none is configured and the master is local (tests)."""

@@ -124,3 +124,24 @@ def test_entry_and_registry_shapes(spark):
     assert set(entry.queries()) == set(REGISTRY)
     missing = set(entry.queries()) - set(entry.oracle_sql())
     assert missing == {"schema_catalog"}
+
+
+def test_views_register_for_sql(spark, wh):
+    names = views.register_views(spark, wh.fact_ticket, wh.fact_incident, wh.dims(), HOME_COUNTRY)
+    assert "customer_health" in names
+    n = spark.sql("select count(*) from customer_health").first()[0]
+    assert n == wh.dim_client.count()
+
+
+def test_load_run_counts_match_stored_tables(spark, wh):
+    import tempfile
+
+    from deskflow.plans import reload
+
+    root = tempfile.mkdtemp(prefix="deskflow-load-", dir="/tmp")
+    src = reload.Sources(wh.dims(), wh.raw_ticket, wh.raw_incident, wh.raw_metrics, wh.raw_support, wh.raw_tech_support)
+    counts = reload.run_load(spark, src, root)
+    report = {r.table_name: r for r in reload.load_report(spark, src, root).collect()}
+    for name in ["fact_ticket", "fact_incident", "fact_metrics", "stg_it_support"]:
+        assert counts[f"{name}.accepted"] == report[name].accepted_rows
+        assert counts[f"{name}.rejected"] == report[name].rejected_rows

@@ -691,3 +691,26 @@ from rep where table_name in ('fact_ticket', 'fact_incident', 'fact_metrics')"""
 
 # ----------------------------------------------------------------- streaming
 Q["metrics_incremental"] = ACCEPTED_METRICS
+
+# ------------------------------------------------------------------ catalog
+def _catalog() -> str:
+    from deskflow import schemas  # table column lists (specification constants)
+
+    counts = {
+        "dim_region": "select count(*) from dim_region", "dim_client": "select count(*) from dim_client",
+        "dim_site": "select count(*) from dim_site", "dim_agent": "select count(*) from dim_agent",
+        "dim_priority": "select count(*) from dim_priority",
+        "fact_ticket": f"select count(*) from ({Q['load_fact_ticket']}) x",
+        "fact_incident": f"select count(*) from ({Q['load_fact_incident']}) x",
+        "fact_metrics": f"select count(*) from ({Q['load_fact_metrics']}) x",
+        "stg_it_support": "select count(*) from raw_support", "stg_tech_support": "select count(*) from raw_tech_support",
+    }
+    parts = []
+    for name, schema in schemas.TABLES.items():
+        n = f"({counts[name]})" if name in counts else "cast(0 as bigint)"
+        parts.append(f"select '{name}' as table_name, {len(schema.fields)} as column_count, "
+                     f"'{','.join(schema.names)}' as columns, {n} as row_count")
+    return "\nunion all ".join(parts)
+
+
+Q["schema_catalog"] = _catalog()

@@ -122,8 +122,7 @@ def test_entry_and_registry_shapes(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert set(entry.queries()) == set(REGISTRY)
-    missing = set(entry.queries()) - set(entry.oracle_sql())
-    assert missing == {"schema_catalog"}
+    assert set(entry.queries()) == set(entry.oracle_sql())
 
 
 def test_views_register_for_sql(spark, wh):

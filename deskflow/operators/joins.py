@@ -10,6 +10,7 @@ measured sizes.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -58,7 +59,13 @@ def lookup_with_default(df: DataFrame, key_col: str, dim: DataFrame, dim_key: st
     return joined.withColumn(out_col, F.coalesce(F.col("__value"), F.lit(default))).drop("__key", "__value")
 
 
-def split_by_foreign_keys(df: DataFrame, checks: Sequence[tuple[str, DataFrame, str, str]]):
+@dataclass(frozen=True)
+class Constant:
+    """A key column known to hold one value for every row (a default)."""
+    value: object
+
+
+def split_by_foreign_keys(df: DataFrame, checks: Sequence[tuple[str | Constant, DataFrame, str, str]]):
     """Split rows into (accepted, rejected) by foreign-key existence.
 
     ``checks`` holds (column, parent frame, parent key, reason); the first
@@ -70,6 +77,12 @@ def split_by_foreign_keys(df: DataFrame, checks: Sequence[tuple[str, DataFrame,
     out = df
     flags = []
     for i, (column, parent, parent_key, reason) in enumerate(checks):
+        if isinstance(column, Constant):
+            # A defaulted key is the same for every row: one existence test
+            # (a scalar subquery), not a join against a folded constant.
+            found = parent.where(F.col(parent_key) == F.lit(column.value)).agg(F.count(F.lit(1)) > 0).scalar()
+            flags.append((found, reason))
+            continue
         flag = f"__fk{i}"
         keys = parent.select(F.col(parent_key).alias(f"__pk{i}")).distinct().withColumn(flag, F.lit(True))
         out = (out.join(broadcast_if_small(keys), F.col(column) == F.col(f"__pk{i}"), "left")

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from deskflow import schemas
 from deskflow.functions import clean
 from deskflow.functions.temporal import add_days, add_hours, add_minutes, calendar_parts, parse_dayfirst, parse_iso, round_to_millis
-from deskflow.operators.joins import first_per_key, lookup_with_default, split_by_foreign_keys
+from deskflow.operators.joins import Constant, first_per_key, lookup_with_default, split_by_foreign_keys
 from deskflow.operators.keys import dense_ids
 
 AS_OF = _dt.datetime(2024, 6, 30, 0, 0, 0)
@@ -137,18 +137,25 @@ def prepare_tickets(raw_ticket: DataFrame, dim_agent: DataFrame, dim_priority: D
     )
 
 
-def ticket_key_checks(dims: dict[str, DataFrame]):
-    return [("client_id", dims["dim_client"], "client_id", "client_id not in dim_client"),
-            ("site_id", dims["dim_site"], "site_id", "site_id not in dim_site"),
+def ticket_key_checks(dims: dict[str, DataFrame], source_columns) -> list:
+    """Key checks for tickets; keys the source lacks hold their default for
+    every row and are checked once."""
+    renamed = set(rename_ticket_columns_names(source_columns))
+    key = lambda c: c if c in renamed else Constant(schemas.TICKET_DEFAULTS[c])
+    return [(key("client_id"), dims["dim_client"], "client_id", "client_id not in dim_client"),
+            (key("site_id"), dims["dim_site"], "site_id", "site_id not in dim_site"),
             ("agent_id", dims["dim_agent"], "agent_id", "agent_id not in dim_agent"),
             ("priority_id", dims["dim_priority"], "priority_id", "priority_id not in dim_priority")]
 
 
+def rename_ticket_columns_names(columns) -> list[str]:
+    return [schemas.TICKET_RENAMES.get(c, c) for c in columns]
+
+
 def load_fact_ticket(raw_ticket: DataFrame, dims: dict[str, DataFrame], as_of: _dt.datetime = AS_OF):
-    """(accepted, rejected) ticket rows: key checks, then first row per id."""
+    """(accepted, rejected) ticket rows after the key checks."""
     rows = prepare_tickets(raw_ticket, dims["dim_agent"], dims["dim_priority"], as_of)
-    accepted, rejected = split_by_foreign_keys(rows, ticket_key_checks(dims))
-    return accepted, rejected
+    return split_by_foreign_keys(rows, ticket_key_checks(dims, raw_ticket.columns))
 
 
 def fk_rejects(batch: DataFrame, dim_client: DataFrame, dim_site: DataFrame) -> DataFrame:
@@ -232,7 +239,8 @@ def load_fact_incident(raw_incident: DataFrame, dims: dict[str, DataFrame], as_o
     w = schemas.INCIDENT_TEXT_WIDTHS
     rows = ok.select(
         F.col("incident_id").cast("long"), F.lit(None).cast("long").alias("ticket_id"),
-        F.lit(1).cast("long").alias("client_id"), F.lit(1).cast("long").alias("site_id"),
+        F.lit(schemas.INCIDENT_DEFAULTS["client_id"]).cast("long").alias("client_id"),
+        F.lit(schemas.INCIDENT_DEFAULTS["site_id"]).cast("long").alias("site_id"),
         clean.incident_priority_id(F.col("priority"), F.col("priority_name")).alias("priority_id"),
         opened.alias("opened_at"),
         add_hours(opened, clean.synthetic_int(key, 1, 72, SALT_RESOLVE)).alias("resolved_at"),
@@ -243,8 +251,8 @@ def load_fact_incident(raw_incident: DataFrame, dims: dict[str, DataFrame], as_o
         clean.truncate("assignment_group", w["assignment_group"]).alias("assignment_group"),
     )
     accepted, fk_rej = split_by_foreign_keys(rows, [
-        ("client_id", dims["dim_client"], "client_id", "client_id not in dim_client"),
-        ("site_id", dims["dim_site"], "site_id", "site_id not in dim_site"),
+        (Constant(schemas.INCIDENT_DEFAULTS["client_id"]), dims["dim_client"], "client_id", "client_id not in dim_client"),
+        (Constant(schemas.INCIDENT_DEFAULTS["site_id"]), dims["dim_site"], "site_id", "site_id not in dim_site"),
         ("priority_id", dims["dim_priority"], "priority_id", "priority_id not in dim_priority")])
     return accepted, rejected.unionByName(fk_rej.select("incident_id", "reject_reason"))
 

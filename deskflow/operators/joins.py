@@ -99,14 +99,6 @@ def split_by_foreign_keys(df: DataFrame, checks: Sequence[tuple[str | Constant,
     return accepted, rejected
 
 
-def orphan_count(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Rows of ``child`` whose non-null ``column`` has no parent (one-row count)."""
-    keys = parent.select(F.col(parent_key).alias("__pk")).distinct()
-    orphans = (child.select(column).where(F.col(column).isNotNull())
-               .join(broadcast_if_small(keys), F.col(column) == F.col("__pk"), "left_anti"))
-    return orphans.agg(F.count(F.lit(1)).alias("orphan_rows"))
-
-
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Keep the first row per key by ``order`` (primary-key rejection keeps
     the first).  An aggregate with map-side partial merge, not a window, so

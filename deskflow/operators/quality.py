@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from deskflow.functions.numeric import pct2
-from deskflow.operators.joins import orphan_count
+from deskflow.operators.joins import broadcast_if_small
 
 METRIC_TYPE = "decimal(20,4)"
 
@@ -52,14 +52,31 @@ def null_pct(c: str) -> Column:
 
 
 def fk_audit(tables: Mapping[str, DataFrame], edges) -> DataFrame:
-    """Orphan rows per foreign-key edge (null keys are not orphans)."""
-    out = None
+    """Orphan rows per foreign-key edge (null keys are not orphans).
+
+    Each child table is read once: its key columns are joined with each
+    parent's distinct keys (a flag per edge) and one aggregation counts the
+    orphans of all its edges."""
+    by_child: dict[str, list] = {}
     for child, column, parent, parent_key in edges:
-        one = orphan_count(tables[child], column, tables[parent], parent_key).select(
-            F.lit(child).alias("child_table"), F.lit(column).alias("fk_column"),
-            F.lit(parent).alias("parent_table"), "orphan_rows")
+        by_child.setdefault(child, []).append((column, parent, parent_key))
+    out = None
+    for child, child_edges in by_child.items():
+        cols = sorted({c for c, _, _ in child_edges})
+        df = tables[child].select(*cols)
+        counts = []
+        for i, (column, parent, parent_key) in enumerate(child_edges):
+            keys = (tables[parent].select(F.col(parent_key).alias(f"__pk{i}")).distinct()
+                    .withColumn(f"__hit{i}", F.lit(True)))
+            df = df.join(broadcast_if_small(keys), F.col(column) == F.col(f"__pk{i}"), "left").drop(f"__pk{i}")
+            orphan = F.col(column).isNotNull() & F.col(f"__hit{i}").isNull()
+            counts.append(F.count_if(orphan).alias(f"o{i}"))
+        wide = df.agg(*counts)
+        rows = ", ".join(f"'{column}', '{parent}', o{i}" for i, (column, parent, _) in enumerate(child_edges))
+        one = wide.selectExpr(f"'{child}' as child_table",
+                              f"stack({len(child_edges)}, {rows}) as (fk_column, parent_table, orphan_rows)")
         out = one if out is None else out.unionByName(one)
-    return out
+    return out.select("child_table", "fk_column", "parent_table", "orphan_rows")
 
 
 def validation_log(metric_rows: DataFrame, validation_date: Column) -> DataFrame:

@@ -173,22 +173,27 @@ def csat_distribution(te: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------ insights
 def insights(te: DataFrame, ie: DataFrame, home: str) -> DataFrame:
-    """Computed insight lines as (metric, label, value) rows.  Ticket and
-    incident figures come from one aggregation pass each."""
+    """Computed insight lines as (metric, label, value) rows.  Ticket figures
+    come from one aggregation; incident figures, including the mean
+    resolution per reassignment bin behind the per-reassignment step, from a
+    second; the worst client from a per-client aggregation."""
     n = F.count(F.lit(1))
     t = te.agg(
         share_pct(F.count_if(F.col("region_type") == home), n).alias("home_ticket_share_pct"),
         share_pct(F.count_if(F.col("region_type") == "International"), n).alias("international_ticket_share_pct"),
         share_pct(F.count_if(F.col("priority_name") == "Medium"), n).alias("medium_ticket_share_pct"))
     intl, dom = F.col("region_type") == "International", F.col("region_type") == home
+    label, _ = reassign_bin("reassignment_count")
+    bin_means = [F.avg(F.when(label == b, F.col("resolution_hours"))) for b in schemas.REASSIGN_BIN_LABELS]
     i = ie.agg(
         (F.coalesce(F.avg(F.when(intl, F.col("resolution_hours"))), F.lit(0.0))
          - F.coalesce(F.avg(F.when(dom, F.col("resolution_hours"))), F.lit(0.0))).alias("mttr_gap_hours"),
         round_even(F.avg(F.when(F.col("priority_name") == "Critical", F.col("resolution_hours")))).alias("critical_mttr_hours"),
         share_pct(F.count_if(F.col("reopen_count") > 0), n).alias("reopen_rate_pct"),
         _focus(F.avg(F.when(intl, F.col("reassignment_count"))), F.avg(F.when(dom, F.col("reassignment_count"))),
-               home).alias("focus_region"))
-    step = reassign_step(ie)
+               home).alias("focus_region"),
+        F.array(*bin_means).alias("bin_means"))
+    i = i.withColumn("hours_per_reassignment", _mean_step(F.col("bin_means"), len(bin_means)))
     top = top_clients_by_rework(ie, 1)
 
     def metric(frame: DataFrame, name: str, value=None, label=None) -> DataFrame:
@@ -201,7 +206,7 @@ def insights(te: DataFrame, ie: DataFrame, home: str) -> DataFrame:
         metric(t, "international_ticket_share_pct", "international_ticket_share_pct"),
         metric(t, "medium_ticket_share_pct", "medium_ticket_share_pct"),
         metric(i, "mttr_gap_hours", "mttr_gap_hours"),
-        metric(step, "hours_per_reassignment", "hours_per_reassignment"),
+        metric(i, "hours_per_reassignment", "hours_per_reassignment"),
         metric(top, "top_rework_client", "avg_reassignments", "client_name"),
         metric(i, "critical_mttr_hours", "critical_mttr_hours"),
         metric(i, "reopen_rate_pct", "reopen_rate_pct"),
@@ -213,6 +218,15 @@ def insights(te: DataFrame, ie: DataFrame, home: str) -> DataFrame:
     return out
 
 
+def _mean_step(means, n: int):
+    """Mean of the defined consecutive differences of an array of bin means
+    (a difference is undefined when either side is null)."""
+    diffs = [means[k] - means[k - 1] for k in range(1, n)]
+    total = sum((F.coalesce(d, F.lit(0.0)) for d in diffs), F.lit(0.0))
+    defined = sum((F.when(d.isNotNull(), 1).otherwise(0) for d in diffs), F.lit(0))
+    return F.when(defined > 0, total / defined)
+
+
 def _focus(intl_avg, home_avg, home: str):
     """Region to focus on: the one with more reassignments (home on ties);
     null when either group is missing."""

@@ -157,3 +157,11 @@ def append_aligned(spark: SparkSession, batch: DataFrame, root: str, table: str
     files.create_if_absent(spark, path, schemas.TABLES[table])
     files.append(batch, path, schemas.TABLES[table])
     return files.read_table(spark, path, schemas.TABLES[table])
+
+
+def save_validation_log(spark: SparkSession, log: DataFrame, root: str) -> DataFrame:
+    """Replace the validation log with this run's rows (the log is reset
+    before each run) and return the stored table."""
+    path = f"{root}/data_validation_log"
+    files.overwrite(log, path, schemas.DATA_VALIDATION_LOG)
+    return files.read_table(spark, path, schemas.DATA_VALIDATION_LOG)

@@ -419,14 +419,21 @@ def validation_metrics(w: Warehouse):
     return out
 
 
+def _validation_log(spark, sf_dir):
+    return quality.validation_log(validation_metrics(_wh(spark, sf_dir)), etl.as_of_lit())
+
+
 @register("validation_log")
 def q_validation_log(spark, sf_dir):
-    return quality.validation_log(validation_metrics(_wh(spark, sf_dir)), etl.as_of_lit())
+    from deskflow.plans import reload
+    from deskflow.session import work_dir
+
+    return reload.save_validation_log(spark, _validation_log(spark, sf_dir), work_dir(spark, "validation"))
 
 
 @register("dq_score")
 def q_dq_score(spark, sf_dir):
-    return quality.dq_score(q_validation_log(spark, sf_dir))
+    return quality.dq_score(_validation_log(spark, sf_dir))
 
 
 # -------------------------------------------------------- sources and sinks

@@ -6,11 +6,14 @@ import decimal
 import math
 
 
+EXACT = False
+
+
 def norm(v):
     if v is None:
         return None
     if isinstance(v, float):
-        return None if math.isnan(v) else round(v, 6)
+        return None if math.isnan(v) else (v if EXACT else round(v, 6))
     if isinstance(v, decimal.Decimal):
         return str(v.normalize())
     if hasattr(v, "item") and not isinstance(v, (str, bytes)):

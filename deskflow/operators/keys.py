@@ -19,17 +19,20 @@ from deskflow.session import checkpoint
 
 def dense_ids(df: DataFrame, order: Sequence[str], id_col: str, base: int = 1,
               num_partitions: int | None = None, stable: bool = True) -> DataFrame:
-    """Add ``id_col`` = base, base+1, ... in ``order`` (must be a total order
-    for repeatable ids; ties are broken by the remaining columns).
-
-    ``stable`` checkpoints the sorted rows first so both passes (count and
-    numbering) see the same partitions, and lineage is cut.
+    """Add ``id_col`` = base, base+1, ... in ``order``.
+
+    Rows equal in ``order`` are ordered by their input position (a
+    deterministic tag of the scan), which is also part of the range key, so
+    a value shared by a large share of the rows is spread over many range
+    partitions instead of one.  ``stable`` checkpoints the sorted rows first
+    so both passes (count and numbering) see the same partitions, and
+    lineage is cut.
     """
-    tie = [c for c in df.columns if c not in order]
-    sort_cols = [*order, *tie]
-    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
-              else df.repartitionByRange(*order))
-    ranged = ranged.sortWithinPartitions(*sort_cols).withColumn("__mid", F.monotonically_increasing_id())
+    keyed = df.withColumn("__tie", F.monotonically_increasing_id())
+    sort_cols = [*order, "__tie"]
+    ranged = (keyed.repartitionByRange(num_partitions, *sort_cols) if num_partitions
+              else keyed.repartitionByRange(*sort_cols))
+    ranged = ranged.sortWithinPartitions(*sort_cols).drop("__tie").withColumn("__mid", F.monotonically_increasing_id())
     if stable:
         ranged = checkpoint(ranged)
     part = F.shiftright(F.col("__mid"), 33)

@@ -144,3 +144,15 @@ def test_load_run_counts_match_stored_tables(spark, wh):
     for name in ["fact_ticket", "fact_incident", "fact_metrics", "stg_it_support"]:
         assert counts[f"{name}.accepted"] == report[name].accepted_rows
         assert counts[f"{name}.rejected"] == report[name].rejected_rows
+
+
+def test_dense_ids_spread_a_hot_value(spark):
+    # A third of the rows share one value: the range partitions must still split them.
+    df = spark.range(0, 3000, 1, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("v"))
+    ranked = dense_ids(df, ["v"], "rid", base=0, num_partitions=6)
+    sizes = [r["count"] for r in ranked.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 1000
+    assert sorted(r.rid for r in ranked.collect()) == list(range(3000))
+    vals = [r.v for r in ranked.orderBy("rid").collect()]
+    assert vals == sorted(vals)

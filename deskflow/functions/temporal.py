@@ -71,19 +71,15 @@ def parse_iso(text) -> Column:
     return col(text).try_cast("timestamp_ntz")
 
 
+DAY_FIRST = r"^(\d{1,2})/(\d{1,2})/(\d{4})\s+(\d{1,2}:\d{2}(?::\d{2})?)$"
+
+
 def parse_dayfirst(text) -> Column:
     """Parse ``d/M/yyyy H:mm[:ss]`` (day first) to ``timestamp_ntz``; bad or
-    impossible dates -> null.  ISO text is accepted as well."""
-    s = F.trim(col(text))
-    pat = r"^(\d{1,2})/(\d{1,2})/(\d{4})\s+(\d{1,2}):(\d{2})(?::(\d{2}))?$"
-    part = lambda i: F.regexp_extract(s, pat, i)
-    sec = F.when(part(6) == "", F.lit(0)).otherwise(part(6).cast("int"))
-    day_first = F.when(
-        s.rlike(pat),
-        F.try_make_timestamp_ntz(part(3).cast("int"), part(2).cast("int"), part(1).cast("int"),
-                                 part(4).cast("int"), part(5).cast("int"), sec),
-    )
-    return F.coalesce(day_first, parse_iso(text))
+    impossible dates -> null; ISO text is accepted as well.  One pattern
+    rewrite to ``yyyy-M-d H:mm`` and one cast (single-digit fields are valid
+    in Spark's timestamp text form), so the text is scanned once."""
+    return F.regexp_replace(F.trim(col(text)), DAY_FIRST, "$3-$2-$1 $4").try_cast("timestamp_ntz")
 
 
 def calendar_parts(ts) -> dict[str, Column]:

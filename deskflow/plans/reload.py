@@ -21,13 +21,15 @@ from deskflow.sources import files
 
 @dataclass
 class Sources:
-    """Inputs of a load run (raw sources and dimension sources)."""
+    """Inputs of a load run (raw sources and dimension sources).  A raw
+    source that is missing (None) is skipped: its table is created empty and
+    the rest of the run goes on."""
     dims: dict[str, DataFrame]
-    raw_ticket: DataFrame
-    raw_incident: DataFrame
-    raw_metrics: DataFrame
-    raw_support: DataFrame
-    raw_tech_support: DataFrame
+    raw_ticket: DataFrame | None
+    raw_incident: DataFrame | None
+    raw_metrics: DataFrame | None
+    raw_support: DataFrame | None
+    raw_tech_support: DataFrame | None
 
 
 FACTS = ["fact_ticket", "fact_incident", "fact_metrics"]
@@ -74,26 +76,42 @@ def run_load(spark: SparkSession, src: Sources, root: str, as_of: _dt.datetime =
     rejected row counts observed while writing (no extra pass)."""
     dims = load_dimensions(spark, src.dims, root)
     loads = [
-        ("fact_ticket", "ticket_id", schemas.FACT_TICKET, etl.load_fact_ticket(src.raw_ticket, dims, as_of)),
-        ("fact_incident", "incident_id", schemas.FACT_INCIDENT, etl.load_fact_incident(src.raw_incident, dims, as_of)),
-        ("fact_metrics", "seq", schemas.FACT_METRICS, etl.load_fact_metrics(src.raw_metrics, dims["dim_site"])),
+        ("fact_ticket", "ticket_id", schemas.FACT_TICKET, src.raw_ticket,
+         lambda raw: etl.load_fact_ticket(raw, dims, as_of)),
+        ("fact_incident", "incident_id", schemas.FACT_INCIDENT, src.raw_incident,
+         lambda raw: etl.load_fact_incident(raw, dims, as_of)),
+        ("fact_metrics", "seq", schemas.FACT_METRICS, src.raw_metrics,
+         lambda raw: etl.load_fact_metrics(raw, dims["dim_site"])),
+        ("stg_it_support", "support_id", schemas.STG_SUPPORT, src.raw_support,
+         lambda raw: (etl.stage_support(raw, as_of), None)),
+        ("stg_tech_support", "support_id", schemas.STG_SUPPORT, src.raw_tech_support,
+         lambda raw: (etl.stage_support(raw, as_of), None)),
     ]
     counts: dict[str, int] = {}
-    for name, key, schema, (acc, rej) in loads:
+    for name, key, schema, raw, load in loads:
+        if raw is None:
+            _empty_table(spark, root, name, schema)
+            counts[f"{name}.accepted"], counts[f"{name}.rejected"] = 0, 0
+            continue
+        acc, rej = load(raw)
         acc, acc_obs = _counted(files.align(acc, schema), f"{name}_accepted")
         acc.write.mode("overwrite").parquet(f"{root}/{name}")
-        rej, rej_obs = _counted(rej, f"{name}_rejected")
-        _write_rejects(rej, key, f"{root}/_rejects/{name}")
         counts[f"{name}.accepted"] = acc_obs.get["rows"]
-        counts[f"{name}.rejected"] = rej_obs.get["rows"]
-    for name, raw in [("stg_it_support", src.raw_support), ("stg_tech_support", src.raw_tech_support)]:
-        staged, obs = _counted(files.align(etl.stage_support(raw, as_of), schemas.STG_SUPPORT), name)
-        staged.write.mode("overwrite").parquet(f"{root}/{name}")
-        spark.createDataFrame([], REJECT_SCHEMA).write.mode("overwrite").parquet(f"{root}/_rejects/{name}")
-        counts[f"{name}.accepted"], counts[f"{name}.rejected"] = obs.get["rows"], 0
+        if rej is None:
+            spark.createDataFrame([], REJECT_SCHEMA).write.mode("overwrite").parquet(f"{root}/_rejects/{name}")
+            counts[f"{name}.rejected"] = 0
+        else:
+            rej, rej_obs = _counted(rej, f"{name}_rejected")
+            _write_rejects(rej, key, f"{root}/_rejects/{name}")
+            counts[f"{name}.rejected"] = rej_obs.get["rows"]
     return counts
 
 
+def _empty_table(spark: SparkSession, root: str, name: str, schema) -> None:
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{root}/{name}")
+    spark.createDataFrame([], REJECT_SCHEMA).write.mode("overwrite").parquet(f"{root}/_rejects/{name}")
+
+
 def _count(df: DataFrame, name: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
@@ -107,7 +125,9 @@ def load_report(spark: SparkSession, src: Sources, root: str) -> DataFrame:
     for name in schemas.DIMENSION_LOAD_ORDER + FACTS + STAGING:
         stored = _count(files.read_table(spark, f"{root}/{name}"), "accepted_rows")
         if name in inputs:
-            given = _count(inputs[name], "input_rows")
+            source = inputs[name]
+            given = (_count(source, "input_rows") if source is not None
+                     else local_rows(spark, [(0,)], "input_rows long"))
             rejected = _count(files.read_table(spark, f"{root}/_rejects/{name}"), "rejected_rows")
         else:
             given = _count(src.dims[name], "input_rows")

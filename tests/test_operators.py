@@ -156,3 +156,16 @@ def test_dense_ids_spread_a_hot_value(spark):
     assert sorted(r.rid for r in ranked.collect()) == list(range(3000))
     vals = [r.v for r in ranked.orderBy("rid").collect()]
     assert vals == sorted(vals)
+
+
+def test_load_run_goes_on_without_a_source(spark, wh):
+    import tempfile
+
+    from deskflow.plans import reload
+
+    root = tempfile.mkdtemp(prefix="deskflow-load-", dir="/tmp")
+    src = reload.Sources(wh.dims(), wh.raw_ticket, wh.raw_incident, None, wh.raw_support, wh.raw_tech_support)
+    counts = reload.run_load(spark, src, root)
+    report = {r.table_name: r for r in reload.load_report(spark, src, root).collect()}
+    assert (counts["fact_metrics.accepted"], report["fact_metrics"].input_rows, report["fact_metrics"].accepted_rows) == (0, 0, 0)
+    assert report["fact_ticket"].accepted_rows == wh.raw_ticket.count()

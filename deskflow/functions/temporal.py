@@ -27,9 +27,24 @@ def minutes_crossed(start, end) -> Column:
     return hours_crossed(start, end) * 60 + F.minute(col(end)) - F.minute(col(start))
 
 
+def _micros_of_day(ts) -> Column:
+    c = col(ts)
+    seconds = F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
+    return seconds.cast("long") * 1_000_000 + F.date_format(c, "SSSSSS").cast("long")
+
+
+def elapsed_micros(start, end) -> Column:
+    """Wall-clock microseconds from ``start`` to ``end`` (no time zone, so no
+    daylight-saving jumps)."""
+    return (days_crossed(start, end).cast("long") * 86_400_000_000
+            + _micros_of_day(end) - _micros_of_day(start))
+
+
 def elapsed_hours(start, end) -> Column:
-    """Whole elapsed hours, truncated (for contrast with ``hours_crossed``)."""
-    return F.timestamp_diff("HOUR", col(start), col(end))
+    """Whole elapsed hours, truncated toward zero (for contrast with
+    ``hours_crossed``)."""
+    us, hour = elapsed_micros(start, end), F.lit(3_600_000_000)
+    return F.round((us - us % hour) / hour).cast("long")
 
 
 def add_minutes(ts, minutes) -> Column:

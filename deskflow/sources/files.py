@@ -34,8 +34,21 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     (df.write.mode(mode).options(**CSV_OPTIONS).option("quoteAll", "false").csv(path))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool | None:
+    """Whether ``path`` exists on its file system (None when the check is
+    not available, e.g. on a remote session)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
+    except Exception:  # noqa: BLE001 - fall back to reading
+        return None
+
+
 def read_optional(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, bool]:
     """Read a parquet source if it exists, else an empty frame of ``schema``."""
+    if path_exists(spark, path) is False:
+        return spark.createDataFrame([], schema), False
     try:
         return spark.read.schema(schema).parquet(path), True
     except AnalysisException as ex:

@@ -119,3 +119,17 @@ def test_local_rows_broadcasts(spark):
     big = spark.range(1000).withColumnRenamed("id", "k")
     plan = big.join(small, "k")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+
+
+def test_time_arithmetic_ignores_session_zone(spark):
+    from deskflow.functions.temporal import elapsed_hours, hour_start
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        # Wall-clock times across the spring-forward night in that zone.
+        df = spark.createDataFrame([(TS(2024, 3, 10, 1, 30), TS(2024, 3, 10, 3, 30))], "a timestamp_ntz, b timestamp_ntz")
+        got = df.select(elapsed_hours("a", "b"), hours_crossed("a", "b"), hour_start("b")).first()
+        assert tuple(got) == (2, 2, TS(2024, 3, 10, 3, 0))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

@@ -28,6 +28,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", os.environ.get("DESKFLOW_SESSION_TZ", "UTC"))
         .config("spark.driver.memory", os.environ.get("DESKFLOW_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.ansi.enabled", os.environ.get("DESKFLOW_ANSI", "true"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from deskflow import schemas
@@ -30,6 +31,16 @@ def as_of_lit(as_of: _dt.datetime = AS_OF) -> Column:
     return F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+def _shared(df: DataFrame, keep: list | None) -> DataFrame:
+    """Persist an intermediate read by both outputs of a load (accepted and
+    rejected rows are written by two jobs); the caller releases ``keep``."""
+    if keep is None:
+        return df
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    keep.append(df)
+    return df
+
+
 def _first_reason(checks: list[tuple[Column, str]]) -> Column:
     """Reason of the first failing check (checks are 'is ok' conditions)."""
     out = F.lit(None).cast("string")
@@ -152,10 +163,16 @@ def rename_ticket_columns_names(columns) -> list[str]:
     return [schemas.TICKET_RENAMES.get(c, c) for c in columns]
 
 
-def load_fact_ticket(raw_ticket: DataFrame, dims: dict[str, DataFrame], as_of: _dt.datetime = AS_OF):
+def load_fact_ticket(raw_ticket: DataFrame, dims: dict[str, DataFrame], as_of: _dt.datetime = AS_OF,
+                     keep: list | None = None):
     """(accepted, rejected) ticket rows after the key checks."""
     rows = prepare_tickets(raw_ticket, dims["dim_agent"], dims["dim_priority"], as_of)
-    return split_by_foreign_keys(rows, ticket_key_checks(dims, raw_ticket.columns))
+    accepted, rejected = split_by_foreign_keys(rows, ticket_key_checks(dims, raw_ticket.columns))
+    if keep is None:
+        return accepted, rejected
+    both = _shared(accepted.withColumn("reject_reason", F.lit(None).cast("string")).unionByName(rejected), keep)
+    return (both.where(F.col("reject_reason").isNull()).drop("reject_reason"),
+            both.where(F.col("reject_reason").isNotNull()))
 
 
 def fk_rejects(batch: DataFrame, dim_client: DataFrame, dim_site: DataFrame) -> DataFrame:
@@ -228,10 +245,11 @@ def incident_impute(fact_incident: DataFrame) -> DataFrame:
         F.col("resolved_at").isNull().alias("resolved_imputed"))
 
 
-def load_fact_incident(raw_incident: DataFrame, dims: dict[str, DataFrame], as_of: _dt.datetime = AS_OF):
+def load_fact_incident(raw_incident: DataFrame, dims: dict[str, DataFrame], as_of: _dt.datetime = AS_OF,
+                       keep: list | None = None):
     """(accepted, rejected) incident rows.  Rejected: impact or urgency not
     an integer, or a key check; accepted: first row per incident id."""
-    c = incident_clean(raw_incident).withColumn("reject_reason", _incident_reason())
+    c = _shared(incident_clean(raw_incident).withColumn("reject_reason", _incident_reason()), keep)
     rejected = c.where(F.col("reject_reason").isNotNull()).select("incident_id", "reject_reason")
     ok = first_per_key(c.where(F.col("reject_reason").isNull()).drop("reject_reason"), ["incident_id"], INCIDENT_ORDER)
     key = "incident_id"
@@ -250,6 +268,7 @@ def load_fact_incident(raw_incident: DataFrame, dims: dict[str, DataFrame], as_o
         "impact", "urgency",
         clean.truncate("assignment_group", w["assignment_group"]).alias("assignment_group"),
     )
+    rows = _shared(rows, keep)
     accepted, fk_rej = split_by_foreign_keys(rows, [
         (Constant(schemas.INCIDENT_DEFAULTS["client_id"]), dims["dim_client"], "client_id", "client_id not in dim_client"),
         (Constant(schemas.INCIDENT_DEFAULTS["site_id"]), dims["dim_site"], "site_id", "site_id not in dim_site"),
@@ -292,23 +311,25 @@ def _metrics_with_reason(raw_metrics: DataFrame, dim_site: DataFrame) -> DataFra
     return m.withColumn("reject_reason", reason).drop("__site", "__known")
 
 
-def metrics_rejects(raw_metrics: DataFrame, dim_site: DataFrame) -> DataFrame:
-    m = _metrics_with_reason(raw_metrics, dim_site)
+def metrics_rejects(raw_metrics: DataFrame, dim_site: DataFrame, reasoned: DataFrame | None = None) -> DataFrame:
+    m = reasoned if reasoned is not None else _metrics_with_reason(raw_metrics, dim_site)
     return m.where(F.col("reject_reason").isNotNull()).select("seq", "reject_reason")
 
 
-def accepted_metrics(raw_metrics: DataFrame, dim_site: DataFrame) -> DataFrame:
+def accepted_metrics(raw_metrics: DataFrame, dim_site: DataFrame, reasoned: DataFrame | None = None) -> DataFrame:
     """Accepted metric rows keyed by ``seq`` (typed, times rounded to ms)."""
-    m = _metrics_with_reason(raw_metrics, dim_site).where(F.col("reject_reason").isNull())
+    m = reasoned if reasoned is not None else _metrics_with_reason(raw_metrics, dim_site)
+    m = m.where(F.col("reject_reason").isNull())
     return m.select("seq", "site_id", round_to_millis("timestamp_utc").alias("timestamp_utc"),
                     *[F.col(c).cast(t).alias(c) for c, t in METRIC_COLUMNS.items()])
 
 
-def load_fact_metrics(raw_metrics: DataFrame, dim_site: DataFrame):
+def load_fact_metrics(raw_metrics: DataFrame, dim_site: DataFrame, keep: list | None = None):
     """(accepted, rejected): accepted rows get a dense metric id in source order."""
-    acc = dense_ids(accepted_metrics(raw_metrics, dim_site), ["seq"], "metric_id", base=1)
+    reasoned = _shared(_metrics_with_reason(raw_metrics, dim_site), keep)
+    acc = dense_ids(accepted_metrics(raw_metrics, dim_site, reasoned), ["seq"], "metric_id", base=1)
     acc = acc.select("metric_id", "site_id", "timestamp_utc", *METRIC_COLUMNS)
-    return acc, metrics_rejects(raw_metrics, dim_site)
+    return acc, metrics_rejects(raw_metrics, dim_site, reasoned)
 
 
 # ------------------------------------------------------------------ staging

@@ -75,13 +75,16 @@ def run_load(spark: SparkSession, src: Sources, root: str, as_of: _dt.datetime =
     rows with reasons to ``_rejects``), staging.  Returns the accepted and
     rejected row counts observed while writing (no extra pass)."""
     dims = load_dimensions(spark, src.dims, root)
+    # Intermediates read by both the accepted and the rejected write of a
+    # fact are persisted for the two jobs and released right after.
+    keep: list[DataFrame] = []
     loads = [
         ("fact_ticket", "ticket_id", schemas.FACT_TICKET, src.raw_ticket,
-         lambda raw: etl.load_fact_ticket(raw, dims, as_of)),
+         lambda raw: etl.load_fact_ticket(raw, dims, as_of, keep=keep)),
         ("fact_incident", "incident_id", schemas.FACT_INCIDENT, src.raw_incident,
-         lambda raw: etl.load_fact_incident(raw, dims, as_of)),
+         lambda raw: etl.load_fact_incident(raw, dims, as_of, keep=keep)),
         ("fact_metrics", "seq", schemas.FACT_METRICS, src.raw_metrics,
-         lambda raw: etl.load_fact_metrics(raw, dims["dim_site"])),
+         lambda raw: etl.load_fact_metrics(raw, dims["dim_site"], keep=keep)),
         ("stg_it_support", "support_id", schemas.STG_SUPPORT, src.raw_support,
          lambda raw: (etl.stage_support(raw, as_of), None)),
         ("stg_tech_support", "support_id", schemas.STG_SUPPORT, src.raw_tech_support,
@@ -104,6 +107,9 @@ def run_load(spark: SparkSession, src: Sources, root: str, as_of: _dt.datetime =
             rej, rej_obs = _counted(rej, f"{name}_rejected")
             _write_rejects(rej, key, f"{root}/_rejects/{name}")
             counts[f"{name}.rejected"] = rej_obs.get["rows"]
+        for df in keep:
+            df.unpersist()
+        keep.clear()
     return counts
 
 

@@ -3,12 +3,13 @@
 import pytest
 
 import __spark_entry__ as entry
+from deskflow.queries import REGISTRY
 from deskflow.sources.fixtures import RAW_TABLES
 from oracle.compare import compare, duck_views
 
 SF = "/root/testdata/sf0.001"
 SQL = entry.oracle_sql()
-KEYS = sorted(entry.queries())
+KEYS = sorted(REGISTRY)
 
 
 @pytest.fixture(scope="module")

@@ -5,7 +5,7 @@ are scored by two first-order character models, one of random strings and
 one of ordinary identifiers; a run whose log-likelihood ratio reaches the
 threshold is a ``markov`` span unless a base span overlaps it.  The models
 are learned from labelled samples: the values that the patterns caught (all
-of them) against the identifiers of a bounded sample of texts.  Pair counts
+of them) against identifiers that come back in a bounded sample of texts.  Pair counts
 are one aggregate; scores are integers (thousandths of a nat), so sums do
 not depend on their order.
 
@@ -41,6 +41,7 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 RUN = r"[A-Za-z0-9+/_=-]{16,}"
 IDENTIFIER = r"[A-Za-z0-9+/_=-]{4,}"
 THRESHOLD = 10_000  # thousandths of a nat: odds of about 22,000 to 1
+MIN_DISTINCT = 8  # characters; a rule drawn with one or two is no key
 SAMPLE_TEXTS = 2048
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 FOUND = "array<struct<start:int,kind:int,end:int,word:string>>"
@@ -101,18 +102,25 @@ def pair_counts(samples: DataFrame) -> DataFrame:
 
 
 def log_ratios(counts: list[tuple[int, int, int]], weight: float = 20.0) -> list[int]:
-    """Thousandths of a nat per cell: random against identifier model, each
-    row smoothed towards the uniform distribution by ``weight`` pairs."""
+    """Thousandths of a nat per cell: random against identifier model.  Each
+    row of the random model is smoothed towards the uniform distribution by
+    ``weight`` pairs, each row of the identifier model towards its characters'
+    overall shares (a tenth of them uniform)."""
     size = len(ALPHABET) + 1
     tables = [[0.0] * (size * size) for _ in range(2)]
     for label, cell, n in counts:
         tables[label][cell] += n
+    plain, wild = tables
+    whole = sum(plain)
+    overall = [(0.9 * sum(plain[b::size]) / whole if whole else 0.9 / size) + 0.1 / size for b in range(size)]
     out = []
     for a in range(size):
-        totals = [sum(t[a * size:(a + 1) * size]) for t in tables]
+        row = slice(a * size, (a + 1) * size)
+        n_plain, n_wild = sum(plain[row]), sum(wild[row])
         for b in range(size):
-            p = [(t[a * size + b] + weight / size) / (total + weight) for t, total in zip(tables, totals)]
-            out.append(round(1000 * math.log(p[1] / p[0])))
+            p_plain = (plain[a * size + b] + weight * overall[b]) / (n_plain + weight)
+            p_wild = (wild[a * size + b] + weight / size) / (n_wild + weight)
+            out.append(round(1000 * math.log(p_wild / p_plain)))
     return out
 
 
@@ -122,16 +130,19 @@ def _scored(word: Column, ratios: list[int]) -> Column:
 
 
 def _sampled_words(docs: DataFrame, sample_texts: int) -> DataFrame:
-    """Identifiers of at most ``sample_texts`` different texts, chosen by
-    hash, without what the patterns caught."""
+    """Identifiers that stand in two texts at least of a sample of at most
+    ``sample_texts`` different texts, chosen by hash (a random string hardly
+    comes back), without what the patterns caught."""
+    texts = docs.select("text").where("text is not null")
     h = F.xxhash64("text")
-    chosen = docs.where("text is not null").groupBy(F.pmod(h, F.lit(sample_texts)).alias("slot")).agg(F.min(h).alias("h"))
+    chosen = texts.groupBy(F.pmod(h, F.lit(sample_texts)).alias("slot")).agg(F.min(h).alias("h"))
     chosen = store(chosen.select("h"), "secret-sample")  # at most sample_texts rows of 8 bytes
-    picked = docs.join(F.broadcast(chosen), F.xxhash64(docs["text"]) == chosen["h"]).groupBy("h").agg(F.any_value("text").alias("text"))
+    picked = texts.join(F.broadcast(chosen), F.xxhash64(texts["text"]) == chosen["h"]).groupBy("h").agg(F.any_value("text").alias("text"))
     clean = F.col("text")
     for pattern in (ASSIGN, ACCESS, HEX):
         clean = F.regexp_replace(clean, pattern, " ")
-    return picked.select(F.explode(F.regexp_extract_all(clean, F.lit(IDENTIFIER), F.lit(0))).alias("word"))
+    found = F.array_distinct(F.regexp_extract_all(clean, F.lit(IDENTIFIER), F.lit(0)))
+    return picked.select(F.explode(found).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("word")
 
 
 def secret_scan(docs: DataFrame, carry: list[str] | None = None, sample_texts: int = SAMPLE_TEXTS,
@@ -151,7 +162,8 @@ def secret_scan(docs: DataFrame, carry: list[str] | None = None, sample_texts: i
     added = F.array().cast(FOUND)
     if any(label == 0 for label, _, _ in counts):
         ratios = log_ratios(counts)
-        added = F.filter("runs", lambda r: _scored(r["word"], ratios) >= threshold)
+        added = F.filter("runs", lambda r: (F.size(F.array_distinct(F.split(r["word"], ""))) >= MIN_DISTINCT)
+                         & (_scored(r["word"], ratios) >= threshold))
     return scanned.select(*[F.col(f"in_{c}").alias(c) for c in names], _narrow(F.col("base")).alias("base"),
                           F.sort_array(_narrow(F.concat("base", added))).alias("spans"))
 

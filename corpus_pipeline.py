@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deskflow.llm.common import documents, store
+from deskflow.llm.common import documents, fresh, let, store
 from deskflow.llm.decontaminate import decontaminated
 from deskflow.llm.mixing import temperature_mix
 from deskflow.llm.quality_rules import quality_rules
@@ -37,8 +37,9 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, each span that the secret scan finds masked."""
     scanned = secret_scan(docs, carry=docs.columns)
-    clean = redacted(F.col("text"), F.col("spans"))
-    changed = {"text": clean, "n_chars": F.when(F.size("spans") > 0, F.length(clean).cast("long")).otherwise(F.col("n_chars"))}
+    masked = let(redacted(F.col("text"), F.col("spans")), lambda t: F.struct(t.alias("text"), F.length(t).cast("long").alias("n")))
+    scanned = scanned.select(*docs.columns, masked.alias(m := fresh(docs, "masked")), F.size("spans").alias(k := fresh(docs, "found")))
+    changed = {"text": F.col(f"{m}.text"), "n_chars": F.when(F.col(k) > 0, F.col(f"{m}.n")).otherwise(F.col("n_chars"))}
     return scanned.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])
 
 

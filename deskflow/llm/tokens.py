@@ -111,10 +111,10 @@ class Pieces:
 
     CHUNK = 128
 
-    def __init__(self) -> None:
+    def __init__(self, classes: np.ndarray) -> None:
         to, mask = piece_machine()
         self.to, self.mask = to.ravel(), mask.ravel()
-        self.classes = class_table()
+        self.classes = classes
 
     def starts(self, text: str, firsts: np.ndarray) -> np.ndarray:
         """Code-point positions where pieces start in concatenated texts;
@@ -148,7 +148,7 @@ class Pieces:
 class Tokens:
     """The byte machine of a BPE vocabulary, compiled as it is met."""
 
-    MOST = 600_000  # states and pieces kept before starting over
+    MOST = 1_200_000  # states and pieces kept before starting over
 
     def __init__(self, vocab: dict[str, int], merges: list) -> None:
         to_byte = {c: b for b, c in byte_characters().items()}
@@ -157,6 +157,14 @@ class Tokens:
         pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
         self.merge = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
         self.longest = max(map(len, self.ids))
+        self.bytes = {i: b for b, i in self.ids.items()}
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
+        self.merge = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
+        self.longest = max(map(len, self.ids))
+        self.reach: dict[bytes, int] = {}  # longest token by its last three bytes
+        for t in self.ids:
+            if len(t) > 2:
+                self.reach[t[-3:]] = max(len(t), self.reach.get(t[-3:], 2))
         self.split: dict[int, tuple[int, tuple[int, int]]] = {}
         for pair, (rank, made) in self.merge.items():
             self.split.setdefault(made, (rank, pair))
@@ -166,12 +174,14 @@ class Tokens:
 
     def clear(self) -> None:
         # State 0: nothing read.  A state stands for the prefixes that lead to
-        # it: their last token, tokens so far, recent bytes, and the state of
-        # the prefix one byte shorter.
-        self.last, self.total, self.recent, self.shorter = [-1], [0], [b""], [0]
-        # By state * 256 + byte: the next state and the change in tokens.
+        # it: their last token and tokens so far.  Pieces longer than a token
+        # have states of their own, with the recent bytes and the state of the
+        # prefix one byte shorter.
+        self.last, self.total = [-1], [0]
+        # By state * 256 + byte: the next state * 256 + the change in tokens + 128.
         self.moves: dict[int, int] = {}
-        self.emits: dict[int, int] = {}
+        self.long_last, self.long_total, self.recent, self.shorter = [-1], [0], [b""], [0]
+        self.long_moves: dict[int, int] = {}
         self.merged: dict[tuple, int] = {}
         self.counts: dict[str, int] = {}
         self.known: dict[int, bool] = {}  # token pairs that may stand side by side
@@ -218,54 +228,91 @@ class Tokens:
         return True
 
     def move(self, state: int, byte: int) -> int:
-        """Compile the transition of a state on a byte."""
-        text = self.recent[state] + bytes([byte])
-        shorter, ids, known = self.shorter, self.ids, self.known
+        """Compile the transition of a long piece's state on a byte."""
+        text = self.recent[state] + bytes((byte,))
+        shorter, last, total_at, ids, known = self.shorter, self.long_last, self.long_total, self.ids, self.known
+        size = len(text)
         prefixes = [state]
-        for _ in range(min(len(text), self.longest) - 1):
+        for _ in range(min(size, self.longest) - 1):
             prefixes.append(shorter[prefixes[-1]])
-        skip = len(text) - len(prefixes)
-        for before in reversed(prefixes):  # the longest token first; only one can follow
+        skip = size - len(prefixes)
+        while prefixes:  # the longest token first; only one can follow
             token = ids.get(text[skip:])
+            before = prefixes.pop()
             skip += 1
             if token is not None:
-                pair = self.last[before] << 17 | token
+                pair = last[before] << 17 | token
                 fits = known.get(pair)
                 if fits is None:
-                    fits = known[pair] = self.follows(self.last[before], token)
+                    fits = known[pair] = self.follows(last[before], token)
                 if fits:
                     break
         else:
             raise ValueError("the vocabulary has no token for a byte")
-        total = self.total[before] + 1
-        new = len(self.last)
+        total = total_at[before] + 1
+        new = len(last)
         if len(text) > self.longest:  # the start of the piece is out of reach: like states are one
             text = text[-self.longest:]
             key, at = [(token, 0)], state
             for _ in range(self.longest - 1):
-                key.append((self.last[at], self.total[at] - total))
+                key.append((last[at], total_at[at] - total))
                 at = self.shorter[at]
             new = self.merged.setdefault(tuple(key), new)
-        if new == len(self.last):
-            self.last.append(token)
-            self.total.append(total)
+        if new == len(last):
+            last.append(token)
+            total_at.append(total)
             self.recent.append(text)
             self.shorter.append(state)
-        self.moves[state << 8 | byte] = new
-        self.emits[state << 8 | byte] = total - self.total[state]
-        return new
+        move = self.long_moves[state << 8 | byte] = new << 8 | (total - total_at[state] + 128)
+        return move
 
     def count(self, piece: str) -> int:
         n = self.counts.get(piece)
         if n is None:
-            if len(self.last) > self.MOST or len(self.counts) > self.MOST:
+            if len(self.last) + len(self.long_last) > self.MOST or len(self.counts) > self.MOST:
                 self.clear()
-            n, state = 0, 0
-            for byte in piece.encode("utf-8"):
-                at = state << 8 | byte
-                state = self.moves[at] if at in self.moves else self.move(state, byte)
-                n += self.emits[at]
-            self.counts[piece] = n
+            raw = piece.encode("utf-8")
+            n = self.counts[piece] = self._short(raw) if len(raw) <= self.longest else self._long(raw)
+        return n
+
+    def _long(self, raw: bytes) -> int:
+        n, state, moves = 0, 0, self.long_moves
+        for byte in raw:
+            move = moves.get(state << 8 | byte)
+            if move is None:
+                move = self.move(state, byte)
+            state = move >> 8
+            n += (move & 255) - 128
+        return n
+
+    def _short(self, raw: bytes) -> int:
+        """The same for a piece no longer than a token may be: the states
+        passed stay at hand, so transitions are compiled in place."""
+        n, state, moves, ids, known, last, total = 0, 0, self.moves, self.ids, self.known, self.last, self.total
+        path = [0]
+        for i, byte in enumerate(raw):
+            at = state << 8 | byte
+            move = moves.get(at)
+            if move is None:
+                for j in range(i + 1):  # the longest token first; only one can follow
+                    token = ids.get(raw[j:i + 1])
+                    if token is not None:
+                        before = path[j]
+                        pair = last[before] << 17 | token
+                        fits = known.get(pair)
+                        if fits is None:
+                            fits = known[pair] = self.follows(last[before], token)
+                        if fits:
+                            break
+                else:
+                    raise ValueError("the vocabulary has no token for a byte")
+                count = total[before] + 1
+                move = moves[at] = len(last) << 8 | (count - total[state] + 128)
+                last.append(token)
+                total.append(count)
+            state = move >> 8
+            n += (move & 255) - 128
+            path.append(state)
         return n
 
 
@@ -281,14 +328,14 @@ class Counter:
 
     BATCH = 1 << 21  # characters processed at once; a longer text alone
 
-    def __init__(self, spec: dict) -> None:
+    def __init__(self, spec: dict, classes: np.ndarray | None = None) -> None:
         pre = spec.get("pre_tokenizer") or {}
         model = spec["model"]
         if spec.get("normalizer") or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or model.get("type") != "BPE":
             raise ValueError("a byte-level BPE tokenizer without normalizer is needed")
         special = sorted((t["content"] for t in spec.get("added_tokens", [])), key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
-        self.pieces = Pieces()
+        self.pieces = Pieces(class_table() if classes is None else classes)
         self.tokens = Tokens(model["vocab"], model["merges"])
 
     def counts(self, texts: list[str]) -> list[int]:
@@ -338,11 +385,12 @@ def token_counts(docs: DataFrame, path: str, limit: int = 1024, key: str = "doc_
     tokenizer file, read on the driver and sent to the tasks."""
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
+    classes = class_table()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = None
         for batch in batches:
-            counter = counter or Counter(spec)
+            counter = counter or Counter(spec, classes)
             texts = [t or "" for t in batch.column(0).to_pylist()]
             n_bytes = pa.array([len(t.encode("utf-8")) for t in texts], pa.int64())
             n_tokens = pa.array(counter.counts(texts), pa.int64())

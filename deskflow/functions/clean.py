@@ -31,7 +31,7 @@ def map_values(c, mapping: Mapping[str, str], default=None, keep_unmatched: bool
     return hit if default is None else F.coalesce(hit, F.lit(default))
 
 
-LEADING_INT = r"^\s*(\+?\d{1,10})\s*(-|$)"
+LEADING_INT = r"^\s*(\+?\d+)\s*(-|$)"
 
 
 def leading_int(c) -> Column:

@@ -1,10 +1,8 @@
-"""Joins: size-checked broadcast, dimension lookups, FK and PK enforcement.
+"""Joins: dimension lookups, FK and PK enforcement.
 
 Dimensions at warehouse scale are not all small (clients and sites grow with
-the business), so a broadcast hint is applied only when the optimizer's size
-estimate of that side is under a limit; otherwise the join is left to a
-shuffle join and AQE, which can still switch to a broadcast at run time from
-measured sizes.
+the business), so no side is hinted for broadcast: Spark's size threshold and
+AQE's measured sizes choose the join.
 """
 
 from __future__ import annotations
@@ -14,32 +12,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-# Broadcast limit for a hinted side (bytes, optimizer estimate).
-# Parquet scan estimates are compressed sizes, so the limit is kept well
-# below what an executor can hold as a hashed relation.
-BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Optimizer size estimate of a plan (an upper bound for file scans);
-    None when it cannot be read (e.g. a remote session)."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    except Exception:  # noqa: BLE001 - no estimate available
-        return None
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Hint a broadcast only when the estimated size is known and under ``limit``."""
-    size = estimated_bytes(df)
-    if size is not None and size <= limit:
-        return F.broadcast(df)
-    return df
-
-
 def join_dim(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "inner") -> DataFrame:
-    """Fact-to-dimension equi-join; the dimension is broadcast when it is small."""
-    return fact.join(broadcast_if_small(dim), on=on, how=how)
+    """Fact-to-dimension equi-join."""
+    return fact.join(dim, on=on, how=how)
 
 
 def lookup_with_default(df: DataFrame, key_col: str, dim: DataFrame, dim_key: str, dim_value: str,
@@ -55,7 +30,7 @@ def lookup_with_default(df: DataFrame, key_col: str, dim: DataFrame, dim_key: st
     mapping = (dim.where(F.col(dim_key).isNotNull())
                .groupBy(F.col(dim_key).alias("__key"))
                .agg(F.max_by(F.col(dim_value), F.col(order)).alias("__value")))
-    joined = df.join(broadcast_if_small(mapping), F.col(key_col) == F.col("__key"), "left")
+    joined = df.join(mapping, F.col(key_col) == F.col("__key"), "left")
     return joined.withColumn(out_col, F.coalesce(F.col("__value"), F.lit(default))).drop("__key", "__value")
 
 
@@ -85,7 +60,7 @@ def split_by_foreign_keys(df: DataFrame, checks: Sequence[tuple[str | Constant,
             continue
         flag = f"__fk{i}"
         keys = parent.select(F.col(parent_key).alias(f"__pk{i}")).distinct().withColumn(flag, F.lit(True))
-        out = (out.join(broadcast_if_small(keys), F.col(column) == F.col(f"__pk{i}"), "left")
+        out = (out.join(keys, F.col(column) == F.col(f"__pk{i}"), "left")
                .drop(f"__pk{i}"))
         ok = F.col(column).isNull() | F.col(flag).isNotNull()
         flags.append((ok, reason))

@@ -13,7 +13,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from deskflow.functions.numeric import pct2
-from deskflow.operators.joins import broadcast_if_small
 
 METRIC_TYPE = "decimal(20,4)"
 
@@ -68,7 +67,7 @@ def fk_audit(tables: Mapping[str, DataFrame], edges) -> DataFrame:
         for i, (column, parent, parent_key) in enumerate(child_edges):
             keys = (tables[parent].select(F.col(parent_key).alias(f"__pk{i}")).distinct()
                     .withColumn(f"__hit{i}", F.lit(True)))
-            df = df.join(broadcast_if_small(keys), F.col(column) == F.col(f"__pk{i}"), "left").drop(f"__pk{i}")
+            df = df.join(keys, F.col(column) == F.col(f"__pk{i}"), "left").drop(f"__pk{i}")
             orphan = F.col(column).isNotNull() & F.col(f"__hit{i}").isNull()
             counts.append(F.count_if(orphan).alias(f"o{i}"))
         wide = df.agg(*counts)

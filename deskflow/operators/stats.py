@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from deskflow.functions.numeric import first_label_of_max, first_label_of_min, pearson, share_pct
 from deskflow.functions.util import col, local_rows
-from deskflow.operators.joins import broadcast_if_small
 
 
 def row_total(df: DataFrame) -> Column:
@@ -53,7 +52,7 @@ def crosstab_fixed(df: DataFrame, row_key: str, row_values: Sequence[str], col_k
     piv = df.groupBy(row_key).pivot(col_key, list(col_values)).count()
     piv = piv.select(row_key, *[F.col(str(v)).alias(col_name(v)) for v in col_values])
     rows = local_rows(df.sparkSession, [(v, i + 1) for i, v in enumerate(row_values)], f"{row_key} string, {order_name} int")
-    out = rows.join(broadcast_if_small(piv), row_key, "left")
+    out = rows.join(piv, row_key, "left")
     return out.select(row_key, order_name,
                       *[F.coalesce(F.col(col_name(v)), F.lit(0).cast("long")).alias(col_name(v)) for v in col_values])
 
@@ -71,7 +70,7 @@ def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     q = q.withColumn("lower_fence", F.col("q1") - 1.5 * F.col("iqr")).withColumn(
         "upper_fence", F.col("q3") + 1.5 * F.col("iqr"))
     fences = q.select(group, "lower_fence", "upper_fence")
-    joined = df.select(group, v.alias("__v")).join(broadcast_if_small(fences), group)
+    joined = df.select(group, v.alias("__v")).join(fences, group)
     x, lo, hi = F.col("__v"), F.col("lower_fence"), F.col("upper_fence")
     w = joined.groupBy(group).agg(
         F.min(F.when(x >= lo, x)).alias("whisker_low"), F.max(F.when(x <= hi, x)).alias("whisker_high"),

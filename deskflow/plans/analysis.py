@@ -15,7 +15,6 @@ from deskflow.functions.clean import reassign_bin
 from deskflow.functions.numeric import round_even, share_pct
 from deskflow.functions.util import local_rows
 from deskflow.operators import stats
-from deskflow.operators.joins import broadcast_if_small
 
 
 # ------------------------------------------------------------ ticket volume
@@ -121,7 +120,7 @@ def reassign_impact(ie: DataFrame) -> DataFrame:
                 F.count("resolution_hours").alias("incident_count")))
     bins = local_rows(ie.sparkSession, [(lab, i) for i, lab in enumerate(schemas.REASSIGN_BIN_LABELS)],
                       "reassign_bin string, bin_order int")
-    return (bins.join(broadcast_if_small(agg), "reassign_bin", "left")
+    return (bins.join(agg, "reassign_bin", "left")
             .select("reassign_bin", "bin_order", "mean_hours", "median_hours",
                     F.coalesce("incident_count", F.lit(0).cast("long")).alias("incident_count"))
             .orderBy("bin_order"))

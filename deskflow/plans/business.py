@@ -14,7 +14,7 @@ from deskflow.functions.numeric import first_label_of_max, int_avg, pct2, share_
 from deskflow.functions.temporal import (calendar_parts, day_start, days_crossed, elapsed_hours, hour_start,
                                          hours_crossed, minutes_crossed)
 from deskflow.functions.util import local_rows
-from deskflow.operators.joins import broadcast_if_small, join_dim
+from deskflow.operators.joins import join_dim
 
 METRICS = ["cpu_util_pct", "mem_util_pct", "link_util_pct", "latency_ms", "packet_loss_pct"]
 
@@ -120,7 +120,7 @@ def region_rollup(fact_incident, dim_site, dim_region, assignments: Mapping[str,
     site = join_dim(dim_site.select("site_id", "region_id"), dim_region.select("region_id", "region_name"), "region_id")
     i = join_dim(fact_incident.select("site_id", "opened_at", "resolved_at", "made_sla"),
                  site.select("site_id", "region_name"), "site_id")
-    i = i.join(broadcast_if_small(members), "region_name", "left").withColumn(
+    i = i.join(members, "region_name", "left").withColumn(
         "region_group", F.coalesce(F.col("region_group"), F.lit(unassigned)))
     return (i.groupBy("region_group")
             .agg(F.countDistinct("region_name").alias("regions"), F.count(F.lit(1)).alias("incident_count"),

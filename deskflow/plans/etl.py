@@ -302,11 +302,9 @@ def _metrics_checks(site_ok: Column | None = None) -> list[tuple[Column, str]]:
 
 
 def _metrics_with_reason(raw_metrics: DataFrame, dim_site: DataFrame) -> DataFrame:
-    from deskflow.operators.joins import broadcast_if_small
-
     m = metrics_clean(raw_metrics)
     sites = dim_site.select(F.col("site_id").cast("int").alias("__site")).distinct().withColumn("__known", F.lit(True))
-    m = m.join(broadcast_if_small(sites), F.col("site_id") == F.col("__site"), "left")
+    m = m.join(sites, F.col("site_id") == F.col("__site"), "left")
     reason = _first_reason(_metrics_checks(F.col("__known").isNotNull()))
     return m.withColumn("reject_reason", reason).drop("__site", "__known")
 

@@ -472,9 +472,12 @@ def q_optional_source(spark, sf_dir):
     return out
 
 
+SAMPLE_ROWS = 100  # size of the sample report
+
+
 @register("sample_first_n")
-def q_sample_first_n(spark, sf_dir):
-    return _wh(spark, sf_dir).raw_ticket.orderBy("seq").limit(100)
+def q_sample_first_n(spark, sf_dir, rows=SAMPLE_ROWS):
+    return _wh(spark, sf_dir).raw_ticket.orderBy("seq").limit(rows)
 
 
 @register("append_aligned")

@@ -114,13 +114,15 @@ class Warehouse:
     # --------------------------------------------------------------- facts
     @cached_property
     def fact_ticket(self) -> DataFrame:
-        o = self.raw("orders").where(F.col("o_custkey") % 20 != 3)
+        o = self.raw("orders")
         k = F.col("o_orderkey")
+        # Some clients stay without tickets: their orders go to a neighbour.
+        cust = F.when(F.col("o_custkey") % 20 == 3, F.col("o_custkey") - 1).otherwise(F.col("o_custkey"))
         open_ = k % 11 == 0
         created = add_minutes("o_orderdate", (k * 37 % 1440).cast("int"))
         rmin, smin = (k * 53 % 61).cast("int"), (k * 101 % 4320).cast("int")
         return o.select(
-            k.alias("ticket_id"), F.col("o_custkey").alias("client_id"),
+            k.alias("ticket_id"), cust.alias("client_id"),
             F.when(k % 97 != 0, k % 10).alias("site_id"), (k % 200).alias("agent_id"),
             _case(F.substring("o_orderpriority", 1, 1), {"1": 1, "2": 2, "5": 4}, 3).cast("int").alias("priority_id"),
             created.alias("created_at"),
@@ -147,7 +149,9 @@ class Warehouse:
 
     @cached_property
     def fact_incident(self) -> DataFrame:
-        o = self.raw("orders").where(F.col("o_custkey") % 10 != 0).select("o_orderkey", "o_custkey")
+        # Some clients stay without incidents: theirs go to a neighbour.
+        cust = F.when(F.col("o_custkey") % 10 == 0, F.col("o_custkey") + 1).otherwise(F.col("o_custkey"))
+        o = self.raw("orders").select("o_orderkey", cust.alias("client_id"))
         li = self._lineitem_first()
         x = li.join(o, li.l_orderkey == o.o_orderkey)
         inc_id = F.col("l_orderkey") * 10 + F.col("l_linenumber")
@@ -156,7 +160,7 @@ class Warehouse:
         amin, hmin = (part * 53 % 61).cast("int"), (supp * 101 % 1440).cast("int")
         reassign = (F.col("l_linenumber") - 1).cast("int")
         return x.select(
-            inc_id.alias("incident_id"), F.col("o_custkey").alias("client_id"), supp.alias("site_id"),
+            inc_id.alias("incident_id"), "client_id", supp.alias("site_id"),
             (1 + part % 4).cast("int").alias("priority_id"),
             opened.alias("opened_at"),
             add_minutes(opened, amin).alias("acknowledged_at"),
@@ -172,7 +176,7 @@ class Warehouse:
         eid, v = F.col("event_id"), F.col("value")
         return e.select(
             eid.alias("metric_id"), (F.col("user_id") % 10).alias("site_id"), F.col("ts").alias("timestamp_utc"),
-            F.when(v > 100, 100).otherwise(v).cast("decimal(5,2)").alias("cpu_util_pct"),
+            (eid * 11 % 101).cast("decimal(5,2)").alias("cpu_util_pct"),
             (eid * 7 % 101).cast("decimal(5,2)").alias("mem_util_pct"),
             (eid * 13 % 101).cast("decimal(5,2)").alias("link_util_pct"),
             v.cast("decimal(8,2)").alias("latency_ms"),

@@ -41,20 +41,20 @@ select ticket_id, client_id, site_id, agent_id, priority_id, created_at,
   case when ticket_id % 11 = 0 then 'Open' else 'Closed' end as status,
   240 as expected_sla_resolve_min, 30 as sla_first_response_min, 180 as sla_resolution_min,
   agent_interactions, survey_results
-from (select o_orderkey as ticket_id, o_custkey as client_id,
+from (select o_orderkey as ticket_id, case when o_custkey % 20 = 3 then o_custkey - 1 else o_custkey end as client_id,
   case when o_orderkey % 97 = 0 then null else o_orderkey % 10 end as site_id, o_orderkey % 200 as agent_id,
   cast(case substring(o_orderpriority, 1, 1) when '1' then 1 when '2' then 2 when '5' then 4 else 3 end as int) as priority_id,
   o_orderdate + cast(o_orderkey * 37 % 1440 as int) * INTERVAL '1' MINUTE as created_at,
   cast(o_orderkey * 53 % 61 as int) as rmin, cast(o_orderkey * 101 % 4320 as int) as smin,
   cast(1 + o_orderkey % 9 as int) as agent_interactions,
   case when o_orderkey % 17 = 0 then null when o_orderstatus = 'F' then 'Satisfied' when o_orderstatus = 'O' then 'Neutral' else 'Dissatisfied' end as survey_results
-  from orders where o_custkey % 20 <> 3) x""",
+  from orders) x""",
     "fact_incident": """
 select incident_id, client_id, site_id, priority_id, opened_at,
   opened_at + amin * INTERVAL '1' MINUTE as acknowledged_at,
   case when incident_id % 13 = 0 then null else opened_at + (amin + (1 + reassignment_count) * hmin) * INTERVAL '1' MINUTE end as resolved_at,
   incident_state, reassignment_count, reopen_count, made_sla
-from (select l_orderkey * 10 + l_linenumber as incident_id, o_custkey as client_id, l_suppkey as site_id,
+from (select l_orderkey * 10 + l_linenumber as incident_id, case when o_custkey % 10 = 0 then o_custkey + 1 else o_custkey end as client_id, l_suppkey as site_id,
   cast(1 + l_partkey % 4 as int) as priority_id,
   l_shipdate + cast(l_partkey * 37 % 1440 as int) * INTERVAL '1' MINUTE as opened_at,
   cast(l_partkey * 53 % 61 as int) as amin, cast(l_suppkey * 101 % 1440 as int) as hmin,
@@ -63,11 +63,11 @@ from (select l_orderkey * 10 + l_linenumber as incident_id, o_custkey as client_
   case l_linestatus when 'F' then 'closed' else 'resolved' end as incident_state,
   row_number() over (partition by l_orderkey, l_linenumber order by l_partkey, l_suppkey, l_shipdate,
      l_extendedprice, l_quantity, l_discount, l_tax, l_returnflag, l_linestatus) as rn
-  from lineitem join orders on l_orderkey = o_orderkey where o_custkey % 10 <> 0) x
+  from lineitem join orders on l_orderkey = o_orderkey) x
 where rn = 1""",
     "fact_metrics": """
 select event_id as metric_id, user_id % 10 as site_id, ts as timestamp_utc,
-  cast(case when value > 100 then 100 else value end as decimal(5,2)) as cpu_util_pct,
+  cast(event_id * 11 % 101 as decimal(5,2)) as cpu_util_pct,
   cast(event_id * 7 % 101 as decimal(5,2)) as mem_util_pct,
   cast(event_id * 13 % 101 as decimal(5,2)) as link_util_pct,
   cast(value as decimal(8,2)) as latency_ms,

@@ -109,6 +109,16 @@ def test_state_cleaning(spark):
     assert [r[0] for r in df.select(clean.clean_state("s")).collect()] == ["new", None, "new", "resolved", "closed", None]
 
 
+def test_leading_int_has_no_digit_limit(spark):
+    df = spark.createDataFrame([("000000000002 - Medium",), ("0000000000000000000007",), ("99999999999 - x",)], "s string")
+    assert [r[0] for r in df.select(clean.leading_int("s")).collect()] == [2, 7, None]
+
+
+def test_every_order_is_a_ticket(wh):
+    assert wh.fact_ticket.count() == wh.raw("orders").count()
+    assert wh.fact_ticket.join(wh.dim_client, "client_id", "left_anti").count() == 0
+
+
 def test_leading_int(spark):
     df = spark.createDataFrame([("2 - Medium",), ("?",), (None,), ("x",)], "s string")
     assert [r[0] for r in df.select(clean.leading_int("s")).collect()] == [2, None, None, None]

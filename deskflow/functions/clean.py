@@ -89,7 +89,9 @@ def incident_priority_label(c) -> Column:
 
 
 def bool_to_int(c) -> Column:
-    return col(c).cast("int")
+    """Flag as 0/1 from a boolean, a number or a text form; else null."""
+    x = col(c)
+    return F.coalesce(x.try_cast("int"), x.cast("string").try_cast("boolean").cast("int"))
 
 
 def synthetic_int(key, lo: int, hi: int, salt: int) -> Column:

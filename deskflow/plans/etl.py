@@ -41,7 +41,13 @@ def _shared(df: DataFrame, keep: list | None) -> DataFrame:
     return df
 
 
-def _first_reason(checks: list[tuple[Column, str]]) -> Column:
+def _not_integer(name: str) -> tuple[Column, Column]:
+    """Check that a column holds an integer; the reason keeps the value."""
+    text = F.coalesce(F.col(name).cast("string"), F.lit("null"))
+    return F.col(name).try_cast("long").isNotNull(), F.concat(F.lit(f"{name} is not an integer: "), text)
+
+
+def _first_reason(checks: list[tuple[Column, str | Column]]) -> Column:
     """Reason of the first failing check (checks are 'is ok' conditions)."""
     out = F.lit(None).cast("string")
     for ok, reason in reversed(checks):
@@ -135,7 +141,7 @@ def prepare_tickets(raw_ticket: DataFrame, dim_agent: DataFrame, dim_priority: D
         F.col("__agent").cast("long").alias("agent_id"), F.col("__prio").cast("int").alias("priority_id"),
         life["created_at"].alias("created_at"), life["first_response_at"].alias("first_response_at"),
         life["resolved_at"].alias("resolved_at"), life["closed_at"].alias("closed_at"),
-        F.lit("Closed").alias("status"),
+        F.col("status").alias("status"),
         clean.truncate(src("source", "Email"), width["source"]).alias("source"),
         clean.truncate(src("type", "General"), width["topic"]).alias("topic"),
         clean.truncate(src("subject", "No subject"), width["subject"]).alias("subject"),
@@ -165,9 +171,14 @@ def rename_ticket_columns_names(columns) -> list[str]:
 
 def load_fact_ticket(raw_ticket: DataFrame, dims: dict[str, DataFrame], as_of: _dt.datetime = AS_OF,
                      keep: list | None = None):
-    """(accepted, rejected) ticket rows after the key checks."""
+    """(accepted, rejected) ticket rows.  Rejected: a supplied key that is
+    not an integer, a repeated ticket id (the first by ``seq``, which is
+    unique, stays), or a failed key check."""
+    raw_ticket, bad = split_supplied_keys(raw_ticket)
     rows = prepare_tickets(raw_ticket, dims["dim_agent"], dims["dim_priority"], as_of)
     accepted, rejected = split_by_foreign_keys(rows, ticket_key_checks(dims, raw_ticket.columns))
+    if bad is not None:
+        rejected = rejected.unionByName(bad, allowMissingColumns=True)
     if keep is None:
         return accepted, rejected
     both = _shared(accepted.withColumn("reject_reason", F.lit(None).cast("string")).unionByName(rejected), keep)
@@ -175,6 +186,28 @@ def load_fact_ticket(raw_ticket: DataFrame, dims: dict[str, DataFrame], as_of: _
             both.where(F.col("reject_reason").isNotNull()))
 
 
+def split_supplied_keys(raw_ticket: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(rows with sound keys, rejected ticket_id and reason or None): supplied
+    keys become integers, and only the first row of a ticket id stays."""
+    supplied = [c for c in ("ticket_id", "client_id", "site_id") if c in raw_ticket.columns]
+    if not supplied:
+        return raw_ticket, None
+    # A null client or site is no key at all, but a null ticket id is.
+    checks = [_not_integer(c) if c == "ticket_id" else (_not_integer(c)[0] | F.col(c).isNull(), _not_integer(c)[1])
+              for c in supplied]
+    marked = raw_ticket.withColumn("reject_reason", _first_reason(checks))
+    marked = marked.withColumns({c: F.col(c).try_cast("long") for c in supplied})
+    if "ticket_id" in supplied:
+        sound = marked.where(F.col("reject_reason").isNull())
+        first = sound.groupBy(F.col("ticket_id").alias("__id")).agg(F.min("seq").alias("__seq"))
+        again = F.when(F.col("seq") != F.col("__seq"), F.lit("ticket_id is repeated"))
+        marked = marked.join(first, F.col("ticket_id") == F.col("__id"), "left").withColumn(
+            "reject_reason", F.coalesce("reject_reason", again)).drop("__id", "__seq")
+    number = F.col("ticket_id") if "ticket_id" in supplied else F.lit(None).cast("long")
+    bad = marked.where(F.col("reject_reason").isNotNull()).select(number.alias("ticket_id"), "reject_reason")
+    return marked.where(F.col("reject_reason").isNull()).drop("reject_reason"), bad
+
+
 def fk_rejects(batch: DataFrame, dim_client: DataFrame, dim_site: DataFrame) -> DataFrame:
     """Batch rows whose client or site does not exist, with the reason."""
     _, rejected = split_by_foreign_keys(batch, [
@@ -192,17 +225,22 @@ def pk_dedupe(batch: DataFrame, target: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- incidents
-def incident_clean(raw_incident: DataFrame) -> DataFrame:
+INCIDENT_TIMES = ("acknowledged_at", "resolved_at", "closed_at")
+INCIDENT_COUNTS = ("reopen_count", "client_id", "site_id")
+
+
+def incident_clean(raw_incident: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Placeholders to null, trimmed/lowered text, state codes, leading
     integers of impact/urgency, priority label, booleans as 0/1, day-first
-    open time."""
+    times.  Further times, counts and keys come along when the source has
+    them; so do ``keep`` columns, as they are."""
     df = raw_incident
     out = df.select(
         F.col("number").alias("incident_id"),
         clean.clean_state("incident_state").alias("incident_state"),
         clean.bool_to_int("active").alias("active"),
         clean.bool_to_int("made_sla").alias("made_sla"),
-        F.col("reassignment_count").cast("int").alias("reassignment_count"),
+        F.col("reassignment_count").try_cast("int").alias("reassignment_count"),
         F.col("sys_mod_count").alias("modification_count"),
         parse_dayfirst("opened_at").alias("opened_at"),
         clean.leading_int("impact").alias("impact"),
@@ -212,6 +250,9 @@ def incident_clean(raw_incident: DataFrame) -> DataFrame:
         clean.placeholder_to_null("vendor", "?").alias("vendor"),
         F.trim("assignment_group").alias("assignment_group"),
         F.lower(F.trim("contact_type")).alias("contact_type"),
+        *[parse_dayfirst(F.col(c).cast("string")).alias(c) for c in INCIDENT_TIMES if c in df.columns],
+        *[F.col(c).try_cast("long").alias(c) for c in INCIDENT_COUNTS if c in df.columns],
+        *keep,
     )
     return out
 
@@ -222,14 +263,20 @@ def incident_priority_rules(raw_incident: DataFrame) -> DataFrame:
                                clean.incident_priority_id(F.col("priority"), label).alias("priority_id"))
 
 
-def _incident_reason() -> Column:
-    return _first_reason([(F.col("impact").isNotNull(), "impact is not an integer"),
-                          (F.col("urgency").isNotNull(), "urgency is not an integer")])
+def _incidents_with_reason(raw_incident: DataFrame) -> DataFrame:
+    """Clean incidents with the first failing conversion; ``seq`` stays when
+    the source has it."""
+    counts = ["reassignment_count", *[c for c in INCIDENT_COUNTS if c in raw_incident.columns]]
+    checks = [_not_integer("number")]
+    checks += [(_not_integer(c)[0] | F.col(c).isNull(), _not_integer(c)[1]) for c in counts]
+    checks += [(clean.leading_int(c).isNotNull(), f"{c} is not an integer") for c in ("impact", "urgency")]
+    keep = ("seq", "reject_reason") if "seq" in raw_incident.columns else ("reject_reason",)
+    return incident_clean(raw_incident.withColumn("reject_reason", _first_reason(checks)), keep)
 
 
 def incident_rejects(raw_incident: DataFrame) -> DataFrame:
-    c = incident_clean(raw_incident).withColumn("reject_reason", _incident_reason())
-    return c.where(F.col("reject_reason").isNotNull()).select("incident_id", "reject_reason")
+    c = _incidents_with_reason(raw_incident)
+    return c.where(F.col("reject_reason").isNotNull()).select(F.col("incident_id").try_cast("long").alias("incident_id"), "reject_reason")
 
 
 INCIDENT_ORDER = ["opened_at", "incident_state", "impact", "urgency", "priority", "vendor",
@@ -247,31 +294,44 @@ def incident_impute(fact_incident: DataFrame) -> DataFrame:
 
 def load_fact_incident(raw_incident: DataFrame, dims: dict[str, DataFrame], as_of: _dt.datetime = AS_OF,
                        keep: list | None = None):
-    """(accepted, rejected) incident rows.  Rejected: impact or urgency not
-    an integer, or a key check; accepted: first row per incident id."""
-    c = _shared(incident_clean(raw_incident).withColumn("reject_reason", _incident_reason()), keep)
-    rejected = c.where(F.col("reject_reason").isNotNull()).select("incident_id", "reject_reason")
-    ok = first_per_key(c.where(F.col("reject_reason").isNull()).drop("reject_reason"), ["incident_id"], INCIDENT_ORDER)
+    """(accepted, rejected) incident rows.  Rejected: a number that is not an
+    integer, or a key check; accepted: first row per incident id, by ``seq``
+    when the source has it.  Times, counts and keys of the source are taken
+    as they are; only missing ones are imputed or defaulted."""
+    c = _shared(_incidents_with_reason(raw_incident), keep)
+    rejected = c.where(F.col("reject_reason").isNotNull()).select(F.col("incident_id").try_cast("long").alias("incident_id"), "reject_reason")
+    sound = c.where(F.col("reject_reason").isNull()).drop("reject_reason")
+    sound = sound.withColumn("incident_id", F.col("incident_id").try_cast("long"))
+    given = set(sound.columns)
+    ok = first_per_key(sound, ["incident_id"], (["seq"] if "seq" in given else []) + INCIDENT_ORDER)
     key = "incident_id"
     opened = F.coalesce(F.col("opened_at"), add_days(as_of_lit(as_of), -clean.synthetic_int(key, 1, 180, SALT_DAYS)))
+    imputed = add_hours(opened, clean.synthetic_int(key, 1, 72, SALT_RESOLVE))
     w = schemas.INCIDENT_TEXT_WIDTHS
+
+    def supplied(name: str, default: Column) -> Column:
+        return F.coalesce(F.col(name), default) if name in given else default
+
+    default_key = {c: F.lit(schemas.INCIDENT_DEFAULTS[c]).cast("long") for c in ("client_id", "site_id")}
     rows = ok.select(
-        F.col("incident_id").cast("long"), F.lit(None).cast("long").alias("ticket_id"),
-        F.lit(schemas.INCIDENT_DEFAULTS["client_id"]).cast("long").alias("client_id"),
-        F.lit(schemas.INCIDENT_DEFAULTS["site_id"]).cast("long").alias("site_id"),
+        F.col("incident_id"), F.lit(None).cast("long").alias("ticket_id"),
+        *[supplied(c, d).alias(c) for c, d in default_key.items()],
         clean.incident_priority_id(F.col("priority"), F.col("priority_name")).alias("priority_id"),
         opened.alias("opened_at"),
-        add_hours(opened, clean.synthetic_int(key, 1, 72, SALT_RESOLVE)).alias("resolved_at"),
+        *[F.col(c) for c in ("acknowledged_at", "closed_at") if c in given],
+        supplied("resolved_at", imputed).alias("resolved_at"),
         clean.truncate("incident_state", w["incident_state"]).alias("incident_state"),
-        "active", "reassignment_count", F.lit(0).alias("reopen_count"), "made_sla",
+        "active", "reassignment_count", supplied("reopen_count", F.lit(0)).cast("int").alias("reopen_count"), "made_sla",
         clean.truncate("contact_type", w["contact_type"]).alias("contact_type"),
         "impact", "urgency",
         clean.truncate("assignment_group", w["assignment_group"]).alias("assignment_group"),
     )
     rows = _shared(rows, keep)
+    # A key that the source lacks holds its default for every row: one test.
+    tested = {c: c if c in given else Constant(schemas.INCIDENT_DEFAULTS[c]) for c in default_key}
     accepted, fk_rej = split_by_foreign_keys(rows, [
-        (Constant(schemas.INCIDENT_DEFAULTS["client_id"]), dims["dim_client"], "client_id", "client_id not in dim_client"),
-        (Constant(schemas.INCIDENT_DEFAULTS["site_id"]), dims["dim_site"], "site_id", "site_id not in dim_site"),
+        (tested["client_id"], dims["dim_client"], "client_id", "client_id not in dim_client"),
+        (tested["site_id"], dims["dim_site"], "site_id", "site_id not in dim_site"),
         ("priority_id", dims["dim_priority"], "priority_id", "priority_id not in dim_priority")])
     return accepted, rejected.unionByName(fk_rej.select("incident_id", "reject_reason"))
 

@@ -150,14 +150,15 @@ def audit_log(spark: SparkSession, report: DataFrame, root: str, as_of: _dt.date
     """Append one audit row for the run (real stored and rejected counts of
     the facts) and return the audit table."""
     facts = report.where(F.col("table_name").isin(FACTS))
+    path = f"{root}/etl_audit_log"
+    files.create_if_absent(spark, path, schemas.ETL_AUDIT_LOG)
+    last = files.read_table(spark, path, schemas.ETL_AUDIT_LOG).agg(F.coalesce(F.max("audit_id"), F.lit(0)).alias("last"))
     row = facts.agg(F.sum("accepted_rows").alias("acc"), F.sum("rejected_rows").alias("rej")).select(
-        F.lit(1).cast("long").alias("audit_id"),
+        (last.scalar() + 1).cast("long").alias("audit_id"),
         F.lit(f"deskflow_load_{as_of:%Y%m%d_%H%M%S}").alias("process_name"),
         F.col("acc").cast("string").alias("rows_processed"), F.lit("COMPLETED").alias("status"),
         etl.as_of_lit(as_of).alias("run_timestamp"),
         F.concat(F.lit("rejected="), F.col("rej").cast("string")).alias("notes"))
-    path = f"{root}/etl_audit_log"
-    files.create_if_absent(spark, path, schemas.ETL_AUDIT_LOG)
     files.append(row, path, schemas.ETL_AUDIT_LOG)
     return files.read_table(spark, path, schemas.ETL_AUDIT_LOG)
 

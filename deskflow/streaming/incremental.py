@@ -2,9 +2,10 @@
 
 New raw metric files landing in a folder are picked up by a file-source
 stream, a few files per micro-batch; each batch is cleaned and checked like
-the batch load and appended to the fact table.  Appends are idempotent: a
-batch only adds rows whose key (``seq``) the table does not hold yet, so a
-batch replayed after a failure adds nothing twice.  Progress is kept in the
+the batch load and appended to the fact table; rejected rows go to a table
+beside it.  Appends are idempotent: a batch only adds one row for each key
+(``seq``) that the table does not hold yet, so a key repeated in a batch, or
+a batch replayed after a failure, adds nothing twice.  Progress is kept in the
 stream's checkpoint folder, so a restarted run continues where it stopped.
 """
 
@@ -12,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from deskflow.operators.joins import new_rows_only
+from deskflow.operators.joins import first_per_key, new_rows_only
 from deskflow.plans import etl
 
 ACCEPTED_SCHEMA = T.StructType([
@@ -22,6 +23,7 @@ ACCEPTED_SCHEMA = T.StructType([
     T.StructField("link_util_pct", T.DecimalType(5, 2)), T.StructField("latency_ms", T.DecimalType(8, 2)),
     T.StructField("packet_loss_pct", T.DecimalType(5, 2)),
 ])
+REJECT_SCHEMA = T.StructType([T.StructField("seq", T.LongType()), T.StructField("reject_reason", T.StringType())])
 
 
 def land_in_files(raw_metrics: DataFrame, landing: str, files: int) -> None:
@@ -33,8 +35,9 @@ def land_in_files(raw_metrics: DataFrame, landing: str, files: int) -> None:
 def run_incremental(spark: SparkSession, landing: str, raw_schema: T.StructType, dim_site: DataFrame,
                     target: str, checkpoint: str, files_per_batch: int = 1) -> DataFrame:
     """Drain the landing folder into ``target`` (available-now trigger) and
-    return the target table."""
+    return the target table; rejects go to ``<target>_rejects``."""
     spark.createDataFrame([], ACCEPTED_SCHEMA).write.mode("ignore").parquet(target)
+    spark.createDataFrame([], REJECT_SCHEMA).write.mode("ignore").parquet(f"{target}_rejects")
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
         rows = etl.accepted_metrics(batch, dim_site)
@@ -44,7 +47,11 @@ def run_incremental(spark: SparkSession, landing: str, raw_schema: T.StructType,
         # Only keys in this batch's range can collide; the range filter lets
         # the parquet reader skip files and row groups by their statistics.
         existing = spark.read.schema(ACCEPTED_SCHEMA).parquet(target).where(F.col("seq").between(lo, hi))
+        rows = first_per_key(rows, ["seq"], ["timestamp_utc", "site_id"])
         new_rows_only(rows, existing, ["seq"]).write.mode("append").parquet(target)
+        rejects = etl.metrics_rejects(batch, dim_site).distinct()
+        held = spark.read.schema(REJECT_SCHEMA).parquet(f"{target}_rejects").where(F.col("seq").between(lo, hi))
+        new_rows_only(rejects, held, ["seq", "reject_reason"]).write.mode("append").parquet(f"{target}_rejects")
 
     stream = (spark.readStream.schema(raw_schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing)
               .writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)

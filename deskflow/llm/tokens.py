@@ -157,10 +157,6 @@ class Tokens:
         pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
         self.merge = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
         self.longest = max(map(len, self.ids))
-        self.bytes = {i: b for b, i in self.ids.items()}
-        pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
-        self.merge = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
-        self.longest = max(map(len, self.ids))
         self.reach: dict[bytes, int] = {}  # longest token by its last three bytes
         for t in self.ids:
             if len(t) > 2:

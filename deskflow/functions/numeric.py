@@ -55,10 +55,6 @@ def first_label_of_min(label, value) -> Column:
     return F.min_by(col(label), F.struct(col(value), col(label)))
 
 
-def count_where(cond: Column) -> Column:
-    return F.count_if(cond)
-
-
 def sum_flag(cond: Column) -> Column:
     """``SUM(CASE WHEN cond THEN 1 ELSE 0 END)`` as bigint."""
     return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))).cast("long")

@@ -79,10 +79,10 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     the first).  An aggregate with map-side partial merge, not a window, so
     a hot key is combined before the shuffle."""
     others = [c for c in df.columns if c not in keys]
-    packed = F.struct(*[F.col(c) for c in others])
+    packed = F.struct(*[F.col(c) for c in others]).alias("__row")
     rank = F.struct(*[F.col(c) for c in order], packed)
-    return (df.groupBy(*keys).agg(F.min_by(packed, rank).alias("__row"))
-            .select(*keys, *[F.col(f"__row.{c}").alias(c) for c in others])
+    return (df.groupBy(*keys).agg(F.min(rank).alias("__first"))
+            .select(*keys, *[F.col(f"__first.__row.{c}").alias(c) for c in others])
             .select(*df.columns))
 
 

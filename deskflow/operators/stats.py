@@ -59,22 +59,24 @@ def crosstab_fixed(df: DataFrame, row_key: str, row_values: Sequence[str], col_k
 
 def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     """Quartiles (linear interpolation), 1.5 IQR whiskers (most extreme value
-    inside the fences) and the outlier count per group: two aggregations,
-    the second over the rows joined with their group's fences."""
-    v = col(value).cast("double")
-    q = (df.groupBy(group)
-         .agg(F.count(v).alias("n"), F.percentile(v, [0.25, 0.5, 0.75]).alias("__q"))
+    inside the fences) and the outlier count per group.  Rows are counted per
+    (group, value) first; quartiles, whiskers and outliers come from those
+    counts, so the rows themselves are read and shuffled once."""
+    counted = df.groupBy(group, col(value).cast("double").alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+    x, n = F.col("__v"), F.col("__n")
+    q = (counted.groupBy(group)
+         .agg(F.coalesce(F.sum(F.when(x.isNotNull(), n)), F.lit(0).cast("long")).alias("n"),
+              F.percentile(x, [0.25, 0.5, 0.75], n).alias("__q"))
          .select(group, "n", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"),
                  F.col("__q")[2].alias("q3")))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     q = q.withColumn("lower_fence", F.col("q1") - 1.5 * F.col("iqr")).withColumn(
         "upper_fence", F.col("q3") + 1.5 * F.col("iqr"))
     fences = q.select(group, "lower_fence", "upper_fence")
-    joined = df.select(group, v.alias("__v")).join(fences, group)
-    x, lo, hi = F.col("__v"), F.col("lower_fence"), F.col("upper_fence")
-    w = joined.groupBy(group).agg(
+    lo, hi = F.col("lower_fence"), F.col("upper_fence")
+    w = counted.join(fences, group).groupBy(group).agg(
         F.min(F.when(x >= lo, x)).alias("whisker_low"), F.max(F.when(x <= hi, x)).alias("whisker_high"),
-        F.count_if((x < lo) | (x > hi)).alias("outliers"))
+        F.coalesce(F.sum(F.when((x < lo) | (x > hi), n)), F.lit(0).cast("long")).alias("outliers"))
     return q.join(w, group)
 
 

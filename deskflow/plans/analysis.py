@@ -8,6 +8,8 @@ null group keys are dropped.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from deskflow import schemas
@@ -195,26 +197,19 @@ def insights(te: DataFrame, ie: DataFrame, home: str) -> DataFrame:
     i = i.withColumn("hours_per_reassignment", _mean_step(F.col("bin_means"), len(bin_means)))
     top = top_clients_by_rework(ie, 1)
 
-    def metric(frame: DataFrame, name: str, value=None, label=None) -> DataFrame:
-        return frame.select(F.lit(name).alias("metric"),
-                            (F.col(label) if label else F.lit(None)).cast("string").alias("label"),
-                            (F.col(value) if value else F.lit(None)).cast("double").alias("value"))
-
-    parts = [
-        metric(t, "home_ticket_share_pct", "home_ticket_share_pct"),
-        metric(t, "international_ticket_share_pct", "international_ticket_share_pct"),
-        metric(t, "medium_ticket_share_pct", "medium_ticket_share_pct"),
-        metric(i, "mttr_gap_hours", "mttr_gap_hours"),
-        metric(i, "hours_per_reassignment", "hours_per_reassignment"),
-        metric(top, "top_rework_client", "avg_reassignments", "client_name"),
-        metric(i, "critical_mttr_hours", "critical_mttr_hours"),
-        metric(i, "reopen_rate_pct", "reopen_rate_pct"),
-        metric(i, "focus_region", label="focus_region"),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    shares = ["home_ticket_share_pct", "international_ticket_share_pct", "medium_ticket_share_pct"]
+    figures = ["mttr_gap_hours", "hours_per_reassignment", "critical_mttr_hours", "reopen_rate_pct"]
+    top = top.select(F.lit("top_rework_client").alias("metric"), F.col("client_name").cast("string").alias("label"),
+                     F.col("avg_reassignments").cast("double").alias("value"))
+    return _stacked(t, shares).unionByName(_stacked(i, figures, ["focus_region"])).unionByName(top)
+
+
+def _stacked(row: DataFrame, values: Sequence[str], labels: Sequence[str] = ()) -> DataFrame:
+    """(metric, label, value) rows from the columns of one row, which is
+    computed once."""
+    lines = [f"'{c}', cast(null as string), cast(`{c}` as double)" for c in values]
+    lines += [f"'{c}', cast(`{c}` as string), cast(null as double)" for c in labels]
+    return row.selectExpr(f"stack({len(lines)}, {', '.join(lines)}) as (metric, label, value)")
 
 
 def _mean_step(means, n: int):

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from deskflow import schemas
 from deskflow.functions.numeric import first_label_of_max, int_avg, pct2, share_pct, sum_flag
@@ -30,19 +30,25 @@ def executive_summary(fact_incident, dim_site, dim_region, dim_priority, critica
     """Largest region's share of incidents, SLA compliance and breaches,
     and the critical-priority mean resolution in days against its target."""
     i = _incidents_by_region(fact_incident, dim_site, dim_region, dim_priority)
-    per_region = i.groupBy("region_name").agg(F.count(F.lit(1)).alias("n"))
-    top = per_region.agg(first_label_of_max("region_name", "n").alias("top_region"), F.max("n").alias("top_n"))
-    n = F.count(F.lit(1))
-    breaches = F.count_if(F.col("made_sla") == 0)
     critical = F.when(F.col("priority_name") == "Critical", hours_crossed("opened_at", "resolved_at"))
-    totals = i.agg(n.alias("total_incidents"), breaches.alias("sla_breaches"),
-                   share_pct(n - breaches, n).alias("sla_compliance_pct"),
-                   (F.avg(critical) / 24.0).alias("critical_avg_resolution_days"))
-    top_n = top.select("top_n").scalar()
-    return totals.select(
-        "total_incidents", top.select("top_region").scalar().alias("top_region"), top_n.alias("top_region_incidents"),
-        share_pct(top_n, F.col("total_incidents")).alias("top_region_share_pct"),
-        "sla_breaches", "sla_compliance_pct", "critical_avg_resolution_days",
+    # One pass over the incidents: sums per region, then over the regions.
+    per_region = i.groupBy("region_name").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("made_sla") == 0).alias("breaches"),
+        F.sum(critical).alias("critical_hours"), F.count(critical).alias("critical_n"))
+
+    def total(name: str) -> Column:
+        return F.coalesce(F.sum(name), F.lit(0).cast("long"))
+
+    row = per_region.agg(first_label_of_max("region_name", "n").alias("top_region"), F.max("n").alias("top_region_incidents"),
+                         total("n").alias("total_incidents"), total("breaches").alias("sla_breaches"),
+                         total("critical_hours").alias("critical_hours"), total("critical_n").alias("critical_n"))
+    n, breaches = F.col("total_incidents"), F.col("sla_breaches")
+    critical_avg = F.try_divide(F.col("critical_hours").cast("double"), F.col("critical_n").cast("double"))
+    return row.select(
+        "total_incidents", "top_region", "top_region_incidents",
+        share_pct(F.col("top_region_incidents"), n).alias("top_region_share_pct"),
+        "sla_breaches", share_pct(n - breaches, n).alias("sla_compliance_pct"),
+        (critical_avg / 24.0).alias("critical_avg_resolution_days"),
         F.lit(critical_target_hours).alias("critical_target_hours"))
 
 

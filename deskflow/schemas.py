@@ -22,6 +22,11 @@ def dec(p: int, s: int) -> T.DecimalType:
     return T.DecimalType(p, s)
 
 
+# ---------------------------------------------------------------------------
+# These must equal the source system's tables and rules for
+# equal results.
+# ---------------------------------------------------------------------------
+
 # dim_client is the union of the DDL columns and the columns the loaders use.
 DIM_CLIENT = _schema(
     ("client_id", L), ("client_name", S), ("industry", S), ("size_segment", S),
@@ -110,10 +115,6 @@ PRIMARY_KEYS = {
     "dim_priority": "priority_id", "dim_region": "region_id",
 }
 
-# ---------------------------------------------------------------------------
-# These must equal the source system's rules for equal results.
-# ---------------------------------------------------------------------------
-
 # Priority dimension rows (id, name, severity rank).
 PRIORITY_ROWS = [(1, "Critical", 1), (2, "High", 2), (3, "Medium", 3), (4, "Low", 4)]
 

@@ -175,7 +175,7 @@ def q_fk_rejects(spark, sf_dir):
 @register("pk_dedupe")
 def q_pk_dedupe(spark, sf_dir):
     w = _wh(spark, sf_dir)
-    return etl.pk_dedupe(w.batch_ticket, w.fact_ticket)
+    return etl.pk_dedupe(w.batch_ticket, w.fact_ticket.where("status = 'Closed'"))
 
 
 @register("incident_clean")

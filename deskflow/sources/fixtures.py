@@ -13,13 +13,14 @@ from __future__ import annotations
 from decimal import Decimal
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from deskflow import schemas
 from deskflow.functions.temporal import add_minutes
 from deskflow.functions.util import local_rows
 
 HOME_COUNTRY = "ASIA"
+REPEAT_STEP = 10_000_000_000_000  # added to an incident id for each repeat of its order line
 
 # Footer schemas of the test tables by path (read-only inputs).
 _SCHEMAS: dict[str, object] = {}
@@ -137,24 +138,25 @@ class Warehouse:
              .when(F.col("o_orderstatus") == "O", "Neutral").otherwise("Dissatisfied").alias("survey_results"),
         )
 
-    def _lineitem_first(self) -> DataFrame:
-        """One lineitem per (order, line number): the smallest by a fixed
-        column order.  An aggregate (partial on the map side), not a window,
-        so a hot order key does not land whole in one task."""
-        li = self.raw("lineitem")
+    def _lineitem_numbered(self) -> DataFrame:
+        """Every lineitem with its occurrence number (0, 1, ...) among the
+        rows of its order and line number, by a fixed column order; rows
+        equal in all of it are interchangeable.  Partitions are as small as
+        the repeats of one order line; sorting spills where they are not."""
+        key = ["l_orderkey", "l_linenumber"]
         order_cols = ["l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity",
                       "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
-        first = F.min_by(F.struct(*order_cols), F.struct(*order_cols)).alias("r")
-        return li.groupBy("l_orderkey", "l_linenumber").agg(first).select("l_orderkey", "l_linenumber", "r.*")
+        nth = F.row_number().over(Window.partitionBy(*key).orderBy(*order_cols)) - 1
+        return self.raw("lineitem").select(*key, *order_cols, nth.cast("long").alias("nth"))
 
     @cached_property
     def fact_incident(self) -> DataFrame:
         # Some clients stay without incidents: theirs go to a neighbour.
         cust = F.when(F.col("o_custkey") % 10 == 0, F.col("o_custkey") + 1).otherwise(F.col("o_custkey"))
         o = self.raw("orders").select("o_orderkey", cust.alias("client_id"))
-        li = self._lineitem_first()
+        li = self._lineitem_numbered()
         x = li.join(o, li.l_orderkey == o.o_orderkey)
-        inc_id = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+        inc_id = F.col("l_orderkey") * 10 + F.col("l_linenumber") + F.col("nth") * REPEAT_STEP
         part, supp = F.col("l_partkey"), F.col("l_suppkey")
         opened = add_minutes("l_shipdate", (part * 37 % 1440).cast("int"))
         amin, hmin = (part * 53 % 61).cast("int"), (supp * 101 % 1440).cast("int")

@@ -54,17 +54,16 @@ select incident_id, client_id, site_id, priority_id, opened_at,
   opened_at + amin * INTERVAL '1' MINUTE as acknowledged_at,
   case when incident_id % 13 = 0 then null else opened_at + (amin + (1 + reassignment_count) * hmin) * INTERVAL '1' MINUTE end as resolved_at,
   incident_state, reassignment_count, reopen_count, made_sla
-from (select l_orderkey * 10 + l_linenumber as incident_id, case when o_custkey % 10 = 0 then o_custkey + 1 else o_custkey end as client_id, l_suppkey as site_id,
+from (select l_orderkey * 10 + l_linenumber + (nth - 1) * 10000000000000 as incident_id, case when o_custkey % 10 = 0 then o_custkey + 1 else o_custkey end as client_id, l_suppkey as site_id,
   cast(1 + l_partkey % 4 as int) as priority_id,
   l_shipdate + cast(l_partkey * 37 % 1440 as int) * INTERVAL '1' MINUTE as opened_at,
   cast(l_partkey * 53 % 61 as int) as amin, cast(l_suppkey * 101 % 1440 as int) as hmin,
   cast(l_linenumber - 1 as int) as reassignment_count, cast(l_partkey % 3 as int) as reopen_count,
   case when l_partkey % 50 = 0 then null when l_returnflag = 'R' then 0 else 1 end as made_sla,
-  case l_linestatus when 'F' then 'closed' else 'resolved' end as incident_state,
-  row_number() over (partition by l_orderkey, l_linenumber order by l_partkey, l_suppkey, l_shipdate,
-     l_extendedprice, l_quantity, l_discount, l_tax, l_returnflag, l_linestatus) as rn
-  from lineitem join orders on l_orderkey = o_orderkey) x
-where rn = 1""",
+  case l_linestatus when 'F' then 'closed' else 'resolved' end as incident_state
+  from (select *, row_number() over (partition by l_orderkey, l_linenumber order by l_partkey, l_suppkey, l_shipdate,
+     l_extendedprice, l_quantity, l_discount, l_tax, l_returnflag, l_linestatus) as nth from lineitem) l
+  join orders on l_orderkey = o_orderkey) x""",
     "fact_metrics": """
 select event_id as metric_id, user_id % 10 as site_id, ts as timestamp_utc,
   cast(event_id * 11 % 101 as decimal(5,2)) as cpu_util_pct,

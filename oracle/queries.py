@@ -370,7 +370,7 @@ where (b.client_id is not null and c.client_id is null) or (b.site_id is not nul
 
 Q["pk_dedupe"] = """select ticket_id, client_id, site_id, seq
 from (select *, row_number() over (partition by ticket_id order by seq) as rn from batch_ticket) b
-where rn = 1 and not exists (select 1 from fact_ticket f where f.ticket_id = b.ticket_id)"""
+where rn = 1 and not exists (select 1 from fact_ticket f where f.ticket_id = b.ticket_id and f.status = 'Closed')"""
 
 INCIDENT_LABEL = """case priority when '1 - Critical' then 'critical' when '2 - High' then 'high'
   when '3 - Moderate' then 'moderate' when '4 - Low' then 'low' end"""

@@ -43,6 +43,20 @@ def test_first_per_key_and_rerun_adds_nothing(spark):
     assert new_rows_only(first, first, ["ticket_id"]).count() == 0
 
 
+def test_facts_keep_every_row(wh):
+    assert wh.fact_ticket.count() == wh.raw("orders").count()
+    orders = wh.raw("orders").select(F.col("o_orderkey").alias("l_orderkey"))
+    assert wh.fact_incident.count() == wh.raw("lineitem").join(orders, "l_orderkey").count()
+    assert wh.fact_incident.select("incident_id").distinct().count() == wh.fact_incident.count()
+
+
+def test_pk_dedupe_adds_missing_tickets_only(wh):
+    closed = wh.fact_ticket.where("status = 'Closed'")
+    added = etl.pk_dedupe(wh.batch_ticket, closed)
+    missing = wh.batch_ticket.select("ticket_id").distinct().join(closed, "ticket_id", "left_anti")
+    assert added.count() == missing.count() > 0
+
+
 def test_pk_dedupe_second_load_is_empty(wh):
     added = etl.pk_dedupe(wh.batch_ticket, wh.fact_ticket)
     target = wh.fact_ticket.select("ticket_id").unionByName(added.select("ticket_id"))
@@ -121,8 +135,10 @@ def test_entry_and_registry_shapes(spark):
 
     df = entry.entry(spark)
     assert df.count() > 0
-    assert set(entry.queries()) == set(REGISTRY)
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    # the optional corpus queries come on top, with SQL where they have one
+    corpus, corpus_sql = entry._corpus()
+    assert set(entry.queries()) == set(REGISTRY) | set(corpus) and not set(REGISTRY) & set(corpus)
+    assert set(entry.oracle_sql()) == set(REGISTRY) | set(corpus_sql)
 
 
 def test_views_register_for_sql(spark, wh):

@@ -35,6 +35,8 @@ FLOOR = (0.15, 0.05, 0.05, 0.15)
 # the innermost 75 % consistent at the normal, the 97.5 % and the
 # 99.9999 % quantile of chi-square.
 INNER, CONSISTENCY, REWEIGHT, CUTOFF = 0.75, 1.485, 11.14, 33.4
+# Estimates (of about 200 bytes) that may be broadcast: some 20 MB.
+MAX_BROADCAST = 100_000
 
 
 def base_failed() -> Column:
@@ -106,6 +108,13 @@ def _columns(d: int, *extra: str) -> list[str]:
     return [*extra, *[f"m{i}" for i in range(d)], *[f"l{i}{j}" for i in range(d) for j in range(i + 1)]]
 
 
+def _small(estimates: DataFrame, rows: int = MAX_BROADCAST) -> DataFrame:
+    """``estimates`` (stored, one or two short rows a group), to be sent to
+    every task when counted to be at most ``rows``; beyond that the size
+    threshold and skew splitting decide the join."""
+    return F.broadcast(estimates) if estimates.limit(rows + 1).count() <= rows else estimates
+
+
 def mcd(rows: DataFrame, key: str, steps: int = 2) -> DataFrame:
     """One row per group: centre ``m*`` and Cholesky factor ``l**`` of the
     minimum-covariance-determinant estimate, and the fitted rows ``n``.
@@ -118,7 +127,7 @@ def mcd(rows: DataFrame, key: str, steps: int = 2) -> DataFrame:
     med = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"),
                                 *[F.percentile_approx(VECTOR[i], 0.5, 1000).cast("double").alias(f"m{i}") for i in range(d)])
     med = store(med, "mcd-median")
-    near = rows.join(med, key)
+    near = rows.join(_small(med), key)
     first = near.groupBy(key).agg(*_moments(d), *[F.percentile_approx(F.abs(F.col(VECTOR[i]) - F.col(f"m{i}")), 0.5, 1000)
                                                   .cast("double").alias(f"mad{i}") for i in range(d)])
     first = store(first, "mcd-start")
@@ -130,14 +139,14 @@ def mcd(rows: DataFrame, key: str, steps: int = 2) -> DataFrame:
     keys = [key, "start"]
     for step in range(steps):
         state = store(state.select(*keys, *_columns(d, "logdet")), "mcd-state")
-        cut = rows.join(state, key).groupBy(*keys).agg(F.percentile_approx(_distance(d), INNER, 1000).alias("cut"))
+        cut = rows.join(_small(state), key).groupBy(*keys).agg(F.percentile_approx(_distance(d), INNER, 1000).alias("cut"))
         inner = store(state.join(cut, keys), "mcd-cut")
-        sums = rows.join(inner, key).groupBy(*keys).agg(*_moments(d, _distance(d) <= F.col("cut")))
+        sums = rows.join(_small(inner), key).groupBy(*keys).agg(*_moments(d, _distance(d) <= F.col("cut")))
         state = _from_moments(sums, keys, d, CONSISTENCY)
     state = store(state.select(*keys, *_columns(d, "logdet")), "mcd-state")
     best = state.groupBy(key).agg(F.min_by(F.struct(*_columns(d)), F.struct("logdet", "start")).alias("b")).select(key, "b.*")
     best = store(best, "mcd-best")
-    sums = rows.join(best, key).groupBy(key).agg(*_moments(d, _distance(d) <= REWEIGHT), F.count(F.lit(1)).alias("n_rows"))
+    sums = rows.join(_small(best), key).groupBy(key).agg(*_moments(d, _distance(d) <= REWEIGHT), F.count(F.lit(1)).alias("n_rows"))
     final = _from_moments(sums, [key, "n_rows"], d, 1.0)
     return store(final.select(key, F.col("n_rows").alias("n_fitted"), *_columns(d)), "mcd-final")
 
@@ -164,7 +173,7 @@ def quality_rules(docs: DataFrame, carry: list[str] | None = None, min_group: in
     counted = store(counted.drop("lang", "source"), "quality-counts")
     fit = counted.where(~F.col("base_failed"))
     rows = fit.select(F.explode(F.array("g", "g_lang")).alias("g"), *VECTOR)
-    estimates = mcd(rows, "g").where(F.col("n_fitted") >= min_group)
+    estimates = _small(mcd(rows, "g")).where(F.col("n_fitted") >= min_group)
     d = len(VECTOR)
     own = estimates.select("g", F.struct(*_columns(d)).alias("own"))
     by_lang = estimates.select(F.col("g").alias("g_lang"), F.struct(*_columns(d)).alias("wide"))

@@ -32,9 +32,10 @@ VECTOR = ("x1", "x2", "x3", "x4")
 # texts all agree in one coordinate from rejecting the least deviation).
 FLOOR = (0.15, 0.05, 0.05, 0.15)
 # Fixed values for four coordinates: the factor that makes the covariance of
-# the innermost 75 % consistent at the normal, the 97.5 % and the
-# 99.9999 % quantile of chi-square.
-INNER, CONSISTENCY, REWEIGHT, CUTOFF = 0.75, 1.485, 11.14, 33.4
+# the inner half consistent at the normal, the 97.5 % and the 99.9999 %
+# quantile of chi-square.  Half is the most that outliers (a third of the
+# rows may be copies of one text) cannot reach into.
+INNER, CONSISTENCY, REWEIGHT, CUTOFF = 0.5, 2.109, 11.14, 33.4
 # Estimates (of about 200 bytes) that may be broadcast: some 20 MB.
 MAX_BROADCAST = 100_000
 

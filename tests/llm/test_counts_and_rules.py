@@ -71,6 +71,18 @@ def test_clean_documents_stay_and_junk_goes(make):
     assert got[2000].base_failed and got[3000].base_failed and not got[3000].kept
 
 
+def test_copies_of_one_bad_text_do_not_shape_the_estimate(make):
+    rnd = random.Random(2)
+    vocabulary = ["".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(2, 9))) for _ in range(4000)]
+    clean = [(i, " ".join(rnd.choice(vocabulary) for _ in range(rnd.randint(60, 300)))) for i in range(380)]
+    bad = " ".join(rnd.choice(vocabulary) + "###" for _ in range(120))
+    copies = [(1000 + i, bad) for i in range(200)]  # a third of the source
+    other = [(2000 + i, " ".join(rnd.choice(vocabulary) + "$" for _ in range(120))) for i in range(20)]
+    got = {r.doc_id: r for r in quality_rules(make(clean + copies + other)).collect()}
+    assert all(got[i].kept for i, _ in clean)
+    assert not any(got[i].kept or got[i].base_failed for i, _ in copies + other)
+
+
 def test_odd_rows_and_clashing_names(odd, empty):
     extra = odd.withColumn("kept", F.lit("mine")).withColumn("g", F.lit(1)).withColumn("m0", F.lit(2))
     out = quality_rules(extra)

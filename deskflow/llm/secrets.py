@@ -1,9 +1,10 @@
 """Secret scans: patterns, and character Markov models of random strings.
 
-The patterns give the base spans.  Beyond them, long runs of key characters
-are scored by two first-order character models, one of random strings and
-one of ordinary identifiers; a run whose log-likelihood ratio reaches the
-threshold is a ``markov`` span unless a base span overlaps it.  The models
+The patterns give the base spans.  Beyond them, long runs of key characters,
+with the base spans cut out, are scored by two first-order character models,
+one of random strings and one of ordinary identifiers; a run, or what is left
+of it, is a ``markov`` span when its log-likelihood ratio reaches the
+threshold.  The models
 are learned from labelled samples: the values that the patterns caught (all
 of them) against identifiers that come back in a bounded sample of texts.  Pair counts
 are one aggregate; scores are integers (thousandths of a nat), so sums do
@@ -38,7 +39,8 @@ MIN_VALUE = 12
 KINDS = ("assign", "access", "hex", "markov")
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-RUN = r"[A-Za-z0-9+/_=-]{16,}"
+MIN_RUN = 16
+RUN = rf"[A-Za-z0-9+/_=-]{{{MIN_RUN},}}"
 IDENTIFIER = r"[A-Za-z0-9+/_=-]{4,}"
 THRESHOLD = 10_000  # thousandths of a nat: odds of about 22,000 to 1
 MIN_DISTINCT = 8  # characters; a rule drawn with one or two is no key
@@ -74,6 +76,21 @@ def base_spans(text: Column) -> Column:
     return F.sort_array(found)
 
 
+def _pieces(run: Column, base: Column) -> Column:
+    """What the base spans (in order) leave of a run, in pieces of
+    ``MIN_RUN`` characters at least."""
+    def piece(start: Column, end: Column) -> Column:
+        word = F.substring(run["word"], start - run["start"] + 1, end - start)
+        return F.when(end - start >= MIN_RUN, F.array(F.struct(
+            start.alias("start"), run["kind"].alias("kind"), end.alias("end"), word.alias("word")))).otherwise(F.array().cast(FOUND))
+
+    inside = F.filter(base, lambda b: (b["start"] < run["end"]) & (b["end"] > run["start"]))
+    start = F.struct(run["start"].alias("at"), F.array().cast(FOUND).alias("out"))
+    left = F.aggregate(inside, start, lambda s, b: F.struct(
+        F.greatest(s["at"], b["end"]).alias("at"), F.concat(s["out"], piece(s["at"], b["start"])).alias("out")))
+    return let(left, lambda s: F.concat(s["out"], piece(s["at"], run["end"])))
+
+
 def _narrow(spans: Column) -> Column:
     return F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end")))
 
@@ -153,7 +170,7 @@ def secret_scan(docs: DataFrame, carry: list[str] | None = None, sample_texts: i
     text = F.coalesce(F.col("text"), F.lit(""))
     scanned = docs.select(*[F.col(c).alias(f"in_{c}") for c in names],
                           base_spans(text).alias("base"), _spans(text, RUN, 3).alias("runs"))
-    free = F.filter("runs", lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (b["end"] > r["start"])))
+    free = F.flatten(F.transform("runs", lambda r: _pieces(r, F.col("base"))))
     scanned = store(scanned.select(*[f"in_{c}" for c in names], "base", free.alias("runs")), "secret-spans")
 
     caught = scanned.select(F.explode("base.word").alias("word"), F.lit(1).alias("label"))

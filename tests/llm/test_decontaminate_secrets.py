@@ -99,6 +99,21 @@ def test_random_strings_are_found_and_identifiers_left(make):
     assert all(rows[i].startswith("assign:") and "markov" not in rows[i] for i in range(60))
 
 
+def test_random_keys_beside_a_base_span_are_found(make):
+    rnd = random.Random(9)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    plain = ["customer_account_number", "configuration_manager", "international_shipping", "the", "process_transaction_request", "password_reset_link"]
+    texts = [(i, " ".join(rnd.choice(plain) for _ in range(60)) + " token = " + "".join(rnd.choice(letters) for _ in range(32))) for i in range(60)]
+    key = "".join(rnd.choice(letters) for _ in range(40))
+    texts += [(100, f"https://host/deadbeefdeadbeef/{key} end"), (101, f"{key}-0123456789abcdef-{key}"),
+              (102, "customer_account_manager-0123456789abcdef-configuration_manager")]
+    rows = {r.doc_id: r.s for r in secret_scan(make(texts), carry=["doc_id"]).select("doc_id", span_text(F.col("spans")).alias("s")).collect()}
+    assert rows[100] == "hex:13:29,markov:29:70"
+    assert rows[101] == "markov:0:41,hex:41:57,markov:57:98"
+    assert rows[102] == "hex:25:41"
+    assert all("markov" not in rows[i] for i in range(60))
+
+
 def test_log_ratios_of_no_samples_are_zero():
     assert set(log_ratios([])) == {0}
 

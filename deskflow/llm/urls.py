@@ -9,8 +9,10 @@ rejected when its labelled purity, smoothed towards its host's and that
 towards the whole table's, reaches the limit.
 
 All steps are aggregates over distinct host and path pairs: nodes are
-addressed by a running hash, so the tree is handled at all depths at once and
-a host that holds most pages is combined before any shuffle.
+addressed by a running hash, and a host that holds most pages is combined
+before any shuffle.  The tree is rebuilt after each round of wildcards until
+none is added: a round settles the first new wildcard of every path, and what
+lies below it is tested in the next one on the counts of the merged branch.
 
 Defined results: a null url, or one without ``://``, has an empty host and
 path; rules still apply to them as written; urls without labelled relatives
@@ -67,25 +69,21 @@ def segments(path: Column) -> Column:
 
 
 def _nodes(host: Column, segs: Column) -> Column:
-    """array<struct<parent, node, seg>> along a path, by running hash."""
-    start = F.struct(F.xxhash64(host).alias("at"), F.array().cast("array<struct<parent:bigint,node:bigint,seg:string>>").alias("out"))
+    """array<struct<parent, node, wild>> along a path of struct(seg, wild),
+    by running hash."""
+    start = F.struct(F.xxhash64(host).alias("at"), F.array().cast("array<struct<parent:bigint,node:bigint,wild:boolean>>").alias("out"))
 
     def step(s: Column, x: Column) -> Column:
-        return let(F.xxhash64(s["at"], x), lambda node: F.struct(node.alias("at"), F.concat(
-            s["out"], F.array(F.struct(s["at"].alias("parent"), node.alias("node"), x.alias("seg")))).alias("out")))
+        return let(F.xxhash64(s["at"], x["seg"], x["wild"]), lambda node: F.struct(node.alias("at"), F.concat(
+            s["out"], F.array(F.struct(s["at"].alias("parent"), node.alias("node"), x["wild"].alias("wild")))).alias("out")))
 
     return F.aggregate(segs, start, step)["out"]
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """(pid, host, template, n_bad, n_labelled) per distinct host and
-    segment list of ``pages`` (host, path, bad); ``bad`` is 1, 0 or null."""
-    paths = pages.select("host", segments(F.col("path")).alias("segs"), F.col("bad").cast("long").alias("bad")) \
-        .groupBy("host", "segs").agg(F.count(F.lit(1)).alias("n"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-    paths = store(paths.select(F.xxhash64("host", "segs").alias("pid"), "host", _nodes(F.col("host"), F.col("segs")).alias("nodes"),
-                               "n", "labelled", "bad"), "url-paths")
-    steps = paths.select(F.explode("nodes").alias("x"), "n", "labelled", "bad").select("x.parent", "x.node", "n", "labelled", "bad")
-    branch = store(steps.groupBy("parent", "node").agg(F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad")), "url-branches")
+def _new_wildcards(paths: DataFrame) -> DataFrame:
+    """(wild_node): branches of the tree of ``paths`` to be made wildcards."""
+    steps = paths.select(F.explode("nodes").alias("x"), "n", "labelled", "bad").select("x.*", "n", "labelled", "bad")
+    branch = store(steps.groupBy("parent", "node", "wild").agg(F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad")), "url-branches")
     parent = branch.groupBy("parent").agg(F.count(F.lit(1)).alias("children"), F.sum("n").alias("pn"), F.sum("labelled").alias("pl"),
                                           F.sum("bad").alias("pb")).withColumnRenamed("parent", "parent2")
     spread = (F.col("children") >= MANY_CHILDREN) & (F.col("children") >= LEAST_SPREAD * F.col("pn"))
@@ -93,15 +91,31 @@ def templates(pages: DataFrame) -> DataFrame:
     # Two shares: the branch against its parent.  Unlabelled branches cannot differ.
     z = F.abs(F.col("bad") - F.col("labelled") * p) / F.sqrt(F.greatest(F.col("labelled") * p * (1 - p), F.lit(1e-9)))
     same = (F.col("labelled") == 0) | (z < SAME_Z)
-    merged = branch.join(parent, F.col("parent") == F.col("parent2")).select(
-        "node", (spread | ((F.col("children") > 1) & same)).alias("wild"))
-    merged = store(merged.where("wild").select(F.col("node").alias("wild_node")), "url-wildcards")
-    flagged = paths.select("pid", F.posexplode("nodes").alias("i", "x")).select("pid", "i", "x.node", "x.seg") \
-        .join(merged, F.col("node") == F.col("wild_node"), "left") \
-        .select("pid", F.struct("i", F.when(F.col("wild_node").isNotNull(), "*").otherwise(F.col("seg")).alias("s")).alias("e"))
-    named = flagged.groupBy(F.col("pid").alias("pid2")).agg(F.concat_ws("/", F.transform(F.sort_array(F.collect_list("e")), lambda e: e["s"])).alias("t"))
-    out = paths.join(named, F.col("pid") == F.col("pid2"), "left")
-    return out.select("pid", "host", F.concat(F.lit("/"), F.coalesce("t", F.lit(""))).alias("template"), "labelled", "bad")
+    merged = branch.join(parent, F.col("parent") == F.col("parent2")).where(
+        ~F.col("wild") & (spread | ((F.col("children") > 1) & same)))
+    return store(merged.select(F.col("node").alias("wild_node")), "url-wildcards")
+
+
+def templates(pages: DataFrame) -> DataFrame:
+    """(pid, host, template, n_bad, n_labelled) per distinct host and
+    segment list of ``pages`` (host, path, bad); ``bad`` is 1, 0 or null."""
+    paths = pages.select("host", segments(F.col("path")).alias("segs"), F.col("bad").cast("long").alias("bad")) \
+        .groupBy("host", "segs").agg(F.count(F.lit(1)).alias("n"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
+    tree = F.transform("segs", lambda x: F.struct(x.alias("seg"), F.lit(False).alias("wild")))
+    counts = ("n", "labelled", "bad")
+    paths = paths.select(F.xxhash64("host", "segs").alias("pid"), "host", tree.alias("tree"), *counts)
+    while True:
+        paths = store(paths.select("pid", "host", "tree", _nodes(F.col("host"), F.col("tree")).alias("nodes"), *counts), "url-paths")
+        merged = _new_wildcards(paths)
+        if merged.isEmpty():
+            break
+        first = paths.select("pid", F.posexplode("nodes").alias("i", "x")).select("pid", "i", "x.node") \
+            .join(merged, F.col("node") == F.col("wild_node")) \
+            .groupBy(F.col("pid").alias("pid2")).agg(F.min("i").alias("first"))
+        star = F.transform("tree", lambda x, i: F.when(i == F.col("first"), F.struct(F.lit("*").alias("seg"), F.lit(True).alias("wild"))).otherwise(x))
+        paths = paths.join(first, F.col("pid") == F.col("pid2"), "left").select("pid", "host", star.alias("tree"), *counts)
+    template = F.concat(F.lit("/"), F.array_join(F.col("tree.seg"), "/"))
+    return paths.select("pid", "host", template.alias("template"), "labelled", "bad")
 
 
 def purity(paths: DataFrame, weight: float = WEIGHT) -> DataFrame:

@@ -109,6 +109,13 @@ def test_templates_split_pure_branches(spark):
     assert {r.template for r in got.values()} == {"/win/<number>/*", "/news/<number>/*"}
 
 
+def test_branches_below_a_wildcard_are_judged_together(spark):
+    urls = [f"http://h.org/user{i}x/{kind}" for i in range(300) for kind in ("spam", "about")]
+    df = pages(spark, urls, {i: int(u.endswith("spam")) for i, u in enumerate(urls)})
+    got = {(r.template, r.verdict) for r in judge(df, [], F.col("bad")).collect()}
+    assert got == {("/*/spam", "block"), ("/*/about", "allow")}
+
+
 def test_url_query_and_odd_rows(spark):
     out = op3_url_filter(spark, SF)
     n = spark.read.parquet(f"{SF}/pages.parquet").count()

@@ -11,11 +11,15 @@ from ..session import work_dir
 from .classifier import fit, scores
 from .common import crc_fold, documents
 from .decontaminate import contaminated
+from .filter_audit import filter_audit
 from .langid import identify, sample_texts, train
 from .mixing import temperature_mix
+from .neighbours import nearest
 from .quality_rules import COUNTS, quality_rules
 from .secrets import secret_scan, span_text
 from .simhash import simhash_classes
+from .spelling import spelling_groups
+from .sql import ORACLES  # noqa: F401 - registered beside the queries
 from .tokens import token_counts
 from .urls import judge
 from .warc import read_archives, write_archives
@@ -103,7 +107,19 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return temperature_mix(documents(spark, sf_dir), carry=["doc_id", "source"], max_repeats=2.0)
 
 
+def op11_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), every=20, k=20)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups(documents(spark, sf_dir), every=97, least=5, seen=3, ratio=2)
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_quality_classifier, op2_decontamination, op3_url_filter, op4_language, op5_simhash, op6_warc, op7_secrets,
-    op8_quality_rules, op9_token_counts, op10_mixing)}
-ORACLES: dict[str, str] = {}
+    op8_quality_rules, op9_token_counts, op10_mixing, op11_neighbours, op12_filter_audit,
+    op13_spelling)}

@@ -3,17 +3,19 @@ describe, distinct values and date ranges.
 
 Per-column statistics are computed in one aggregation over all columns, or
 by unpivoting (column, value) pairs once and grouping them, instead of one
-job per column.
+job per column.  Quartiles are selected from bucket counts, and columns of
+few distinct values are found by sketches before any value is shuffled.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from deskflow.functions.util import local_rows
-from deskflow.operators.keys import dense_ids
+from deskflow.operators.quantiles import exact_quantiles
 
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -75,36 +77,6 @@ def _text_value_counts(df: DataFrame, columns: list[str], keep_nulls: bool) -> D
     return long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
-    """Exact, linearly interpolated quantiles of several numeric columns.
-
-    A global exact percentile keeps one value->count map per group; over a
-    high-cardinality column (ids, amounts) that map is unbounded and lands in
-    one task.  Here the (column, value) pairs are sorted once across the
-    cluster and numbered densely; each quantile then reads the one or two
-    values at its rank positions.  Output: column_name, q0, q1, ...
-    """
-    pairs = ", ".join(f"'{c}', cast(`{c}` as double)" for c in columns)
-    long = df.selectExpr(f"stack({len(columns)}, {pairs}) as (column_name, value)").where(F.col("value").isNotNull())
-    ranked = dense_ids(long, ["column_name", "value"], "__rank", base=0)
-    bounds = ranked.groupBy("column_name").agg(F.min("__rank").alias("__start"), F.count(F.lit(1)).alias("__n"))
-    j = ranked.join(F.broadcast(bounds), "column_name")  # one row per column
-    pos = F.col("__rank") - F.col("__start")
-    wanted, aggs = None, []
-    for i, p in enumerate(probs):
-        exact = F.lit(p) * (F.col("__n") - 1)
-        lo, hi = F.floor(exact), F.ceil(exact)
-        hit = (pos == lo) | (pos == hi)
-        wanted = hit if wanted is None else (wanted | hit)
-        aggs += [F.max(F.when(pos == lo, F.col("value"))).alias(f"__lo{i}"),
-                 F.max(F.when(pos == hi, F.col("value"))).alias(f"__hi{i}"),
-                 F.max(exact - lo).alias(f"__f{i}")]
-    picked = j.where(wanted).groupBy("column_name").agg(*aggs)
-    return picked.select("column_name", *[
-        (F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * F.col(f"__f{i}")).alias(f"q{i}")
-        for i in range(len(probs))])
-
-
 def describe(df: DataFrame, digits: int = 6) -> DataFrame:
     """count/unique/top/freq for text and boolean columns; count/mean/std/
     min/quartiles/max for numeric columns (exact, linearly interpolated
@@ -118,14 +90,18 @@ def describe(df: DataFrame, digits: int = 6) -> DataFrame:
         aggs = []
         for i, c in enumerate(numeric):
             x = F.col(c).cast("double")
+            x = F.when(~F.isnan(x), x)
             aggs += [F.count(x).alias(f"c{i}"), F.round(F.avg(x), digits).alias(f"mean{i}"),
                      F.round(F.stddev_samp(x), digits).alias(f"std{i}"), F.min(x).alias(f"min{i}"),
                      F.max(x).alias(f"max{i}")]
-        wide = df.agg(*aggs)
+        one = df.agg(*aggs).first()
+        ddl = ", ".join(f"c{i} long, mean{i} double, std{i} double, min{i} double, max{i} double" for i in range(len(numeric)))
+        wide = local_rows(df.sparkSession, [tuple(one)], ddl)
+        bounds = {c: (one[f"c{i}"], one[f"min{i}"], one[f"max{i}"]) for i, c in enumerate(numeric)}
         rows = ", ".join(f"{position[c]}, '{c}', c{i}, mean{i}, std{i}, min{i}, max{i}" for i, c in enumerate(numeric))
         num = wide.selectExpr(f"stack({len(numeric)}, {rows}) as (column_position, column_name, count, mean, std, min, max)")
-        quart = exact_quantiles(df, numeric, [0.25, 0.5, 0.75])
-        num = num.join(F.broadcast(quart), "column_name", "left")
+        quart = exact_quantiles(df, numeric, [0.25, 0.5, 0.75], bounds)
+        num = num.join(quart, "column_name", "left")
         parts.append(num.select("column_position", "column_name", F.col("count").cast("long").alias("count"),
                                 F.lit(None).cast("long").alias("unique"), F.lit(None).cast("string").alias("top"),
                                 F.lit(None).cast("long").alias("freq"), "mean", "std", "min",
@@ -150,20 +126,46 @@ def describe(df: DataFrame, digits: int = 6) -> DataFrame:
     return out
 
 
+# Registers of the sketches: the standard error 0.05 of the estimate gives 512.
+SKETCH_ERROR, SKETCH_REGISTERS = 0.05, 512
+
+
+def maybe_few(df: DataFrame, columns: list[str], max_distinct: int) -> list[str]:
+    """Columns that may have fewer than ``max_distinct`` distinct non-null
+    values, by one pass of HyperLogLog sketches (a sketch a column; nothing
+    else is shuffled).  The estimate of so few values is the one by empty
+    registers, m ln(m / empty), and d values leave m - d empty at least: a
+    column whose estimate is above that bound for ``max_distinct`` values has
+    more for certain.  Limits beyond half the registers screen nothing."""
+    if not columns or 2 * max_distinct > SKETCH_REGISTERS:
+        return columns
+    one = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`"), SKETCH_ERROR).alias(f"d{i}") for i, c in enumerate(columns)]).first()
+    most = 1 + SKETCH_REGISTERS * math.log(SKETCH_REGISTERS / (SKETCH_REGISTERS - max_distinct))
+    return [c for i, c in enumerate(columns) if one[f"d{i}"] <= most]
+
+
+def _few_value_counts(df: DataFrame, max_distinct: int) -> DataFrame:
+    """(column_name, value, n), nulls included, of the text columns that
+    passed the sketches."""
+    text = maybe_few(df, [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)], max_distinct)
+    if not text:
+        return local_rows(df.sparkSession, [], "column_name string, value string, n long")
+    return _text_value_counts(df, text, keep_nulls=True)
+
+
 def key_columns(df: DataFrame, max_distinct: int = 20) -> DataFrame:
-    """Text columns with fewer than ``max_distinct`` distinct non-null values."""
-    text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    vc = _text_value_counts(df, text, keep_nulls=False)
-    return (vc.groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_count"))
-            .where(F.col("distinct_count") < max_distinct))
+    """Text columns with fewer than ``max_distinct`` distinct non-null values:
+    exact counts of the columns that a sketch does not rule out."""
+    vc = _few_value_counts(df, max_distinct)
+    return (vc.groupBy("column_name").agg(F.count("value").alias("distinct_count"))
+            .where((F.col("distinct_count") > 0) & (F.col("distinct_count") < max_distinct)))
 
 
 def unique_values(df: DataFrame, max_distinct: int = 20) -> DataFrame:
     """Every value (null included) with its row count, for the key columns."""
-    text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    vc = _text_value_counts(df, text, keep_nulls=True)
-    keys = key_columns(df, max_distinct).select("column_name")
-    return vc.join(F.broadcast(keys), "column_name").select("column_name", "value", F.col("n").alias("row_count"))
+    vc = _few_value_counts(df, max_distinct)
+    keys = vc.groupBy("column_name").agg(F.count("value").alias("d")).where((F.col("d") > 0) & (F.col("d") < max_distinct))
+    return vc.join(keys.select("column_name"), "column_name").select("column_name", "value", F.col("n").alias("row_count"))
 
 
 def date_ranges(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from deskflow import schemas
 from deskflow.functions import clean
 from deskflow.functions.temporal import add_days, add_hours, add_minutes, calendar_parts, parse_dayfirst, parse_iso, round_to_millis
-from deskflow.operators.joins import Constant, first_per_key, lookup_with_default, split_by_foreign_keys
+from deskflow.operators.joins import ROW, Constant, first_per_key, lookup_with_default, mark_repeats, split_by_foreign_keys, split_by_key, with_row_numbers
 from deskflow.operators.keys import dense_ids
 
 AS_OF = _dt.datetime(2024, 6, 30, 0, 0, 0)
@@ -97,15 +97,19 @@ def surrogate_key(raw_ticket: DataFrame) -> DataFrame:
                            clean.round_robin(n, 6).alias("site_id"), clean.round_robin(n, 5).alias("agent_id"))
 
 
-def ticket_transform(raw_ticket: DataFrame) -> DataFrame:
+FIRST_TICKET_ID = 10000
+
+
+def ticket_transform(raw_ticket: DataFrame, first_id: int = FIRST_TICKET_ID) -> DataFrame:
     """Priority text -> name (unmatched -> Medium), survey default, generated
-    ticket id when absent, and defaults for absent columns."""
+    ticket id (from ``first_id``) when absent, and defaults for absent
+    columns."""
     df = rename_ticket_columns(raw_ticket)
     df = df.withColumn("priority", clean.ticket_priority_name("priority"))
     if "survey_results" in df.columns:
         df = df.withColumn("survey_results", F.coalesce(F.col("survey_results"), F.lit("Neutral")))
     if "ticket_id" not in df.columns:
-        df = dense_ids(df, ["seq"], "ticket_id", base=10000)
+        df = dense_ids(df, ["seq"], "ticket_id", base=first_id)
     return clean.add_missing(df, schemas.TICKET_DEFAULTS)
 
 
@@ -128,9 +132,9 @@ def agent_lookup(raw_ticket: DataFrame, dim_agent: DataFrame) -> DataFrame:
 
 
 def prepare_tickets(raw_ticket: DataFrame, dim_agent: DataFrame, dim_priority: DataFrame,
-                    as_of: _dt.datetime = AS_OF) -> DataFrame:
+                    as_of: _dt.datetime = AS_OF, first_id: int = FIRST_TICKET_ID) -> DataFrame:
     """Raw tickets -> fact_ticket rows (before key checks)."""
-    t = ticket_transform(raw_ticket)
+    t = ticket_transform(raw_ticket, first_id)
     t = lookup_with_default(t, "queue", dim_agent, "assignment_group", "agent_id", "__agent", 1, "agent_id")
     t = lookup_with_default(t, "priority", dim_priority, "priority_name", "priority_id", "__prio", 3, "priority_id")
     life = synthetic_lifecycle("ticket_id", as_of)
@@ -170,12 +174,13 @@ def rename_ticket_columns_names(columns) -> list[str]:
 
 
 def load_fact_ticket(raw_ticket: DataFrame, dims: dict[str, DataFrame], as_of: _dt.datetime = AS_OF,
-                     keep: list | None = None):
+                     keep: list | None = None, first_id: int = FIRST_TICKET_ID):
     """(accepted, rejected) ticket rows.  Rejected: a supplied key that is
-    not an integer, a repeated ticket id (the first by ``seq``, which is
-    unique, stays), or a failed key check."""
+    not an integer, a repeated ticket id (the first by ``seq`` stays), or a
+    failed key check.  ``first_id`` is the first id given to a source
+    without ticket ids."""
     raw_ticket, bad = split_supplied_keys(raw_ticket)
-    rows = prepare_tickets(raw_ticket, dims["dim_agent"], dims["dim_priority"], as_of)
+    rows = prepare_tickets(raw_ticket, dims["dim_agent"], dims["dim_priority"], as_of, first_id)
     accepted, rejected = split_by_foreign_keys(rows, ticket_key_checks(dims, raw_ticket.columns))
     if bad is not None:
         rejected = rejected.unionByName(bad, allowMissingColumns=True)
@@ -198,11 +203,11 @@ def split_supplied_keys(raw_ticket: DataFrame) -> tuple[DataFrame, DataFrame | N
     marked = raw_ticket.withColumn("reject_reason", _first_reason(checks))
     marked = marked.withColumns({c: F.col(c).try_cast("long") for c in supplied})
     if "ticket_id" in supplied:
-        sound = marked.where(F.col("reject_reason").isNull())
-        first = sound.groupBy(F.col("ticket_id").alias("__id")).agg(F.min("seq").alias("__seq"))
-        again = F.when(F.col("seq") != F.col("__seq"), F.lit("ticket_id is repeated"))
-        marked = marked.join(first, F.col("ticket_id") == F.col("__id"), "left").withColumn(
-            "reject_reason", F.coalesce("reject_reason", again)).drop("__id", "__seq")
+        # A row that is rejected anyway holds no id.
+        sound = F.when(F.col("reject_reason").isNull(), F.col("ticket_id"))
+        marked = mark_repeats(marked.withColumn("__id", sound), "__id", ["seq"])
+        again = F.when(F.col("__again"), F.lit("ticket_id is repeated"))
+        marked = marked.withColumn("reject_reason", F.coalesce("reject_reason", again)).drop("__id", "__again")
     number = F.col("ticket_id") if "ticket_id" in supplied else F.lit(None).cast("long")
     bad = marked.where(F.col("reject_reason").isNotNull()).select(number.alias("ticket_id"), "reject_reason")
     return marked.where(F.col("reject_reason").isNull()).drop("reject_reason"), bad
@@ -295,15 +300,16 @@ def incident_impute(fact_incident: DataFrame) -> DataFrame:
 def load_fact_incident(raw_incident: DataFrame, dims: dict[str, DataFrame], as_of: _dt.datetime = AS_OF,
                        keep: list | None = None):
     """(accepted, rejected) incident rows.  Rejected: a number that is not an
-    integer, or a key check; accepted: first row per incident id, by ``seq``
-    when the source has it.  Times, counts and keys of the source are taken
-    as they are; only missing ones are imputed or defaulted."""
+    integer, a repeated incident id (the first by ``seq``, when the source
+    has it, stays), or a key check; every input row is in one of the two.
+    Times, counts and keys of the source are taken as they are; only missing
+    ones are imputed or defaulted."""
     c = _shared(_incidents_with_reason(raw_incident), keep)
+    given = set(c.columns)
+    sound = c.where(F.col("reject_reason").isNull()).drop("reject_reason").withColumn("incident_id", F.col("incident_id").try_cast("long"))
+    ok, again = split_by_key(sound, "incident_id", (["seq"] if "seq" in given else []) + INCIDENT_ORDER)
     rejected = c.where(F.col("reject_reason").isNotNull()).select(F.col("incident_id").try_cast("long").alias("incident_id"), "reject_reason")
-    sound = c.where(F.col("reject_reason").isNull()).drop("reject_reason")
-    sound = sound.withColumn("incident_id", F.col("incident_id").try_cast("long"))
-    given = set(sound.columns)
-    ok = first_per_key(sound, ["incident_id"], (["seq"] if "seq" in given else []) + INCIDENT_ORDER)
+    rejected = rejected.unionByName(again.select("incident_id", "reject_reason"))
     key = "incident_id"
     opened = F.coalesce(F.col("opened_at"), add_days(as_of_lit(as_of), -clean.synthetic_int(key, 1, 180, SALT_DAYS)))
     imputed = add_hours(opened, clean.synthetic_int(key, 1, 72, SALT_RESOLVE))
@@ -345,7 +351,7 @@ def metrics_clean(raw_metrics: DataFrame) -> DataFrame:
     """Drop the asset id, parse the time (bad -> null), numbers as doubles
     (non-numeric -> null)."""
     df = clean.drop_if_present(raw_metrics, "asset_id")
-    return df.select("seq", F.col("site_id").try_cast("int").alias("site_id"),
+    return df.select("seq", *[c for c in (ROW,) if c in df.columns], F.col("site_id").try_cast("int").alias("site_id"),
                      parse_iso("timestamp_utc").alias("timestamp_utc"),
                      *[F.col(c).try_cast("double").alias(c) for c in METRIC_COLUMNS])
 
@@ -369,22 +375,37 @@ def _metrics_with_reason(raw_metrics: DataFrame, dim_site: DataFrame) -> DataFra
     return m.withColumn("reject_reason", reason).drop("__site", "__known")
 
 
+METRIC_ORDER = ["timestamp_utc", "site_id"]
+
+
+def split_metrics(raw_metrics: DataFrame, dim_site: DataFrame) -> DataFrame:
+    """Clean metrics with the reason a row is rejected for: a failed check, no
+    ``seq``, or a ``seq`` that an accepted row before it (by time, then site)
+    has."""
+    m = _metrics_with_reason(with_row_numbers(raw_metrics), dim_site)
+    m = m.withColumn("reject_reason", F.coalesce("reject_reason", F.when(F.col("seq").isNull(), F.lit("seq is missing"))))
+    m = mark_repeats(m.withColumn("__seq", F.when(F.col("reject_reason").isNull(), F.col("seq"))), "__seq", METRIC_ORDER)
+    again = F.when(F.col("__again"), F.lit("seq is repeated"))
+    return m.withColumn("reject_reason", F.coalesce("reject_reason", again)).drop("__seq", "__again")
+
+
 def metrics_rejects(raw_metrics: DataFrame, dim_site: DataFrame, reasoned: DataFrame | None = None) -> DataFrame:
-    m = reasoned if reasoned is not None else _metrics_with_reason(raw_metrics, dim_site)
+    m = reasoned if reasoned is not None else split_metrics(raw_metrics, dim_site)
     return m.where(F.col("reject_reason").isNotNull()).select("seq", "reject_reason")
 
 
 def accepted_metrics(raw_metrics: DataFrame, dim_site: DataFrame, reasoned: DataFrame | None = None) -> DataFrame:
     """Accepted metric rows keyed by ``seq`` (typed, times rounded to ms)."""
-    m = reasoned if reasoned is not None else _metrics_with_reason(raw_metrics, dim_site)
+    m = reasoned if reasoned is not None else split_metrics(raw_metrics, dim_site)
     m = m.where(F.col("reject_reason").isNull())
     return m.select("seq", "site_id", round_to_millis("timestamp_utc").alias("timestamp_utc"),
                     *[F.col(c).cast(t).alias(c) for c, t in METRIC_COLUMNS.items()])
 
 
 def load_fact_metrics(raw_metrics: DataFrame, dim_site: DataFrame, keep: list | None = None):
-    """(accepted, rejected): accepted rows get a dense metric id in source order."""
-    reasoned = _shared(_metrics_with_reason(raw_metrics, dim_site), keep)
+    """(accepted, rejected): accepted rows get a dense metric id in source
+    order; a missing or repeated ``seq`` is a reject."""
+    reasoned = _shared(split_metrics(raw_metrics, dim_site), keep)
     acc = dense_ids(accepted_metrics(raw_metrics, dim_site, reasoned), ["seq"], "metric_id", base=1)
     acc = acc.select("metric_id", "site_id", "timestamp_utc", *METRIC_COLUMNS)
     return acc, metrics_rejects(raw_metrics, dim_site, reasoned)

@@ -129,6 +129,38 @@ def q_rename_map(spark, sf_dir):
     return etl.rename_ticket_columns(_wh(spark, sf_dir).raw_ticket)
 
 
+# Raw sources, the map that renames their columns, and the table they feed.
+RENAMED_SOURCES = [("raw_ticket", "TICKET_RENAMES", "fact_ticket"), ("raw_incident", "INCIDENT_RENAMES", "fact_incident"),
+                   ("raw_support_named", "SUPPORT_RENAMES", "stg_it_support"),
+                   ("raw_tech_support", "TECH_SUPPORT_RENAMES", "stg_tech_support")]
+
+
+def _renamed(source: str, mapping: str):
+    def query(spark, sf_dir):
+        from deskflow import schemas
+        from deskflow.functions.renames import apply_renames
+
+        return apply_renames(getattr(_wh(spark, sf_dir), source), getattr(schemas, mapping))
+    return query
+
+
+REGISTRY["rename_incident"] = _renamed("raw_incident", "INCIDENT_RENAMES")
+REGISTRY["rename_it_support"] = _renamed("raw_support_named", "SUPPORT_RENAMES")
+REGISTRY["rename_tech_support"] = _renamed("raw_tech_support", "TECH_SUPPORT_RENAMES")
+
+
+@register("rename_report")
+def q_rename_report(spark, sf_dir):
+    from deskflow import schemas
+    from deskflow.functions.renames import rename_report
+
+    w, out = _wh(spark, sf_dir), None
+    for source, mapping, table in RENAMED_SOURCES:
+        one = rename_report(source, getattr(w, source), getattr(schemas, mapping), schemas.TABLES[table].names)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @register("ticket_priority_rules")
 def q_ticket_priority_rules(spark, sf_dir):
     return etl.ticket_priority_rules(_wh(spark, sf_dir).raw_ticket)
@@ -204,6 +236,12 @@ def q_load_fact_incident(spark, sf_dir):
     return etl.load_fact_incident(w.raw_incident, w.dims())[0]
 
 
+@register("incident_load_rejects")
+def q_incident_load_rejects(spark, sf_dir):
+    w = _wh(spark, sf_dir)
+    return etl.load_fact_incident(w.raw_incident, w.dims())[1]
+
+
 @register("metrics_clean")
 def q_metrics_clean(spark, sf_dir):
     return etl.metrics_clean(_wh(spark, sf_dir).raw_metrics)
@@ -357,6 +395,13 @@ def q_profile_unique(spark, sf_dir):
     return profile.unique_values(_wh(spark, sf_dir).raw_incident)
 
 
+@register("mttr_quantiles_by_client")
+def q_mttr_quantiles_by_client(spark, sf_dir):
+    from deskflow.operators.quantiles import grouped_quantiles
+
+    return grouped_quantiles(_ie(spark, sf_dir), ["client_name"], "resolution_hours", [0.25, 0.5, 0.95])
+
+
 @register("profile_date_ranges")
 def q_profile_date_ranges(spark, sf_dir):
     return profile.date_ranges(_wh(spark, sf_dir).facts())
@@ -454,6 +499,19 @@ def q_csv_roundtrip(spark, sf_dir):
     return files.read_csv(spark, path, src.schema, token_columns=["assignment_group", "priority_name", "support_level"])
 
 
+@register("csv_corrupt")
+def q_csv_corrupt(spark, sf_dir):
+    """Sound rows and rejects of a CSV source with damaged lines."""
+    from pyspark.sql import functions as F, types as T
+
+    path = work_dir(spark, "csv") + "/lines"
+    _wh(spark, sf_dir).csv_lines.select("value").write.text(path)
+    schema = T._parse_datatype_string("order_id long, client_id long, amount long, placed date, note string")
+    sound, rejects = files.read_csv_split(spark, path, schema, {"header": "false"})
+    return sound.withColumns({"record": F.lit(None).cast("string"), "reject_reason": F.lit(None).cast("string")}).unionByName(
+        rejects, allowMissingColumns=True)
+
+
 @register("optional_source")
 def q_optional_source(spark, sf_dir):
     from pyspark.sql import functions as F
@@ -504,6 +562,29 @@ def q_load_report(spark, sf_dir):
     return reload.load_report(spark, src, root)
 
 
+@register("load_report_sample")
+def q_load_report_sample(spark, sf_dir, rows=SAMPLE_ROWS):
+    src, root = _sources(_wh(spark, sf_dir)), work_dir(spark, "load")
+    reload.load_outcomes(spark, src, root, sample=rows)
+    return reload.load_report(spark, src, root, sample=rows)
+
+
+@register("load_report_faults")
+def q_load_report_faults(spark, sf_dir):
+    """A run over broken sources: the agents fail at once, the metrics at
+    some of their rows; what does not depend on them is loaded."""
+    from pyspark.sql import functions as F
+
+    def broken(df, column, when):
+        return df.withColumn(column, F.when(when, F.raise_error(F.lit("planted fault")).cast("string")).otherwise(F.col(column)))
+
+    src, root = _sources(_wh(spark, sf_dir)), work_dir(spark, "load")
+    src.dims["dim_agent"] = broken(src.dims["dim_agent"], "team", F.col("agent_id") >= 0)
+    src.raw_metrics = broken(src.raw_metrics, "latency_ms", F.col("seq") % 1000 == 7)
+    reload.load_outcomes(spark, src, root)
+    return reload.load_report(spark, src, root)
+
+
 @register("audit_log")
 def q_audit_log(spark, sf_dir):
     src, root = _loaded(spark, sf_dir)
@@ -526,3 +607,19 @@ def q_metrics_incremental(spark, sf_dir):
     incremental.land_in_files(w.raw_metrics, f"{base}/landing", files=4)
     return incremental.run_incremental(spark, f"{base}/landing", w.raw_metrics.schema, w.dim_site,
                                        f"{base}/fact_metrics", f"{base}/_checkpoint")
+
+
+@register("tickets_incremental")
+def q_tickets_incremental(spark, sf_dir, chunks=4):
+    """Tickets that arrive in chunks, with ids that go on between them."""
+    from pyspark.sql import functions as F
+
+    from deskflow.streaming import chunks as C, incremental
+
+    w = _wh(spark, sf_dir)
+    base = work_dir(spark, "stream")
+    lo, hi = w.raw_ticket.agg(F.min("seq"), F.max("seq")).first()
+    bounds = [] if lo is None else [lo + (hi - lo) * i // chunks for i in range(1, chunks)]
+    C.land_chunks(w.raw_ticket, f"{base}/landing", "seq", bounds)
+    return incremental.run_ticket_stream(spark, f"{base}/landing", w.raw_ticket.schema, w.dims(),
+                                         f"{base}/fact_ticket", f"{base}/_checkpoint")

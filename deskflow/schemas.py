@@ -186,6 +186,8 @@ INCIDENT_RENAMES = {
     "resolved_at": "resolved_at", "closed_at": "closed_at", "priority_level": "priority_name",
 }
 SUPPORT_RENAMES = {"Body": "body", "Department": "assignment_group", "Priority": "priority_name", "Tags": "support_level"}
+TECH_SUPPORT_RENAMES = {"body": "body", "assignment_group": "assignment_group", "priority_name": "priority_name",
+                        "support_level": "support_level"}
 
 # Text column widths enforced on load.
 TICKET_TEXT_WIDTHS = {"source": 50, "topic": 100, "subject": 200, "body": 1000, "survey_results": 50,

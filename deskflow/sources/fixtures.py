@@ -256,6 +256,29 @@ class Warehouse:
                         _case(F.col("quality"), {1: "high", 0: "low"}).alias("priority_name"),
                         F.col("lang").alias("support_level")))
 
+    @cached_property
+    def raw_support_named(self) -> DataFrame:
+        """Support texts under the column names of their source."""
+        return self.raw_support.select("support_id", F.col("body").alias("Body"), F.col("assignment_group").alias("Department"),
+                                       F.col("priority_name").alias("Priority"), F.col("support_level").alias("Tags"))
+
+    @cached_property
+    def csv_lines(self) -> DataFrame:
+        """One CSV line an order, without a header: id, client, amount, day,
+        note.  Some are damaged: fields missing or too many, text in a
+        number, an impossible day."""
+        k, cust = F.col("o_orderkey"), F.col("o_custkey")
+        day = F.date_format("o_orderdate", "yyyy-MM-dd")
+        note = F.when(k % 5 == 0, F.lit('"late, ""urgent"""')).otherwise(F.lit("none"))
+        field = lambda *cs: F.concat_ws(",", *[c.cast("string") for c in cs])
+        return self.raw("orders").select(
+            k.alias("seq"),
+            F.when(k % 29 == 0, field(k, cust))
+            .when(k % 31 == 0, field(k, cust, cust * 7, day, note, F.lit("extra")))
+            .when(k % 37 == 0, field(k, F.concat(F.lit("C"), cust.cast("string")), cust * 7, day, note))
+            .when(k % 41 == 0, field(k, cust, cust * 7, F.lit("2024-13-45"), note))
+            .otherwise(field(k, cust, cust * 7, day, note)).alias("value"))
+
     @cached_property
     def raw_tech_support(self) -> DataFrame:
         c = self.raw("conversations")

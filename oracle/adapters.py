@@ -112,6 +112,14 @@ from orders where o_orderkey % 50 = 0""",
 select d.doc_id as support_id, d.text as body, d.source as assignment_group,
   case l.quality when 1 then 'high' when 0 then 'low' else null end as priority_name, d.lang as support_level
 from documents d left join labels l on d.doc_id = l.doc_id""",
+    "raw_support_named": """
+select support_id, body as "Body", assignment_group as "Department", priority_name as "Priority", support_level as "Tags"
+from raw_support""",
+    "csv_lines": """
+select o_orderkey as k, o_custkey as cust, o_custkey * 7 as amount, strftime(o_orderdate, '%Y-%m-%d') as day,
+  case when o_orderkey % 5 = 0 then 'late, "urgent"' else 'none' end as note,
+  case when o_orderkey % 5 = 0 then '"late, ""urgent"' || '""' else 'none' end as quoted
+from orders""",
     "raw_tech_support": """
 select conv_id * 1000 + turn as support_id, text as body, role as assignment_group,
   cast(null as varchar) as priority_name, 'turn ' || cast(turn as varchar) as support_level
@@ -124,6 +132,8 @@ def with_adapters(sql: str) -> str:
     import re
 
     used = [name for name in ADAPTERS if re.search(rf"\b{name}\b", sql)]
+    if "raw_support_named" in used and "raw_support" not in used:
+        used.append("raw_support")
     if not used:
         return sql
     ctes = ",\n".join(f"{name} as ({ADAPTERS[name]}\n)" for name in ADAPTERS if name in used)

@@ -404,6 +404,11 @@ Q["incident_rejects"] = f"""select incident_id,
   case when impact is null then 'impact is not an integer' when urgency is null then 'urgency is not an integer' end as reject_reason
 from ({INCIDENT_CLEAN}) c where impact is null or urgency is null"""
 
+Q["incident_load_rejects"] = f"""select incident_id, reject_reason from ({Q['incident_rejects']}) r
+union all select incident_id, 'incident_id is repeated' from (
+  select incident_id, row_number() over (partition by incident_id) as nth from ({INCIDENT_CLEAN}) c
+  where impact is not null and urgency is not null) x where nth > 1"""
+
 Q["incident_impute"] = f"""select incident_id, opened_at,
   coalesce(resolved_at, opened_at + {_mix('incident_id', 1, 72, 37)} * interval '1 hour') as resolved_at,
   resolved_at is null as resolved_imputed from fact_incident"""
@@ -669,20 +674,48 @@ _DIMS = ["dim_region", "dim_client", "dim_site", "dim_agent", "dim_priority"]
 Q["dim_reload"] = "\nunion all ".join(
     f"select '{d}' as table_name, {i + 1} as load_order, count(*) as rows_loaded from {d}" for i, d in enumerate(_DIMS))
 
-LOAD_REPORT = f"""with lt as (select count(*) as n from ({Q['load_fact_ticket']}) x),
-li as (select count(*) as n from ({Q['load_fact_incident']}) x),
-ri as (select count(*) as n from ({Q['incident_rejects']}) x),
-lm as (select count(*) as n from ({Q['load_fact_metrics']}) x),
-rm as (select count(*) as n from ({Q['metrics_rejects']}) x),
-r as (
-  {' union all '.join(f"select '{d}' as table_name, count(*) as input_rows, count(*) as accepted_rows, cast(0 as bigint) as rejected_rows from {d}" for d in _DIMS)}
-  union all select 'fact_ticket', (select count(*) from raw_ticket), lt.n, (select count(*) from raw_ticket) - lt.n from lt
-  union all select 'fact_incident', (select count(*) from raw_incident), li.n, ri.n from li, ri
-  union all select 'fact_metrics', (select count(*) from raw_metrics), lm.n, rm.n from lm, rm
-  union all select 'stg_it_support', count(*), count(*), 0 from raw_support
-  union all select 'stg_tech_support', count(*), count(*), 0 from raw_tech_support)
-select table_name, input_rows, accepted_rows, rejected_rows, input_rows - accepted_rows - rejected_rows as duplicate_rows from r"""
+_REPEATS = f"select coalesce(sum(n - 1), 0) as n from (select count(*) as n from ({INCIDENT_CLEAN}) c where impact is not null and urgency is not null group by incident_id) x"
+
+
+def _load_report(raw_ticket: str = "raw_ticket", raw_incident: str = "raw_incident", raw_metrics: str = "raw_metrics") -> str:
+    """Report rows as (table_name, input, accepted, rejected, duplicates) of a
+    run over the given sources."""
+    on = lambda sql: (sql.replace("from raw_ticket", f"from {raw_ticket}").replace("from raw_incident", f"from {raw_incident}")
+                      .replace("from raw_metrics", f"from {raw_metrics}"))
+    return f"""
+  {' union all '.join(f"select '{d}' as table_name, count(*) as input_rows, count(*) as accepted_rows, 0 as rejected_rows, 0 as duplicate_rows from {d}" for d in _DIMS)}
+  union all select 'fact_ticket', (select count(*) from {raw_ticket}), n, (select count(*) from {raw_ticket}) - n, 0
+    from (select count(*) as n from ({on(Q['load_fact_ticket'])}) x) y
+  union all select 'fact_incident', (select count(*) from {raw_incident}),
+    (select count(*) from ({on(Q['load_fact_incident'])}) x),
+    (select count(*) from ({on(Q['incident_rejects'])}) x) + ({on(_REPEATS)}), ({on(_REPEATS)})
+  union all select 'fact_metrics', (select count(*) from {raw_metrics}), (select count(*) from ({on(Q['load_fact_metrics'])}) x),
+    (select count(*) from ({on(Q['metrics_rejects'])}) x), 0
+  union all select 'stg_it_support', count(*), count(*), 0, 0 from raw_support
+  union all select 'stg_tech_support', count(*), count(*), 0, 0 from raw_tech_support"""
+
+
+def _told(report: str, failed: str = "''", skipped: str = "''") -> str:
+    lost = f"table_name in ({failed}, {skipped})"
+    count = lambda c, x: f"case when {lost} then null else cast({x} as bigint) end as {c}"
+    return f"""select table_name,
+  case when table_name in ({failed}) then 'failed' when table_name in ({skipped}) then 'skipped' else 'loaded' end as status,
+  case when table_name in ({failed}) then '[USER_RAISED_EXCEPTION] planted fault SQLSTATE: P0001'
+       when table_name in ({skipped}) then 'dim_agent was not loaded' end as error,
+  {count('input_rows', 'input_rows')}, {count('accepted_rows', 'accepted_rows')}, {count('rejected_rows', 'rejected_rows')},
+  {count('duplicate_rows', 'duplicate_rows')}, {count('unaccounted_rows', 'input_rows - accepted_rows - rejected_rows')}
+from ({report}) r"""
+
+
+LOAD_REPORT = _told(_load_report())
 Q["load_report"] = LOAD_REPORT
+Q["load_report_faults"] = _told(_load_report(), "'dim_agent', 'fact_metrics'", "'fact_ticket'")
+_RAW_INCIDENT_ORDER = ", ".join(f"{c} nulls first" for c in [
+    "number", "incident_state", "impact", "urgency", "priority", "vendor", "opened_at", "made_sla", "active",
+    "reassignment_count", "assignment_group", "contact_type", "sys_mod_count"])
+Q["load_report_sample"] = _told(_load_report(
+    "(select * from raw_ticket order by seq limit 100) rt", f"(select * from raw_incident order by {_RAW_INCIDENT_ORDER} limit 100) ri",
+    "(select * from raw_metrics order by seq limit 100) rm"))
 Q["audit_log"] = f"""with rep as ({LOAD_REPORT})
 select cast(1 as bigint) as audit_id, 'deskflow_load_20240630_000000' as process_name,
   cast(sum(accepted_rows) as varchar) as rows_processed, 'COMPLETED' as status, {AS_OF} as run_timestamp,
@@ -691,6 +724,67 @@ from rep where table_name in ('fact_ticket', 'fact_incident', 'fact_metrics')"""
 
 # ----------------------------------------------------------------- streaming
 Q["metrics_incremental"] = ACCEPTED_METRICS
+Q["tickets_incremental"] = Q["load_fact_ticket"]
+
+# ------------------------------------------------------- quantiles by group
+Q["mttr_quantiles_by_client"] = f"""with {IE}
+select client_name, count(resolution_hours) as n, quantile_cont(cast(resolution_hours as double), 0.25) as q0,
+  quantile_cont(cast(resolution_hours as double), 0.5) as q1, quantile_cont(cast(resolution_hours as double), 0.95) as q2
+from ie where resolution_hours is not null group by client_name"""
+
+# ------------------------------------------------------------------- renames
+Q["rename_incident"] = """select number as incident_id, incident_state, impact, urgency, priority as priority_id, vendor, opened_at,
+  made_sla, active, reassignment_count, assignment_group, contact_type, sys_mod_count as modification_count from raw_incident"""
+Q["rename_it_support"] = """select support_id, "Body" as body, "Department" as assignment_group, "Priority" as priority_name,
+  "Tags" as support_level from raw_support_named"""
+Q["rename_tech_support"] = "select support_id, body, assignment_group, priority_name, support_level from raw_tech_support"
+# (source, column, name, status, whether the target table has the name)
+_RENAME_STEPS = [
+    ("raw_ticket", "subject", "subject", "kept", True), ("raw_ticket", "answer", "survey_results", "renamed", True),
+    ("raw_ticket", "queue", "queue", "kept", False), ("raw_ticket", "priority", "priority", "kept", False),
+    ("raw_ticket", "type", "type", "kept", False), ("raw_ticket", "language", "source", "renamed", True),
+    ("raw_ticket", "version", "version", "kept", False), ("raw_ticket", "tag_1", "tag_1", "kept", False),
+    ("raw_ticket", "seq", "seq", "kept", False), ("raw_ticket", "body", "body", "absent", True),
+    ("raw_ticket", "ticket_type", "topic", "absent", True), ("raw_ticket", "assignment_group", "assignment_group", "absent", False),
+    ("raw_ticket", "priority_level", "priority_name", "absent", False),
+    ("raw_ticket", "product_version", "product_group", "absent", True), ("raw_ticket", "tags", "support_level", "absent", True),
+    ("raw_incident", "number", "incident_id", "renamed", True), ("raw_incident", "incident_state", "incident_state", "kept", True),
+    ("raw_incident", "impact", "impact", "kept", True), ("raw_incident", "urgency", "urgency", "kept", True),
+    ("raw_incident", "priority", "priority_id", "renamed", True), ("raw_incident", "vendor", "vendor", "kept", False),
+    ("raw_incident", "opened_at", "opened_at", "kept", True), ("raw_incident", "made_sla", "made_sla", "kept", True),
+    ("raw_incident", "active", "active", "kept", True), ("raw_incident", "reassignment_count", "reassignment_count", "kept", True),
+    ("raw_incident", "assignment_group", "assignment_group", "kept", True), ("raw_incident", "contact_type", "contact_type", "kept", True),
+    ("raw_incident", "sys_mod_count", "modification_count", "renamed", False),
+    ("raw_incident", "reopen_count", "reopen_count", "absent", True), ("raw_incident", "caller_id", "caller_id", "absent", True),
+    ("raw_incident", "sys_created_at", "acknowledged_at", "absent", True), ("raw_incident", "sys_updated_at", "updated_at", "absent", False),
+    ("raw_incident", "u_symptom", "u_symptom", "absent", True), ("raw_incident", "cmdb_ci", "configuration_item", "absent", False),
+    ("raw_incident", "assigned_to", "assigned_to", "absent", True), ("raw_incident", "knowledge", "knowledge_flag", "absent", False),
+    ("raw_incident", "u_priority_confirmation", "priority_confirmed_flag", "absent", False),
+    ("raw_incident", "notify", "notification_type", "absent", False), ("raw_incident", "closed_code", "closed_code", "absent", True),
+    ("raw_incident", "resolved_by", "resolved_by", "absent", True), ("raw_incident", "resolved_at", "resolved_at", "absent", True),
+    ("raw_incident", "closed_at", "closed_at", "absent", True), ("raw_incident", "priority_level", "priority_name", "absent", False),
+    ("raw_support_named", "support_id", "support_id", "kept", True), ("raw_support_named", "Body", "body", "renamed", True),
+    ("raw_support_named", "Department", "assignment_group", "renamed", True),
+    ("raw_support_named", "Priority", "priority_name", "renamed", True), ("raw_support_named", "Tags", "support_level", "renamed", True),
+    ("raw_tech_support", "support_id", "support_id", "kept", True), ("raw_tech_support", "body", "body", "kept", True),
+    ("raw_tech_support", "assignment_group", "assignment_group", "kept", True),
+    ("raw_tech_support", "priority_name", "priority_name", "kept", True), ("raw_tech_support", "support_level", "support_level", "kept", True)]
+Q["rename_report"] = "\nunion all ".join(
+    f"select '{s}' as source_name, '{c}' as source_column, '{t}' as target_column, '{how}' as status, {inside} as in_target, "
+    + ("cast(null as bigint)" if how == "absent" else f'(select count("{c}") from {s})') + " as non_null_rows"
+    for s, c, t, how, inside in _RENAME_STEPS)
+
+# ----------------------------------------------------------------- csv lines
+Q["csv_corrupt"] = """with l as (select *, case when k % 29 = 0 then 'too few fields' when k % 31 = 0 then 'too many fields'
+    when k % 37 = 0 then 'client_id is not of type bigint' when k % 41 = 0 then 'placed is not of type date' end as reject_reason from csv_lines)
+select case when reject_reason is null then k end as order_id, case when reject_reason is null then cust end as client_id,
+  case when reject_reason is null then amount end as amount, case when reject_reason is null then cast(day as date) end as placed,
+  case when reject_reason is null then note end as note,
+  case when k % 29 = 0 then k || ',' || cust
+       when k % 31 = 0 then k || ',' || cust || ',' || amount || ',' || day || ',' || quoted || ',extra'
+       when k % 37 = 0 then k || ',C' || cust || ',' || amount || ',' || day || ',' || quoted
+       when k % 41 = 0 then k || ',' || cust || ',' || amount || ',2024-13-45,' || quoted end as record, reject_reason
+from l"""
 
 # ------------------------------------------------------------------ catalog
 def _catalog() -> str:

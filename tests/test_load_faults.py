@@ -46,17 +46,21 @@ def test_incident_columns_of_the_source_are_kept(spark, wh):
     assert (row.incident_id, row.reopen_count, row.client_id) == (5, 8, client)  # the first by seq
     assert (row.resolved_at, row.acknowledged_at) == (dt.datetime(2030, 2, 1, 10), dt.datetime(2030, 1, 31, 9))
     assert {r.reject_reason for r in rej.collect()} == {
-        "number is not an integer: INC100002", "reopen_count is not an integer: many"}
+        "number is not an integer: INC100002", "reopen_count is not an integer: many", "incident_id is repeated"}
+    assert rej.count() == 3
 
 
-def test_stream_drops_repeats_and_keeps_rejects(spark, wh):
+def test_stream_rejects_repeats_and_accounts_for_every_row(spark, wh):
     base = tempfile.mkdtemp(prefix="deskflow-stream-", dir="/tmp")
     twice = wh.raw_metrics.unionByName(wh.raw_metrics)
     incremental.land_in_files(twice, f"{base}/landing", files=1)
-    for run in ("a", "b"):
+    n, sound = twice.count(), etl.accepted_metrics(wh.raw_metrics, wh.dim_site).count()
+    for turn, run in enumerate(("a", "b"), start=1):
         out = incremental.run_incremental(spark, f"{base}/landing", twice.schema, wh.dim_site, f"{base}/target", f"{base}/{run}")
-        assert out.count() == etl.accepted_metrics(wh.raw_metrics, wh.dim_site).count()
-        assert spark.read.parquet(f"{base}/target_rejects").count() == etl.metrics_rejects(wh.raw_metrics, wh.dim_site).count()
+        assert out.count() == sound
+        rejected = incremental.metric_table(spark, f"{base}/target").read("rejected")
+        assert rejected.count() == turn * n - sound
+        assert rejected.where("reject_reason = 'seq is repeated'").count() == (2 * turn - 1) * sound
 
 
 def test_audit_ids_go_on(spark):

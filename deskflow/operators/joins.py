@@ -9,7 +9,7 @@ shuffled, not whole fact rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -114,7 +114,8 @@ def with_row_numbers(source: DataFrame) -> DataFrame:
     return source.withColumn(ROW, F.monotonically_increasing_id())
 
 
-def mark_repeats(df: DataFrame, key: str, order: Sequence[str | Column], flag: str = "__again") -> DataFrame:
+def mark_repeats(df: DataFrame, key: str, order: Sequence[str | Column], flag: str = "__again",
+                 prepare: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Add ``flag``: whether the row repeats the key of another row that
     comes before it by ``order`` (rows equal in all of it: one of them stays,
     by position in the source).  A null key is no key and never repeated.
@@ -123,11 +124,14 @@ def mark_repeats(df: DataFrame, key: str, order: Sequence[str | Column], flag: s
     through the ordered choice, whose result (a key and a row number for each
     of those keys) is joined back.  All other rows are left where they are.
     Row numbers are those of ``with_row_numbers``, taken here if the frame
-    has none."""
+    has none.  ``prepare`` derives the order columns where they are costly:
+    it is applied to the rows of repeated keys only, and must keep the key
+    and the row number."""
     tagged = df if ROW in df.columns else with_row_numbers(df)
     held = tagged.where(F.col(key).isNotNull())
     twice = held.groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__key")
     asked = held.join(twice, F.col(key) == F.col("__key"), "left_semi")
+    asked = prepare(asked) if prepare else asked
     rank = F.struct(*[(c if isinstance(c, Column) else F.col(c)).alias(f"o{i}") for i, c in enumerate(order)],
                     F.col(ROW).alias("row"))
     first = asked.groupBy(F.col(key).alias("__key")).agg(F.min(rank).alias("__first")).select(

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from deskflow import schemas
 from deskflow.functions import clean
 from deskflow.functions.temporal import add_days, add_hours, add_minutes, calendar_parts, parse_dayfirst, parse_iso, round_to_millis
-from deskflow.operators.joins import ROW, Constant, first_per_key, lookup_with_default, mark_repeats, split_by_foreign_keys, split_by_key, with_row_numbers
+from deskflow.operators.joins import ROW, Constant, first_per_key, lookup_with_default, mark_repeats, split_by_foreign_keys, with_row_numbers
 from deskflow.operators.keys import dense_ids
 
 AS_OF = _dt.datetime(2024, 6, 30, 0, 0, 0)
@@ -268,19 +268,29 @@ def incident_priority_rules(raw_incident: DataFrame) -> DataFrame:
                                clean.incident_priority_id(F.col("priority"), label).alias("priority_id"))
 
 
-def _incidents_with_reason(raw_incident: DataFrame) -> DataFrame:
-    """Clean incidents with the first failing conversion; ``seq`` stays when
-    the source has it."""
+def _incident_reason(raw_incident: DataFrame) -> Column:
+    """The first failing conversion of a raw incident."""
     counts = ["reassignment_count", *[c for c in INCIDENT_COUNTS if c in raw_incident.columns]]
     checks = [_not_integer("number")]
     checks += [(_not_integer(c)[0] | F.col(c).isNull(), _not_integer(c)[1]) for c in counts]
     checks += [(clean.leading_int(c).isNotNull(), f"{c} is not an integer") for c in ("impact", "urgency")]
-    keep = ("seq", "reject_reason") if "seq" in raw_incident.columns else ("reject_reason",)
-    return incident_clean(raw_incident.withColumn("reject_reason", _first_reason(checks)), keep)
+    return _first_reason(checks)
+
+
+def _split_incidents(raw_incident: DataFrame) -> DataFrame:
+    """Clean incidents with the reason a row is rejected for: a failed
+    conversion, or an incident id that an accepted row before it (by ``seq``
+    when the source has it, then by ``INCIDENT_ORDER``) has."""
+    seq = ("seq",) if "seq" in raw_incident.columns else ()
+    raw = with_row_numbers(raw_incident).withColumn("reject_reason", _incident_reason(raw_incident))
+    raw = raw.withColumn("__id", F.when(F.col("reject_reason").isNull(), F.col("number").try_cast("long")))
+    raw = mark_repeats(raw, "__id", [*seq, *INCIDENT_ORDER], prepare=lambda rows: incident_clean(rows, ("__id", ROW, *seq)))
+    again = F.when(F.col("__again"), F.lit("incident_id is repeated"))
+    return incident_clean(raw.withColumn("reject_reason", F.coalesce("reject_reason", again)), (*seq, "reject_reason"))
 
 
 def incident_rejects(raw_incident: DataFrame) -> DataFrame:
-    c = _incidents_with_reason(raw_incident)
+    c = raw_incident.select(F.col("number").alias("incident_id"), _incident_reason(raw_incident).alias("reject_reason"))
     return c.where(F.col("reject_reason").isNotNull()).select(F.col("incident_id").try_cast("long").alias("incident_id"), "reject_reason")
 
 
@@ -304,12 +314,10 @@ def load_fact_incident(raw_incident: DataFrame, dims: dict[str, DataFrame], as_o
     has it, stays), or a key check; every input row is in one of the two.
     Times, counts and keys of the source are taken as they are; only missing
     ones are imputed or defaulted."""
-    c = _shared(_incidents_with_reason(raw_incident), keep)
+    c = _shared(_split_incidents(raw_incident), keep)
     given = set(c.columns)
-    sound = c.where(F.col("reject_reason").isNull()).drop("reject_reason").withColumn("incident_id", F.col("incident_id").try_cast("long"))
-    ok, again = split_by_key(sound, "incident_id", (["seq"] if "seq" in given else []) + INCIDENT_ORDER)
+    ok = c.where(F.col("reject_reason").isNull()).withColumn("incident_id", F.col("incident_id").try_cast("long"))
     rejected = c.where(F.col("reject_reason").isNotNull()).select(F.col("incident_id").try_cast("long").alias("incident_id"), "reject_reason")
-    rejected = rejected.unionByName(again.select("incident_id", "reject_reason"))
     key = "incident_id"
     opened = F.coalesce(F.col("opened_at"), add_days(as_of_lit(as_of), -clean.synthetic_int(key, 1, 180, SALT_DAYS)))
     imputed = add_hours(opened, clean.synthetic_int(key, 1, 72, SALT_RESOLVE))

@@ -2,11 +2,14 @@
 
 Two words are near when they differ by one inserted, deleted or replaced
 code point.  Of a pair, the shorter word (of equal lengths, either) is cut
-into two disjoint chunks; the other one contributes its positional grams of
-the chunks' lengths.  One edit touches one chunk at most, and moves the
-other by one place at most, so a near pair meets at a gram that equals a
-chunk and stands within one place of it.  The join is on the chunk's word
-length, number and text; what meets is verified by edit distance.
+into two disjoint chunks, the other one gives its positional grams of the
+chunks' lengths.  One edit touches one chunk at most, and moves what follows
+it by one place at most, so a near pair meets at a gram that equals a chunk
+and stands within one place of it.  The same holds within the chunk that the
+edit touches: cut in two again, one half is left whole.  So the join is on a
+chunk and a half of the other one, three quarters of the word, which keeps
+the groups that meet small even where many words share a beginning or an
+end.  What meets is verified by edit distance.
 
 A word's form is its most frequent near word, if that is at least ``ratio``
 times as frequent.  Counts grow along a chain of forms, so chains are short
@@ -85,34 +88,44 @@ def word_counts(docs: DataFrame, every: int = 97, least: int = 5, seen: int = 3)
     return parts.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= seen)
 
 
-def _cut(length: Column) -> Column:
-    return F.floor(length / 2).cast("int")
+# For an edit in the last, third, second or first quarter of a word: the
+# quarters before it, which stay in place, and those after it, which may move.
+KEPT = [((0, 1, 2), ()), ((0, 1), (3,)), ((0,), (2, 3)), ((), (1, 2, 3))]
 
 
-def chunks(words: DataFrame) -> DataFrame:
-    """The two disjoint chunks of each word, with its length."""
-    length, half = F.length("word"), _cut(F.length("word"))
-    two = F.array(F.struct(F.lit(0).alias("chunk"), F.substring(F.col("word"), F.lit(1), half).alias("gram")),
-                  F.struct(F.lit(1).alias("chunk"), F.substring(F.col("word"), half + 1, length - half).alias("gram")))
-    return words.select("word", "n", length.alias("len"), F.inline(two))
+def _cuts(length: Column) -> list[Column]:
+    half = F.floor(length / 2)
+    return [c.cast("int") for c in (F.lit(0), F.floor(half / 2), half, half + F.floor((length - half) / 2), length)]
 
 
-def grams(words: DataFrame) -> DataFrame:
-    """Positional grams of each word that can equal a chunk of a word of its
-    length or one less: those within one place of where the chunk stands
-    there.  ``of`` is that word's length."""
+def _pieces(of: Column, shift: Column) -> list[Column]:
+    """For words of length ``of`` with what follows the edit moved by
+    ``shift``: the parts left whole, one text for each place of the edit."""
+    cuts = _cuts(of)
+    out = []
+    for before, after in KEPT:
+        head = F.substring(F.col("word"), F.lit(1), cuts[before[-1] + 1]) if before else F.lit("")
+        tail = F.substring(F.col("word"), cuts[after[0]] + shift + 1, cuts[4] - cuts[after[0]]) if after else F.lit("")
+        out.append(F.concat(head, F.lit("|"), tail))
+    return out
+
+
+def chunks(words: DataFrame) -> DataFrame:
+    """Each word's chunks (with a half of the other chunk), for every
+    quarter that an edit may touch."""
     length = F.length("word")
+    parts = [F.struct(F.lit(i).alias("chunk"), p.alias("gram")) for i, p in enumerate(_pieces(length, F.lit(0)))]
+    return words.select("word", "n", length.alias("len"), F.inline(F.array(*parts)))
 
-    def near(of: Column, chunk: int) -> Column:
-        half = _cut(of)
-        size, place = (half, F.lit(0)) if chunk == 0 else (of - half, half)
-        starts = F.filter(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda s: place + s),
-                          lambda p: (p >= 0) & (p + size <= length))
-        return F.transform(starts, lambda p: F.struct(of.alias("of"), F.lit(chunk).alias("at"),
-                                                      F.substring(F.col("word"), p + 1, size).alias("piece")))
 
-    every = F.concat(*[near(length - d, c) for d in (0, 1) for c in (0, 1)])
-    return words.select(F.col("word").alias("other"), F.col("n").alias("other_n"), F.inline(F.array_distinct(every)))
+def grams(words: DataFrame) -> DataFrame:
+    """Grams of each word that stand where the chunks of a word of its length
+    (none moved) or of one less (what follows the edit moved by one) would.
+    ``of`` is that word's length."""
+    length = F.length("word")
+    parts = [F.struct((length - d).alias("of"), F.lit(i).alias("at"), p.alias("piece"))
+             for d in (0, 1) for i, p in enumerate(_pieces(length - d, F.lit(d)))]
+    return words.select(F.col("word").alias("other"), F.col("n").alias("other_n"), F.inline(F.array(*parts)))
 
 
 def near_words(words: DataFrame) -> DataFrame:

@@ -10,12 +10,15 @@ priced once per batch and added up.
 
 The trees are learned from a bounded sample of labelled texts: for every
 language at most ``sample`` different texts, chosen by hash, each read
-whole.  Their runs are counted by Spark; the driver gets counts only.
+whole.  Their runs are counted by Spark; the driver gets counts only, of at
+most ``GROUP`` languages at a time.  More languages than that are priced in
+as many passes over the texts.
 
 Defined results: null texts and texts without a letter are ``und`` with score
 0; so is every text when nothing could be learned.  Of equal code lengths
 the alphabetically first language wins.  Texts of any length are priced
-whole; repeated rows get equal results; an empty table gives an empty result.
+whole; repeated rows get equal results; an empty table gives an empty
+result; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -31,7 +34,8 @@ from .common import store
 
 ORDER = 3  # bytes of context; a run with its context fits 32 bits
 SAMPLE = 200
-MAX_LANGUAGES = 500
+GROUP = 64  # languages whose trees (some 2 MB each) a task holds at once
+MAX_BROADCAST = 200_000
 CHUNK = 1 << 22  # bytes priced at once; a longer text alone
 
 
@@ -55,11 +59,9 @@ def sample_texts(train: DataFrame, sample: int = SAMPLE) -> DataFrame:
     h = F.xxhash64("text")
     chosen = rows.groupBy("lang", F.pmod(h, F.lit(sample)).alias("slot")).agg(F.min(h).alias("h")).select(F.col("lang").alias("l2"), "h")
     chosen = store(chosen, "langid-sample")
-    languages = chosen.select("l2").distinct().limit(MAX_LANGUAGES + 1).count()
-    if languages > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages are labelled")
-    # at most sample * MAX_LANGUAGES rows of a hash and a language name
-    found = rows.join(F.broadcast(chosen), (F.col("lang") == F.col("l2")) & (F.xxhash64("text") == F.col("h")))
+    # Rows of a hash and a language name, sent to the tasks when few.
+    few = chosen.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST
+    found = rows.join(F.broadcast(chosen) if few else chosen, (F.col("lang") == F.col("l2")) & (F.xxhash64("text") == F.col("h")))
     return found.groupBy("lang", "h").agg(F.any_value("text").alias("text")).select("lang", "text")
 
 
@@ -145,24 +147,59 @@ def code_lengths(trees: dict[str, Tree], texts: list[bytes]) -> np.ndarray:
     return out
 
 
-def identify(docs: DataFrame, trees: dict[str, Tree], keys: list[str]) -> DataFrame:
-    """keys, lang_pred and score (share of the best language's likelihood)
-    of every text."""
-    names = list(trees)
+def _priced(docs: DataFrame, trees: dict[str, Tree], keys: list[str], first: bool, last: bool) -> DataFrame:
+    """Price the texts under some languages, on top of what the languages
+    before them gave: least bits, their language, and the likelihood of all
+    over that of the best.  The last pass turns those into a result."""
+    names, told = list(trees), ["_bits", "_lang", "_mass"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(0).to_pylist()
-            told = [i for i, t in enumerate(texts) if names and t and any(map(str.isalpha, t))]
-            lang, score = ["und"] * len(texts), [0.0] * len(texts)
-            if told:
-                bits = code_lengths(trees, [texts[i].encode("utf-8") for i in told])
-                best = bits.argmin(axis=1)
-                likely = 1 / np.exp2(bits.min(axis=1, keepdims=True) - bits).sum(axis=1)
-                for i, b, p in zip(told, best, likely):
-                    lang[i], score[i] = names[b], float(p)
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(lang, pa.string()), pa.array(score, pa.float64())],
-                                             names=[*keys, "lang_pred", "score"])
-
-    schema = "".join(f"`{k}` {docs.schema[k].dataType.simpleString()}, " for k in keys) + "lang_pred string, score double"
-    return docs.select(F.col("text").alias("_text"), *keys).mapInArrow(run, schema)
+            n = len(texts)
+            if first:
+                least, lang, mass = np.full(n, np.inf), np.full(n, "und", dtype=object), np.zeros(n)
+            else:
+                least, mass = (batch.column(c).to_numpy(zero_copy_only=False).copy() for c in ("_bits", "_mass"))
+                lang = np.array(batch.column("_lang").to_pylist(), dtype=object)
+            at = np.array([i for i, t in enumerate(texts) if names and t and any(map(str.isalpha, t))], dtype=np.int64)
+            if len(at):
+                bits = code_lengths(trees, [texts[i].encode("utf-8") for i in at])
+                best = bits.min(axis=1)
+                likely = np.exp2(best[:, None] - bits).sum(axis=1)
+                lower = np.minimum(best, least[at])
+                lang[at] = np.where(best < least[at], np.array(names, dtype=object)[bits.argmin(axis=1)], lang[at])
+                mass[at] = mass[at] * np.exp2(lower - least[at]) + likely * np.exp2(lower - best)
+                least[at] = lower
+            kept = [batch.column(k) for k in keys]
+            langs = pa.array(lang.tolist(), pa.string())
+            if last:
+                score = np.divide(1.0, mass, out=np.zeros(n), where=mass > 0)
+                yield pa.RecordBatch.from_arrays([*kept, langs, pa.array(score)], names=[*keys, "lang_pred", "score"])
+            else:
+                yield pa.RecordBatch.from_arrays([batch.column(0), *kept, pa.array(least), langs, pa.array(mass)],
+                                                 names=["_text", *keys, *told])
+
+    kinds = "".join(f"`{k}` {docs.schema[k].dataType.simpleString()}, " for k in keys)
+    schema = f"{kinds}lang_pred string, score double" if last else f"_text string, {kinds}_bits double, _lang string, _mass double"
+    read = docs.select(F.col("text").alias("_text"), *keys) if first else docs.select("_text", *keys, *told)
+    return read.mapInArrow(run, schema)
+
+
+def identify(docs: DataFrame, trees: dict[str, Tree], keys: list[str]) -> DataFrame:
+    """keys, lang_pred and score (share of the best language's likelihood)
+    of every text."""
+    return _priced(docs, trees, keys, True, True)
+
+
+def learn_and_identify(docs: DataFrame, texts: DataFrame, keys: list[str], group: int = GROUP) -> DataFrame:
+    """``identify`` by all languages of the sample ``texts`` (lang, text)."""
+    texts = store(texts, "langid-texts")
+    names = sorted(r["lang"] for r in texts.select("lang").distinct().collect())  # one name a language
+    groups = [names[i:i + group] for i in range(0, len(names), group)] or [[]]
+    for i, part in enumerate(groups):
+        trees = train(texts.where(F.col("lang").isin(part)) if len(groups) > 1 else texts)
+        docs = _priced(docs, trees, keys, i == 0, i == len(groups) - 1)
+        if i < len(groups) - 1:
+            docs = store(docs, "langid-priced")
+    return docs

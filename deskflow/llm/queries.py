@@ -12,7 +12,7 @@ from .classifier import fit, scores
 from .common import crc_fold, documents
 from .decontaminate import contaminated
 from .filter_audit import filter_audit
-from .langid import identify, sample_texts, train
+from .langid import learn_and_identify, sample_texts
 from .mixing import temperature_mix
 from .neighbours import nearest
 from .quality_rules import COUNTS, quality_rules
@@ -55,9 +55,9 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    trees = train(sample_texts(docs.where(crc_fold(F.col("doc_id"), 3) != 1).select("lang", "text")))
+    texts = sample_texts(docs.where(crc_fold(F.col("doc_id"), 3) != 1).select("lang", "text"))
     keyed = docs.select("doc_id", (crc_fold(F.col("doc_id"), 3) == 1).alias("held_out"), "text")
-    return identify(keyed, trees, ["doc_id", "held_out"])
+    return learn_and_identify(keyed, texts, ["doc_id", "held_out"])
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

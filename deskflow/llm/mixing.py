@@ -16,7 +16,9 @@ holds a whole source.  Equal rows share one place.
 Defined results: a document weighs its words, one at least, so empty and
 null texts take part; a null source is a source of its own; repeated rows
 all take part; one source alone gets weight 1; an empty table gives an empty
-result; other columns are carried under their own names.
+result; other columns are carried under their own names; an input column
+that has the name of an added one is left out, unless that one is given
+another name.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import store, words
+from .common import carried, store, words
 
 SLICE = 1000
 SECTIONS = 16  # exponents tried per round; a round narrows the bracket 16-fold
@@ -91,17 +93,20 @@ def _source_id(source: Column) -> Column:
     return F.struct(source.isNull().alias("none"), F.coalesce(source, F.lit("")).alias("name"))
 
 
+ADDED = ("n_tokens", "weight", "epoch", "mix_block", "mix_order")
+
+
 def temperature_mix(docs: DataFrame, carry: list[str] | None = None, target_entropy: float | None = None,
                     max_repeats: float | None = None, budget_share: float | None = None,
-                    block_tokens: int = 1_000_000, seed: int = 0) -> DataFrame:
+                    block_tokens: int = 1_000_000, seed: int = 0, named: dict[str, str] | None = None) -> DataFrame:
     """One row per placed copy of a document: the columns of ``docs`` (or
     ``carry``) with ``n_tokens``, ``weight`` (of its source), ``epoch``
-    (0, 1, ...), ``mix_block`` and ``mix_order`` (sort key in the block).
+    (0, 1, ...), ``mix_block`` and ``mix_order`` (sort key in the block),
+    each under its own name or the one that ``named`` gives it.
 
     ``budget_share`` is the token budget over the tokens at hand; None takes
     the least budget at which every document is used."""
-    added = {"n_tokens", "weight", "epoch", "mix_block", "mix_order"}
-    names = [c for c in (carry if carry is not None else docs.columns) if c not in added]
+    names, told = carried(docs, carry, ADDED, named)
     key = F.xxhash64("doc_id", "source", "text")
     key2 = F.hash("text", "source", "doc_id")
     tokens = F.greatest(F.size(words(F.col("text"))), F.lit(1)).cast("long")
@@ -110,9 +115,8 @@ def temperature_mix(docs: DataFrame, carry: list[str] | None = None, target_entr
     sources = store(source_tokens(rows), "mix-sources")
     whole = sources.agg(F.sum("total").alias("t")).first()["t"]
     if whole is None:
-        empty = docs.select(*names, F.lit(0).cast("long").alias("n_tokens"), F.lit(0.0).alias("weight"), F.lit(0).alias("epoch"),
-                            F.lit(0).cast("long").alias("mix_block"), F.lit(0).cast("long").alias("mix_order"))
-        return empty.where(F.lit(False))
+        kinds = dict(zip(ADDED, ("bigint", "double", "int", "bigint", "bigint")))
+        return docs.where(F.lit(False)).select(*names, *[F.lit(0).cast(kinds[c]).alias(told[c]) for c in ADDED])
     shares = sources.select((F.col("total") / F.lit(whole)).alias("p"))
     a = exponent(shares, target_entropy, max_repeats, budget_share)
     z, least = shares.agg(F.sum(F.pow("p", F.lit(a))), F.min(F.pow("p", F.lit(a - 1)))).first()
@@ -145,4 +149,4 @@ def temperature_mix(docs: DataFrame, carry: list[str] | None = None, target_entr
                            block.alias("mix_block"), F.xxhash64(F.lit(seed), "h", "epoch").alias("mix_order"))
     body = docs.select(*[F.col(c).alias(f"in_{c}") for c in names], key.alias("ka"), key2.alias("kb"))
     out = body.join(places, (F.col("ka") == F.col("pa")) & (F.col("kb") == F.col("pb")))
-    return out.select(*[F.col(f"in_{c}").alias(c) for c in names], *["n_tokens", "weight", "epoch", "mix_block", "mix_order"])
+    return out.select(*[F.col(f"in_{c}").alias(c) for c in names], *[F.col(c).alias(told[c]) for c in ADDED])

@@ -13,7 +13,7 @@ Null languages and sources are groups of their own.  A group with fewer than
 too small as well, the base rule alone decides.  Repeated rows are judged
 alike, and equal distances fall on the same side of every cut.  Other
 columns are carried under their own names; an input column that has the
-name of an added one is left out.
+name of an added one is left out, unless that one is given another name.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import store
+from .common import carried, store
 from .textstats import count_struct
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -159,14 +159,17 @@ def _group(level: str) -> Column:
     return F.xxhash64(*cols)
 
 
+ADDED = (*COUNTS, "base_failed", "distance", "kept")
+
+
 def quality_rules(docs: DataFrame, carry: list[str] | None = None, min_group: int = 50,
-                  cutoff: float = CUTOFF) -> DataFrame:
+                  cutoff: float = CUTOFF, named: dict[str, str] | None = None) -> DataFrame:
     """Columns of ``docs`` (or those in ``carry``) with the counts,
-    ``base_failed``, ``distance`` (null without an estimate) and ``kept``.
+    ``base_failed``, ``distance`` (null without an estimate) and ``kept``,
+    each under its own name or the one that ``named`` gives it.
 
     ``docs`` needs text, lang and source."""
-    added = {*COUNTS, "base_failed", "kept", "distance"}
-    names = [c for c in (carry if carry is not None else docs.columns) if c not in added]
+    names, told = carried(docs, carry, ADDED, named)
     counted = docs.select(*[F.col(c).alias(f"in_{c}") for c in names], "lang", "source", count_struct(F.col("text")).alias("s"))
     counted = counted.select(*[f"in_{c}" for c in names], "lang", "source", "s.*")
     counted = counted.select("*", *vector_of_counts(), base_failed().alias("base_failed"),
@@ -181,4 +184,5 @@ def quality_rules(docs: DataFrame, carry: list[str] | None = None, min_group: in
     judged = counted.join(own, "g", "left").join(by_lang, "g_lang", "left")
     judged = judged.withColumn("e", F.coalesce("own", "wide")).select("*", "e.*").withColumn("distance", _distance(d))
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True))
-    return judged.select(*[F.col(f"in_{c}").alias(c) for c in names], *COUNTS, "base_failed", "distance", kept.alias("kept"))
+    judged = judged.withColumn("kept", kept)
+    return judged.select(*[F.col(f"in_{c}").alias(c) for c in names], *[F.col(c).alias(told[c]) for c in ADDED])

@@ -5,29 +5,32 @@ with the base spans cut out, are scored by two first-order character models,
 one of random strings and one of ordinary identifiers; a run, or what is left
 of it, is a ``markov`` span when its log-likelihood ratio reaches the
 threshold.  The models
-are learned from labelled samples: the values that the patterns caught (all
-of them) against identifiers that come back in a bounded sample of texts.  Pair counts
+are learned from labelled samples: all values that the patterns caught
+against all identifiers that stand in two texts.  Pair counts
 are one aggregate; scores are integers (thousandths of a nat), so sums do
 not depend on their order.
 
 All spans are found by expressions over one text: the pattern splits the
-text, and the lengths of pieces and matches add up to code-point positions.
+text, and the lengths of pieces and matches add up to code-point positions,
+in time that grows with the text and its spans, not with their product.
 
 Defined results: a null text is empty and has no spans; texts of any length
 are scanned whole; repeated rows get equal results; without any caught value
 the random model is uniform, and with neither values nor identifiers there
 are no markov spans; an empty table gives an empty result; other columns are
-carried under their own names.
+carried under their own names; an input column that has the name of an added
+one is left out, unless that one is given another name.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, store
+from .common import carried, code_points, exclusive_scan, let, store, text_slice
 
 # The base patterns.  A run of 16 or 18 characters at least is
 # a maximal run with that length; the assigned value's length is checked
@@ -44,28 +47,27 @@ RUN = rf"[A-Za-z0-9+/_=-]{{{MIN_RUN},}}"
 IDENTIFIER = r"[A-Za-z0-9+/_=-]{4,}"
 THRESHOLD = 10_000  # thousandths of a nat: odds of about 22,000 to 1
 MIN_DISTINCT = 8  # characters; a rule drawn with one or two is no key
-SAMPLE_TEXTS = 2048
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 FOUND = "array<struct<start:int,kind:int,end:int,word:string>>"
 
 
 def _spans(text: Column, pattern: str, kind: int, group: int = 0, least: int = 0) -> Column:
-    """Spans of a pattern, in order; ``word`` is the group's text."""
+    """Spans of a pattern, in order; ``word`` is the group's text.  The
+    pattern splits the text; lengths of gaps and matches add up to places."""
     def place(hits: Column) -> Column:
-        gaps = F.split(text, pattern, -1)
+        gaps = F.transform(F.split(text, pattern, -1), F.length)
+        lengths = F.transform(hits, F.length)
+        gaps = F.slice(gaps, F.lit(1), F.size(hits))  # the last gap ends the text
         values = hits if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-        items = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"), values.alias("value"))
-        items = F.slice(items, F.lit(1), F.size(hits))  # the last gap ends the text
-        start = F.struct(F.lit(0).alias("at"), F.array().cast(FOUND).alias("out"))
+        before = exclusive_scan(F.zip_with(gaps, lengths, lambda g, n: (g + n).cast("bigint")), lambda a, b: a + b)
+        before = F.slice(before, F.lit(1), F.size(hits))
+        items = F.arrays_zip(before.alias("before"), gaps.alias("gap"), lengths.alias("length"), values.alias("value"))
 
-        def step(s: Column, x: Column) -> Column:
-            return let(s["at"] + F.length(x["gap"]), lambda a: F.struct(
-                (a + F.length(x["hit"])).alias("at"),
-                F.concat(s["out"], F.array(F.struct(
-                    a.alias("start"), F.lit(kind).alias("kind"), (a + F.length(x["hit"])).alias("end"),
-                    x["value"].alias("word")))).alias("out")))
+        def span(x: Column) -> Column:
+            start = (x["before"] + x["gap"]).cast("int")
+            return F.struct(start.alias("start"), F.lit(kind).alias("kind"), (start + x["length"]).alias("end"), x["value"].alias("word"))
 
-        return F.filter(F.aggregate(items, start, step)["out"], lambda x: F.length(x["word"]) >= least)
+        return F.filter(F.transform(items, span), lambda x: F.length(x["word"]) >= least)
 
     return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda hits: F.when(
         F.size(hits) == 0, F.array().cast(FOUND)).otherwise(place(hits)))
@@ -76,19 +78,30 @@ def base_spans(text: Column) -> Column:
     return F.sort_array(found)
 
 
-def _pieces(run: Column, base: Column) -> Column:
-    """What the base spans (in order) leave of a run, in pieces of
-    ``MIN_RUN`` characters at least."""
-    def piece(start: Column, end: Column) -> Column:
-        word = F.substring(run["word"], start - run["start"] + 1, end - start)
-        return F.when(end - start >= MIN_RUN, F.array(F.struct(
-            start.alias("start"), run["kind"].alias("kind"), end.alias("end"), word.alias("word")))).otherwise(F.array().cast(FOUND))
+def _covered(spans: Column) -> Column:
+    """For spans in order: the end of what those before each one cover, and
+    of what all cover last."""
+    return exclusive_scan(F.transform(spans, lambda x: x["end"].cast("bigint")), F.greatest)
 
-    inside = F.filter(base, lambda b: (b["start"] < run["end"]) & (b["end"] > run["start"]))
-    start = F.struct(run["start"].alias("at"), F.array().cast(FOUND).alias("out"))
-    left = F.aggregate(inside, start, lambda s, b: F.struct(
-        F.greatest(s["at"], b["end"]).alias("at"), F.concat(s["out"], piece(s["at"], b["start"])).alias("out")))
-    return let(left, lambda s: F.concat(s["out"], piece(s["at"], run["end"])))
+
+def _replaced(text: Column, spans: Column, mark: Callable[[Column, Column, Column], Column]) -> Column:
+    """The text with ``mark`` (start, end, end of what is covered before) for
+    each span, and the text between them."""
+    def put(points: Column, covered: Column) -> Column:
+        items = F.arrays_zip(spans.alias("span"), F.slice(covered, F.lit(1), F.size(spans)).alias("at"))
+        parts = F.transform(items, lambda x: F.concat(
+            text_slice(points, x["at"], x["span"]["start"]), mark(x["span"]["start"], x["span"]["end"], x["at"])))
+        tail = text_slice(points, F.element_at(covered, -1), F.length(text).cast("bigint"))
+        return F.concat(F.array_join(parts, ""), tail)
+
+    done = let(code_points(text), lambda p: let(_covered(spans), lambda c: put(p, c)))
+    return F.when(F.size(spans) == 0, text).otherwise(done)
+
+
+def _blanked(text: Column, base: Column) -> Column:
+    """The text with base spans (in order) turned into as many spaces: what
+    is left of a run beside them is a shorter run."""
+    return _replaced(text, base, lambda start, end, at: F.repeat(F.lit(" "), F.greatest(end - F.greatest(start, at), F.lit(0)).cast("int")))
 
 
 def _narrow(spans: Column) -> Column:
@@ -146,55 +159,46 @@ def _scored(word: Column, ratios: list[int]) -> Column:
     return F.aggregate(_pair_cells(word), F.lit(0), lambda s, c: s + F.element_at(table, c + 1))
 
 
-def _sampled_words(docs: DataFrame, sample_texts: int) -> DataFrame:
-    """Identifiers that stand in two texts at least of a sample of at most
-    ``sample_texts`` different texts, chosen by hash (a random string hardly
-    comes back), without what the patterns caught."""
-    texts = docs.select("text").where("text is not null")
-    h = F.xxhash64("text")
-    chosen = texts.groupBy(F.pmod(h, F.lit(sample_texts)).alias("slot")).agg(F.min(h).alias("h"))
-    chosen = store(chosen.select("h"), "secret-sample")  # at most sample_texts rows of 8 bytes
-    picked = texts.join(F.broadcast(chosen), F.xxhash64(texts["text"]) == chosen["h"]).groupBy("h").agg(F.any_value("text").alias("text"))
+def _identifiers(docs: DataFrame) -> DataFrame:
+    """Identifiers that stand in two different texts at least (a random
+    string hardly comes back), without what the patterns caught.  Each text
+    names an identifier once, under its text's hash; least and greatest hash
+    tell whether there are two, so the count combines before the shuffle."""
     clean = F.col("text")
     for pattern in (ASSIGN, ACCESS, HEX):
         clean = F.regexp_replace(clean, pattern, " ")
     found = F.array_distinct(F.regexp_extract_all(clean, F.lit(IDENTIFIER), F.lit(0)))
-    return picked.select(F.explode(found).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("word")
+    named = docs.where("text is not null").select(F.xxhash64("text").alias("h"), F.explode(found).alias("word"))
+    return named.groupBy("word").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi").select("word")
 
 
-def secret_scan(docs: DataFrame, carry: list[str] | None = None, sample_texts: int = SAMPLE_TEXTS,
-                threshold: int = THRESHOLD) -> DataFrame:
+ADDED = ("base", "spans")
+
+
+def secret_scan(docs: DataFrame, carry: list[str] | None = None, threshold: int = THRESHOLD,
+                named: dict[str, str] | None = None) -> DataFrame:
     """Columns of ``docs`` (or ``carry``) with ``base`` and ``spans``, both
-    arrays of struct(start, kind, end) in order."""
-    names = [c for c in (carry if carry is not None else docs.columns) if c not in ("base", "spans")]
+    arrays of struct(start, kind, end) in order, each under its own name or
+    the one that ``named`` gives it."""
+    names, told = carried(docs, carry, ADDED, named)
     text = F.coalesce(F.col("text"), F.lit(""))
-    scanned = docs.select(*[F.col(c).alias(f"in_{c}") for c in names],
-                          base_spans(text).alias("base"), _spans(text, RUN, 3).alias("runs"))
-    free = F.flatten(F.transform("runs", lambda r: _pieces(r, F.col("base"))))
-    scanned = store(scanned.select(*[f"in_{c}" for c in names], "base", free.alias("runs")), "secret-spans")
+    scanned = docs.select(*[F.col(c).alias(f"in_{c}") for c in names], text.alias("text"), base_spans(text).alias("base"))
+    runs = let(_blanked(F.col("text"), F.col("base")), lambda t: _spans(t, RUN, 3))
+    scanned = store(scanned.select(*[f"in_{c}" for c in names], "base", runs.alias("runs")), "secret-spans")
 
     caught = scanned.select(F.explode("base.word").alias("word"), F.lit(1).alias("label"))
-    plain = _sampled_words(docs, sample_texts).select("word", F.lit(0).alias("label"))
+    plain = _identifiers(docs).select("word", F.lit(0).alias("label"))
     counts = [tuple(r) for r in pair_counts(caught.unionByName(plain)).collect()]  # at most 2 * 68^2 rows
     added = F.array().cast(FOUND)
     if any(label == 0 for label, _, _ in counts):
         ratios = log_ratios(counts)
         added = F.filter("runs", lambda r: (F.size(F.array_distinct(F.split(r["word"], ""))) >= MIN_DISTINCT)
                          & (_scored(r["word"], ratios) >= threshold))
-    return scanned.select(*[F.col(f"in_{c}").alias(c) for c in names], _narrow(F.col("base")).alias("base"),
-                          F.sort_array(_narrow(F.concat("base", added))).alias("spans"))
+    return scanned.select(*[F.col(f"in_{c}").alias(c) for c in names], _narrow(F.col("base")).alias(told["base"]),
+                          F.sort_array(_narrow(F.concat("base", added))).alias(told["spans"]))
 
 
 def redacted(text: Column, spans: Column, mark: str = "<secret>") -> Column:
     """The text with every span (overlapping ones together) replaced."""
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-
-    def step(s: Column, x: Column) -> Column:
-        fresh = F.struct(F.concat(s["out"], F.substring(text, s["at"] + 1, x["start"] - s["at"]), F.lit(mark)).alias("out"),
-                         x["end"].alias("at"))
-        longer = F.struct(s["out"].alias("out"), F.greatest(s["at"], x["end"]).alias("at"))
-        # touching or overlapping the span before: one mark for both
-        return F.when((x["start"] < s["at"]) & (s["at"] > 0), longer).otherwise(fresh)
-
-    done = let(F.aggregate(spans, start, step), lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) == 0, text).otherwise(done)
+    return _replaced(text, spans, lambda start, end, at: F.when(
+        (start < at) & (at > 0), F.lit("")).otherwise(F.lit(mark)))

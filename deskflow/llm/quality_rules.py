@@ -4,8 +4,10 @@ For each language and source a minimum-covariance-determinant estimate of a
 vector of transformed counts is fitted, and a text is rejected when its
 Mahalanobis distance from that estimate is too large.  Everything is
 DataFrame work: the counts are expressions over one text; each
-concentration step is one quantile sketch and one set of sums per group, so
-a group that holds most of the rows is combined before any shuffle.
+concentration step is one set of sums and one cut per group.  Cuts and
+medians come from bucket counts, narrowed to the bucket that holds the rank:
+they combine before any shuffle, are spread over tasks by bucket, and do not
+depend on the order of merging, however many rows a group has.
 
 Defined results: a null or empty text has no words and fails the base rule.
 Null languages and sources are groups of their own.  A group with fewer than
@@ -20,7 +22,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import carried, store
@@ -36,6 +38,8 @@ FLOOR = (0.15, 0.05, 0.05, 0.15)
 # quantile of chi-square.  Half is the most that outliers (a third of the
 # rows may be copies of one text) cannot reach into.
 INNER, CONSISTENCY, REWEIGHT, CUTOFF = 0.5, 2.109, 11.14, 33.4
+# Buckets of a cut, and how often they are narrowed.
+BUCKETS, ROUNDS = 512, 2
 # Estimates (of about 200 bytes) that may be broadcast: some 20 MB.
 MAX_BROADCAST = 100_000
 
@@ -116,6 +120,34 @@ def _small(estimates: DataFrame, rows: int = MAX_BROADCAST) -> DataFrame:
     return F.broadcast(estimates) if estimates.limit(rows + 1).count() <= rows else estimates
 
 
+def _bucket(y: Column, lo: Column, hi: Column) -> Column:
+    return F.when(hi > lo, F.least(F.floor((y - lo) / (hi - lo) * BUCKETS), F.lit(BUCKETS - 1))).otherwise(0).cast("int")
+
+
+def lower_quantiles(rows: DataFrame, keys: list[str], values: list[Column], q: float) -> DataFrame:
+    """``keys``, n and q0, q1, ...: the value of rank ceil(q n) of each of the
+    ``values`` (not negative) in a group, or one within a
+    ``BUCKETS``-to-the-``ROUNDS``th part of the range of log1p.
+
+    The state of a round is a row for each group and value: its least and
+    greatest value that can be the one, and how many are below."""
+    y = F.array(*[F.struct(F.lit(i).alias("v"), F.log1p(x).alias("y")) for i, x in enumerate(values)])
+    long = rows.select(*keys, F.inline(y))
+    state = long.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("n"), F.min("y").alias("lo"), F.max("y").alias("hi"))
+    state = store(state.withColumn("below", F.lit(0).cast("bigint")), "quantile-range")
+    at = [*keys, "v"]
+    for turn in range(ROUNDS):
+        counted = long.join(_small(state), at).where(F.col("y").between(F.col("lo"), F.col("hi"))).groupBy(
+            *at, "n", "below", _bucket(F.col("y"), F.col("lo"), F.col("hi")).alias("bucket")).agg(
+            F.count(F.lit(1)).alias("m"), F.min("y").alias("lo"), F.max("y").alias("hi"))
+        counted = store(counted, "quantile-counts")
+        upto = F.col("below") + F.sum("m").over(Window.partitionBy(*at).orderBy("bucket"))  # BUCKETS rows at most
+        here = counted.withColumn("upto", upto).where((F.col("upto") >= F.ceil(F.col("n") * q)) & (F.col("upto") - F.col("m") < F.ceil(F.col("n") * q)))
+        state = store(here.select(*at, "n", "lo", "hi", (F.col("upto") - F.col("m")).alias("below")), "quantile-range")
+    pick = [F.max(F.when(F.col("v") == i, F.expm1("lo"))).alias(f"q{i}") for i in range(len(values))]
+    return state.groupBy(*keys).agg(F.max("n").alias("n"), *pick)
+
+
 def mcd(rows: DataFrame, key: str, steps: int = 2) -> DataFrame:
     """One row per group: centre ``m*`` and Cholesky factor ``l**`` of the
     minimum-covariance-determinant estimate, and the fitted rows ``n``.
@@ -123,15 +155,14 @@ def mcd(rows: DataFrame, key: str, steps: int = 2) -> DataFrame:
     Deterministic starts (median with median absolute deviations; classical
     mean and covariance), ``steps`` concentration steps each, the start with
     the smaller determinant, then one reweighting step.  ``rows`` holds
-    ``key`` and the vector; it is read once per step."""
+    ``key`` and the vector; it is read ``ROUNDS`` + 2 times per step."""
     d = len(VECTOR)
-    med = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"),
-                                *[F.percentile_approx(VECTOR[i], 0.5, 1000).cast("double").alias(f"m{i}") for i in range(d)])
-    med = store(med, "mcd-median")
+    med = lower_quantiles(rows, [key], [F.col(v) for v in VECTOR], 0.5)
+    med = store(med.select(key, *[F.col(f"q{i}").alias(f"m{i}") for i in range(d)]), "mcd-median")
     near = rows.join(_small(med), key)
-    first = near.groupBy(key).agg(*_moments(d), *[F.percentile_approx(F.abs(F.col(VECTOR[i]) - F.col(f"m{i}")), 0.5, 1000)
-                                                  .cast("double").alias(f"mad{i}") for i in range(d)])
-    first = store(first, "mcd-start")
+    mad = lower_quantiles(near, [key], [F.abs(F.col(VECTOR[i]) - F.col(f"m{i}")) for i in range(d)], 0.5)
+    mad = mad.select(key, *[F.col(f"q{i}").alias(f"mad{i}") for i in range(d)])
+    first = store(near.groupBy(key).agg(*_moments(d)).join(mad, key), "mcd-start")
     spread = first.select(key, F.lit(0).alias("start"), "n", *[f"m{i}" for i in range(d)], *[
         (F.pow(1.4826 * F.col(f"mad{i}"), 2) + FLOOR[i] ** 2 if i == j else F.lit(0.0)).alias(_cell(i, j))
         for i in range(d) for j in range(i + 1)])
@@ -140,8 +171,9 @@ def mcd(rows: DataFrame, key: str, steps: int = 2) -> DataFrame:
     keys = [key, "start"]
     for step in range(steps):
         state = store(state.select(*keys, *_columns(d, "logdet")), "mcd-state")
-        cut = rows.join(_small(state), key).groupBy(*keys).agg(F.percentile_approx(_distance(d), INNER, 1000).alias("cut"))
-        inner = store(state.join(cut, keys), "mcd-cut")
+        cut = lower_quantiles(rows.join(_small(state), key), keys, [_distance(d)], INNER)
+        # The bucket's least value is a little low where it holds others.
+        inner = store(state.join(cut.select(*keys, (F.col("q0") * (1 + 1e-9)).alias("cut")), keys), "mcd-cut")
         sums = rows.join(_small(inner), key).groupBy(*keys).agg(*_moments(d, _distance(d) <= F.col("cut")))
         state = _from_moments(sums, keys, d, CONSISTENCY)
     state = store(state.select(*keys, *_columns(d, "logdet")), "mcd-state")

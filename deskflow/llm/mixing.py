@@ -9,9 +9,10 @@ by hash; a document's place in it, over the source's whole quota, tells its
 block of the mix, so every block holds each source in its weight's
 proportion.
 
-Places are running sums in two levels: sums per hash slice, running sums
-over slices, then within a slice of about ``SLICE`` documents.  No window
-holds a whole source.  Equal rows share one place.
+Places are running sums in three levels: over slices of about ``SLICE``
+documents by hash, within groups of ``SLICE`` slices, and over those groups.
+A window holds about ``SLICE`` rows, the last one a row for every million
+documents of a source.  Equal rows share one place.
 
 Defined results: a document weighs its words, one at least, so empty and
 null texts take part; a null source is a source of its own; repeated rows
@@ -135,10 +136,13 @@ def temperature_mix(docs: DataFrame, carry: list[str] | None = None, target_entr
         "ka", "kb", "sid", "tokens", (F.col("tokens") * F.col("n_rows")).alias("mass"), "total", "weight", "quota", "slices",
         F.explode(F.sequence(F.lit(0), F.floor((F.col("quota") - 1) / F.col("total")).cast("int"))).alias("epoch"))
     placed = placed.withColumn("h", F.xxhash64(F.lit(seed), "epoch", "ka", "kb")).withColumn("slice", F.pmod("h", "slices"))
-    slices = placed.groupBy("sid", "epoch", "slice").agg(F.sum("mass").alias("m"))
-    over = Window.partitionBy("sid", "epoch").orderBy("slice")
+    slices = placed.groupBy("sid", "epoch", "slice").agg(F.sum("mass").alias("m")).withColumn("far", F.floor(F.col("slice") / SLICE))
+    far = slices.groupBy(F.col("sid").alias("s4"), F.col("epoch").alias("e4"), F.col("far").alias("f4")).agg(F.sum("m").alias("m4"))
+    far = far.withColumn("before4", F.sum("m4").over(Window.partitionBy("s4", "e4").orderBy("f4")) - F.col("m4"))
+    near = F.sum("m").over(Window.partitionBy("sid", "epoch", "far").orderBy("slice")) - F.col("m")
+    slices = slices.withColumn("near", near).join(far, (F.col("sid") == F.col("s4")) & (F.col("epoch") == F.col("e4")) & (F.col("far") == F.col("f4")))
     slices = slices.select(F.col("sid").alias("s3"), F.col("epoch").alias("e3"), F.col("slice").alias("c3"),
-                           (F.sum("m").over(over) - F.col("m")).alias("before"))
+                           (F.col("before4") + F.col("near")).alias("before"))
     inside = Window.partitionBy("sid", "epoch", "slice").orderBy("h", "ka", "kb")
     placed = placed.withColumn("within", F.sum("mass").over(inside) - F.col("mass"))
     placed = placed.join(slices, (F.col("sid") == F.col("s3")) & (F.col("epoch") == F.col("e3")) & (F.col("slice") == F.col("c3")))

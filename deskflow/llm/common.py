@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,10 +31,32 @@ def crc_fold(key: Column, folds: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(folds)), F.lit(0).cast("bigint"))
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
+_SCRATCH: list[str] = []
+
+
+@contextmanager
+def scratch(spark) -> Iterator[None]:
+    """Within it, ``store`` writes to one folder, which goes at the end:
+    what comes of the stored frames must have been stored outside by then
+    (see ``store``'s ``keep``)."""
+    folder = work_dir(spark, "scratch")
+    _SCRATCH.append(folder)
+    try:
+        yield
+    finally:
+        _SCRATCH.remove(folder)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def store(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write a frame under the shared checkpoint folder and read it back
-    (cuts lineage; survives lost executors)."""
+    (cuts lineage; survives lost executors).  Within ``scratch`` it goes with
+    that folder, unless it is to ``keep`` beyond the innermost one."""
     path = work_dir(df.sparkSession, name)
+    around = _SCRATCH[:-1] if keep else _SCRATCH
+    if around:
+        path = f"{around[-1]}/{path.rsplit('/', 1)[1]}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, store
+from .common import fresh, scratch, store
 from .components import components
 
 BITS = 64
@@ -147,7 +147,8 @@ def simhash_classes(docs: DataFrame, shingle: int = 3, max_bits: int = 2, key: s
     if max_bits == 0:
         classes = fps.select("fp", F.col("fp").alias("root"), F.col("rep").alias("component_id"))
     else:
-        comp = store(components(links(fps, max_bits)), "simhash-components")
+        with scratch(docs.sparkSession):  # candidates, and the edges of every round
+            comp = store(components(links(fps, max_bits)), "simhash-components", keep=True)
         rooted = fps.join(comp, F.col("fp") == F.col("node"), "left").select(
             "fp", "rep", F.coalesce("root", "fp").alias("root"))
         least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))

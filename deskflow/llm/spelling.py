@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import store
+from .common import scratch, store
 
 RUN = re.compile("[a-zÀ-ÿ]+")
 # Words counted in a task before their partial counts are handed on.
@@ -158,7 +158,8 @@ def spelling_groups(docs: DataFrame, every: int = 97, least: int = 5, seen: int
     has = -F.col("best.less") >= ratio * F.col("n")
     best = store(best.select("word", "n_near", F.when(has, F.col("best.near")).alias("form"),
                              F.when(has, -F.col("best.less")).alias("form_n")), "spelling-near")
-    ends = roots(best.where("form is not null"))
+    with scratch(docs.sparkSession):
+        ends = store(roots(best.where("form is not null")), "spelling-ends", keep=True)
     out = words.join(best, "word", "left").join(ends, "word", "left")
     return out.select("word", "form", F.coalesce("root", "word").alias("root"), "n",
                       F.coalesce("n_near", F.lit(0).cast("bigint")).alias("n_near"), "form_n")

@@ -45,4 +45,20 @@ select part, filter_order, step::int as step, kept, removed, redundant, unique_f
 from counted
 """
 
-ORACLES: dict[str, str] = {"op12_filter_audit": OP12}
+# Base32 of the SHA-1: five hex digits (20 bits) give four letters.
+OP6 = r"""
+with p as (
+  select page_id, strlen(coalesce(html, '')) as size, sha1(coalesce(html, '')) as sha from pages),
+f as (
+  select page_id, size, sha, min(page_id) over (partition by sha, size) as first, count(*) over (partition by sha, size) as n from p),
+d as (
+  select *, n > 1 and first is not null and page_id is distinct from first as revisit,
+    list_transform(range(8), lambda i: ('0x' || substring(sha, (5 * i + 1)::int, 5))::int) as v from f)
+select page_id, size::bigint as payload_bytes,
+  array_to_string(list_transform(v, lambda x: list_aggregate(list_transform([15, 10, 5, 0],
+    lambda b: substring('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((x >> b) & 31) + 1, 1)), 'string_agg', '')), '') as payload_digest,
+  case when revisit then 'revisit' else 'response' end as record_type, case when revisit then first end as refers_to
+from d
+"""
+
+ORACLES: dict[str, str] = {"op6_warc": OP6, "op12_filter_audit": OP12}

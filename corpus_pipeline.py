@@ -2,8 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir), works on all rows its predecessor
 kept and returns the columns of its input, whatever their names; the last
-one adds the place of every copy in the mix.  ``run`` writes each stage's rows as Parquet under
-the shared checkpoint folder and reads them back for the next one.
+one adds the place of every copy in the mix.  ``run`` writes each stage's
+rows as Parquet under the shared checkpoint folder and reads them back for
+the next one.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deskflow.llm import mixing, quality_rules, secrets
-from deskflow.llm.common import documents, fresh, fresh_names, let, store
+from deskflow.llm.common import documents, fresh, fresh_names, let, scratch, store
 from deskflow.llm.decontaminate import decontaminated
 from deskflow.llm.simhash import one_per_class
 
@@ -60,7 +61,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix of all documents.  Of a stage, only its rows are kept in the
+    shared folder."""
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
-        docs = store(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch(spark):
+            docs = store(stage(spark, docs, sf_dir), f"pipeline-{name}", keep=True)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -10,9 +10,10 @@ towards the whole table's, reaches the limit.
 
 All steps are aggregates over distinct host and path pairs: nodes are
 addressed by a running hash, and a host that holds most pages is combined
-before any shuffle.  The tree is rebuilt after each round of wildcards until
-none is added: a round settles the first new wildcard of every path, and what
-lies below it is tested in the next one on the counts of the merged branch.
+before any shuffle.  The tree is settled from the top, a level a round: what
+lies below a wildcard is tested on the counts of the merged branch.  A path
+that shares its node with no other one is done; segments beyond the
+``MAX_DEPTH``th count as one, so there are that many rounds at most.
 
 Defined results: a null url, or one without ``://``, has an empty host and
 path; rules still apply to them as written; urls without labelled relatives
@@ -23,6 +24,7 @@ columns are carried under their own names.
 
 from __future__ import annotations
 
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +36,7 @@ MANY_CHILDREN, LEAST_SPREAD = 8, 0.3
 SAME_Z = 2.0
 WEIGHT = 5.0
 LIMIT = 0.5
+MAX_DEPTH = 64
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -65,35 +68,25 @@ def segments(path: Column) -> Column:
                 .when(stem.rlike(r"^[0-9a-fA-F-]{8,}$") & stem.rlike(r"\d"), "<hex>").otherwise(stem))
         return F.concat(kind, end)
 
-    return F.transform(F.filter(F.split(path, "/", -1), lambda x: x != ""), shape)
+    def bounded(segs: Column) -> Column:
+        rest = F.array_join(F.slice(segs, F.lit(MAX_DEPTH), F.size(segs)), "/")
+        return F.when(F.size(segs) <= MAX_DEPTH, segs).otherwise(F.concat(F.slice(segs, F.lit(1), F.lit(MAX_DEPTH - 1)), F.array(rest)))
 
+    return let(F.transform(F.filter(F.split(path, "/", -1), lambda x: x != ""), shape), bounded)
 
-def _nodes(host: Column, segs: Column) -> Column:
-    """array<struct<parent, node, wild>> along a path of struct(seg, wild),
-    by running hash."""
-    start = F.struct(F.xxhash64(host).alias("at"), F.array().cast("array<struct<parent:bigint,node:bigint,wild:boolean>>").alias("out"))
 
-    def step(s: Column, x: Column) -> Column:
-        return let(F.xxhash64(s["at"], x["seg"], x["wild"]), lambda node: F.struct(node.alias("at"), F.concat(
-            s["out"], F.array(F.struct(s["at"].alias("parent"), node.alias("node"), x["wild"].alias("wild")))).alias("out")))
-
-    return F.aggregate(segs, start, step)["out"]
-
-
-def _new_wildcards(paths: DataFrame) -> DataFrame:
-    """(wild_node): branches of the tree of ``paths`` to be made wildcards."""
-    steps = paths.select(F.explode("nodes").alias("x"), "n", "labelled", "bad").select("x.*", "n", "labelled", "bad")
-    branch = store(steps.groupBy("parent", "node", "wild").agg(F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad")), "url-branches")
-    parent = branch.groupBy("parent").agg(F.count(F.lit(1)).alias("children"), F.sum("n").alias("pn"), F.sum("labelled").alias("pl"),
-                                          F.sum("bad").alias("pb")).withColumnRenamed("parent", "parent2")
+def _wildcards(branch: DataFrame) -> DataFrame:
+    """For the branches (at, seg) of some nodes: whether each becomes part of
+    a wildcard, and whether it is all that the node has."""
+    parent = branch.groupBy(F.col("at").alias("a3")).agg(
+        F.count(F.lit(1)).alias("children"), F.sum("paths").alias("held"), F.sum("n").alias("pn"), F.sum("labelled").alias("pl"), F.sum("bad").alias("pb"))
     spread = (F.col("children") >= MANY_CHILDREN) & (F.col("children") >= LEAST_SPREAD * F.col("pn"))
     p = (F.col("pb") + 0.5) / (F.col("pl") + 1.0)
     # Two shares: the branch against its parent.  Unlabelled branches cannot differ.
     z = F.abs(F.col("bad") - F.col("labelled") * p) / F.sqrt(F.greatest(F.col("labelled") * p * (1 - p), F.lit(1e-9)))
     same = (F.col("labelled") == 0) | (z < SAME_Z)
-    merged = branch.join(parent, F.col("parent") == F.col("parent2")).where(
-        ~F.col("wild") & (spread | ((F.col("children") > 1) & same)))
-    return store(merged.select(F.col("node").alias("wild_node")), "url-wildcards")
+    return branch.join(parent, F.col("at") == F.col("a3")).select(
+        F.col("at").alias("a2"), F.col("seg").alias("s2"), (spread | ((F.col("children") > 1) & same)).alias("wild"), (F.col("held") == 1).alias("alone"))
 
 
 def templates(pages: DataFrame) -> DataFrame:
@@ -101,21 +94,27 @@ def templates(pages: DataFrame) -> DataFrame:
     segment list of ``pages`` (host, path, bad); ``bad`` is 1, 0 or null."""
     paths = pages.select("host", segments(F.col("path")).alias("segs"), F.col("bad").cast("long").alias("bad")) \
         .groupBy("host", "segs").agg(F.count(F.lit(1)).alias("n"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-    tree = F.transform("segs", lambda x: F.struct(x.alias("seg"), F.lit(False).alias("wild")))
     counts = ("n", "labelled", "bad")
-    paths = paths.select(F.xxhash64("host", "segs").alias("pid"), "host", tree.alias("tree"), *counts)
-    while True:
-        paths = store(paths.select("pid", "host", "tree", _nodes(F.col("host"), F.col("tree")).alias("nodes"), *counts), "url-paths")
-        merged = _new_wildcards(paths)
-        if merged.isEmpty():
+    active = store(paths.select(F.xxhash64("host", "segs").alias("pid"), "host", F.xxhash64("host").alias("at"), "segs",
+                                F.array().cast("array<string>").alias("done"), *counts), "url-paths")
+    parts = []
+    for depth in range(MAX_DEPTH):
+        here = active.withColumn("seg", F.get("segs", F.lit(depth)))
+        branch = here.where("seg is not null").groupBy("at", "seg").agg(F.count(F.lit(1)).alias("paths"), *[F.sum(c).alias(c) for c in counts])
+        told = _wildcards(store(branch, "url-branches"))
+        moved = here.join(told, (F.col("at") == F.col("a2")) & (F.col("seg") == F.col("s2")), "left")
+        wild = F.coalesce("wild", F.lit(False))
+        named = F.when(F.col("seg").isNull(), F.array().cast("array<string>")).otherwise(F.array(F.when(wild, "*").otherwise(F.col("seg"))))
+        ended = F.col("seg").isNull() | F.coalesce("alone", F.lit(False)) | (depth == MAX_DEPTH - 1)
+        moved = store(moved.select("pid", "host", F.xxhash64("at", F.when(wild, "*").otherwise(F.col("seg")), wild).alias("at"), "segs",
+                                   F.concat("done", named).alias("done"), *counts, ended.alias("ended")), "url-paths")
+        rest = F.slice("segs", F.size("done") + 1, F.greatest(F.size("segs") - F.size("done"), F.lit(0)))
+        template = F.concat(F.lit("/"), F.array_join(F.concat("done", rest), "/"))
+        parts.append(moved.where("ended").select("pid", "host", template.alias("template"), "labelled", "bad"))
+        active = moved.where(~F.col("ended"))
+        if active.isEmpty():
             break
-        first = paths.select("pid", F.posexplode("nodes").alias("i", "x")).select("pid", "i", "x.node") \
-            .join(merged, F.col("node") == F.col("wild_node")) \
-            .groupBy(F.col("pid").alias("pid2")).agg(F.min("i").alias("first"))
-        star = F.transform("tree", lambda x, i: F.when(i == F.col("first"), F.struct(F.lit("*").alias("seg"), F.lit(True).alias("wild"))).otherwise(x))
-        paths = paths.join(first, F.col("pid") == F.col("pid2"), "left").select("pid", "host", star.alias("tree"), *counts)
-    template = F.concat(F.lit("/"), F.array_join(F.col("tree.seg"), "/"))
-    return paths.select("pid", "host", template.alias("template"), "labelled", "bad")
+    return reduce(DataFrame.unionByName, parts)
 
 
 def purity(paths: DataFrame, weight: float = WEIGHT) -> DataFrame:

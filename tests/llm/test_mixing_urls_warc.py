@@ -175,6 +175,53 @@ def test_filters_are_pushed_down_and_small_payloads_kept(spark):
     assert read_archives(spark, archive(spark, ROWS, compression="none"), payload="false").where("payload is null").count() == 9
 
 
+def test_unwanted_payloads_are_not_inflated(spark, monkeypatch):
+    from deskflow.llm import warc
+
+    path = archive(spark, ROWS)
+    inflated = []
+    into = warc.Member.readinto
+    monkeypatch.setattr(warc.Member, "readinto", lambda self, b: inflated.append(n := into(self, b)) or n)
+    for wanted, most in (("urn:x-page:2", 40_000), ("urn:x-page:4", 400_000)):
+        reader, inflated[:] = WarcReader({"path": path, "record_id": wanted}), []
+        rows = [row for part in reader.partitions() for batch in reader.read(part) for row in batch.to_pylist()]
+        assert [r["record_id"] for r in rows] == [wanted] and sum(inflated) < most
+    assert sum(inflated) > 300_000  # page 4 itself
+
+
+def test_archives_are_split_and_damage_is_seen(spark, monkeypatch, tmp_path):
+    import gzip
+    import os
+
+    from deskflow.llm import warc
+
+    monkeypatch.setattr(warc, "SPLIT_BYTES", 2000)
+    rows = [(i, f"u{i}", hashlib.sha256(str(i).encode()).hexdigest() * 20) for i in range(60)]
+    for compression in ("gzip", "none"):
+        path = str(tmp_path / compression)
+        df = spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1)
+        write_archives(df, path, compression=compression)
+        files = [f for f in os.listdir(path) if not f.startswith(("_", "."))]
+        parts = WarcReader({"path": path}).partitions()
+        assert len(parts) > len(files) and sum(p.end - p.start for p in parts) == sum(os.path.getsize(f"{path}/{f}") for f in files)
+        assert sorted(r.record_id for r in read_archives(spark, path).collect()) == sorted(f"urn:x-page:{i}" for i in range(60))
+        assert not os.path.exists(f"{path}/_pending")
+    # Any reader of gzip can read it, and archives of other makers are read.
+    name = next(f for f in os.listdir(tmp_path / "gzip") if f.endswith(".gz") and not f.startswith("_"))
+    whole = gzip.decompress((tmp_path / "gzip" / name).read_bytes())
+    (tmp_path / "other").mkdir()
+    (tmp_path / "other" / "a.warc.gz").write_bytes(gzip.compress(whole))
+    (tmp_path / "other" / "b.warc").write_bytes(whole)
+    got = read_archives(spark, str(tmp_path / "other")).groupBy("record_id").count().collect()
+    assert {r["count"] for r in got} == {2} and len(got) == whole.count(b"WARC-Record-ID")
+    assert read_archives(spark, str(tmp_path / "other"), record_id="urn:x-page:0").count() in (0, 2)
+    data = bytearray((tmp_path / "gzip" / name).read_bytes())
+    data[-6] ^= 1
+    (tmp_path / "gzip" / name).write_bytes(bytes(data))
+    with pytest.raises(Exception, match="damaged"):
+        read_archives(spark, str(tmp_path / "gzip")).count()
+
+
 def test_warc_query(spark):
     got = {r.page_id: r for r in op6_warc(spark, SF).collect()}
     table = spark.read.parquet(f"{SF}/pages.parquet").collect()

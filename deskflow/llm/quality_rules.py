@@ -124,26 +124,31 @@ def _bucket(y: Column, lo: Column, hi: Column) -> Column:
     return F.when(hi > lo, F.least(F.floor((y - lo) / (hi - lo) * BUCKETS), F.lit(BUCKETS - 1))).otherwise(0).cast("int")
 
 
-def lower_quantiles(rows: DataFrame, keys: list[str], values: list[Column], q: float) -> DataFrame:
+def _sent(estimates: DataFrame, few: bool) -> DataFrame:
+    return F.broadcast(estimates) if few else estimates
+
+
+def lower_quantiles(rows: DataFrame, keys: list[str], values: list[Column], q: float, few: bool = False) -> DataFrame:
     """``keys``, n and q0, q1, ...: the value of rank ceil(q n) of each of the
     ``values`` (not negative) in a group, or one within a
-    ``BUCKETS``-to-the-``ROUNDS``th part of the range of log1p.
+    ``BUCKETS``-to-the-``ROUNDS``th part of the range of log1p.  ``few``: the
+    groups have been counted to be few enough to broadcast.
 
     The state of a round is a row for each group and value: its least and
     greatest value that can be the one, and how many are below."""
     y = F.array(*[F.struct(F.lit(i).alias("v"), F.log1p(x).alias("y")) for i, x in enumerate(values)])
-    long = rows.select(*keys, F.inline(y))
-    state = long.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("n"), F.min("y").alias("lo"), F.max("y").alias("hi"))
-    state = store(state.withColumn("below", F.lit(0).cast("bigint")), "quantile-range")
-    at = [*keys, "v"]
+    long, at = rows.select(*keys, F.inline(y)), [*keys, "v"]
+    state = long.groupBy(*at).agg(F.count(F.lit(1)).alias("n"), F.min("y").alias("lo"), F.max("y").alias("hi"))
+    state = state.withColumn("below", F.lit(0).cast("bigint"))
     for turn in range(ROUNDS):
-        counted = long.join(_small(state), at).where(F.col("y").between(F.col("lo"), F.col("hi"))).groupBy(
+        state = store(state, "quantile-range") if turn else state
+        counted = long.join(_sent(state, few), at).where(F.col("y").between(F.col("lo"), F.col("hi"))).groupBy(
             *at, "n", "below", _bucket(F.col("y"), F.col("lo"), F.col("hi")).alias("bucket")).agg(
             F.count(F.lit(1)).alias("m"), F.min("y").alias("lo"), F.max("y").alias("hi"))
-        counted = store(counted, "quantile-counts")
         upto = F.col("below") + F.sum("m").over(Window.partitionBy(*at).orderBy("bucket"))  # BUCKETS rows at most
-        here = counted.withColumn("upto", upto).where((F.col("upto") >= F.ceil(F.col("n") * q)) & (F.col("upto") - F.col("m") < F.ceil(F.col("n") * q)))
-        state = store(here.select(*at, "n", "lo", "hi", (F.col("upto") - F.col("m")).alias("below")), "quantile-range")
+        rank = F.ceil(F.col("n") * q)
+        here = counted.withColumn("upto", upto).where((F.col("upto") >= rank) & (F.col("upto") - F.col("m") < rank))
+        state = here.select(*at, "n", "lo", "hi", (F.col("upto") - F.col("m")).alias("below"))
     pick = [F.max(F.when(F.col("v") == i, F.expm1("lo"))).alias(f"q{i}") for i in range(len(values))]
     return state.groupBy(*keys).agg(F.max("n").alias("n"), *pick)
 
@@ -157,10 +162,12 @@ def mcd(rows: DataFrame, key: str, steps: int = 2) -> DataFrame:
     the smaller determinant, then one reweighting step.  ``rows`` holds
     ``key`` and the vector; it is read ``ROUNDS`` + 2 times per step."""
     d = len(VECTOR)
-    med = lower_quantiles(rows, [key], [F.col(v) for v in VECTOR], 0.5)
+    most = MAX_BROADCAST // (2 * d)
+    few = rows.select(key).distinct().limit(most + 1).count() <= most
+    med = lower_quantiles(rows, [key], [F.col(v) for v in VECTOR], 0.5, few)
     med = store(med.select(key, *[F.col(f"q{i}").alias(f"m{i}") for i in range(d)]), "mcd-median")
-    near = rows.join(_small(med), key)
-    mad = lower_quantiles(near, [key], [F.abs(F.col(VECTOR[i]) - F.col(f"m{i}")) for i in range(d)], 0.5)
+    near = rows.join(_sent(med, few), key)
+    mad = lower_quantiles(near, [key], [F.abs(F.col(VECTOR[i]) - F.col(f"m{i}")) for i in range(d)], 0.5, few)
     mad = mad.select(key, *[F.col(f"q{i}").alias(f"mad{i}") for i in range(d)])
     first = store(near.groupBy(key).agg(*_moments(d)).join(mad, key), "mcd-start")
     spread = first.select(key, F.lit(0).alias("start"), "n", *[f"m{i}" for i in range(d)], *[
@@ -171,15 +178,15 @@ def mcd(rows: DataFrame, key: str, steps: int = 2) -> DataFrame:
     keys = [key, "start"]
     for step in range(steps):
         state = store(state.select(*keys, *_columns(d, "logdet")), "mcd-state")
-        cut = lower_quantiles(rows.join(_small(state), key), keys, [_distance(d)], INNER)
+        cut = lower_quantiles(rows.join(_sent(state, few), key), keys, [_distance(d)], INNER, few)
         # The bucket's least value is a little low where it holds others.
         inner = store(state.join(cut.select(*keys, (F.col("q0") * (1 + 1e-9)).alias("cut")), keys), "mcd-cut")
-        sums = rows.join(_small(inner), key).groupBy(*keys).agg(*_moments(d, _distance(d) <= F.col("cut")))
+        sums = rows.join(_sent(inner, few), key).groupBy(*keys).agg(*_moments(d, _distance(d) <= F.col("cut")))
         state = _from_moments(sums, keys, d, CONSISTENCY)
     state = store(state.select(*keys, *_columns(d, "logdet")), "mcd-state")
     best = state.groupBy(key).agg(F.min_by(F.struct(*_columns(d)), F.struct("logdet", "start")).alias("b")).select(key, "b.*")
     best = store(best, "mcd-best")
-    sums = rows.join(_small(best), key).groupBy(key).agg(*_moments(d, _distance(d) <= REWEIGHT), F.count(F.lit(1)).alias("n_rows"))
+    sums = rows.join(_sent(best, few), key).groupBy(key).agg(*_moments(d, _distance(d) <= REWEIGHT), F.count(F.lit(1)).alias("n_rows"))
     final = _from_moments(sums, [key, "n_rows"], d, 1.0)
     return store(final.select(key, F.col("n_rows").alias("n_fitted"), *_columns(d)), "mcd-final")
 

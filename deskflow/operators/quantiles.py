@@ -14,6 +14,7 @@ import math
 from bisect import bisect_right
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -50,10 +51,12 @@ class _Span:
 
 
 def _in_spans(df: DataFrame, spans: list[_Span], what) -> DataFrame:
-    """(span, key) of every value in a span, exploded."""
-    hits = [F.when(_number(s.column).between(s.lo, s.hi), F.struct(F.lit(i).alias("span"), what(i, s).alias("key"), _number(s.column).alias("value")))
-            for i, s in enumerate(spans)]
-    return df.select(F.inline(F.array_compact(F.array(*hits))))
+    """(span, key, value) of every value in a span: rows that are in none go
+    first, the others are unpivoted."""
+    inside = [_number(s.column).between(s.lo, s.hi) for s in spans]
+    cells = [x for i, (s, hit) in enumerate(zip(spans, inside)) for x in (F.lit(i), what(i, s), F.when(hit, _number(s.column)))]
+    some = reduce(lambda a, b: a | b, inside)
+    return df.where(some).select(F.stack(F.lit(len(spans)), *cells).alias("span", "key", "value")).where("value is not null")
 
 
 def _shares(span: _Span, parts: list[tuple[float, float, int]]) -> list[_Span]:

@@ -43,6 +43,28 @@ def test_mark_repeats_shuffles_wide_rows_of_repeated_keys_only(spark):
             assert "wide" not in line
 
 
+def test_rows_without_a_key_are_spread_over_the_tasks_of_the_join(spark):
+    """Too many repeated keys to broadcast, and most rows without a key: no
+    task of the join gets them all."""
+    df = spark.range(0, 8000, 1, 4).select(F.when(F.col("id") % 4 == 0, F.col("id") % 1500).alias("k"), "id")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    before = {c: spark.conf.get(c, None) for c in conf}
+    try:
+        for c, v in conf.items():
+            spark.conf.set(c, v)
+        rows = mark_repeats(df, "k", ["id"]).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v) if v is not None else spark.conf.unset(c)
+    first = {}
+    for r in sorted(rows, key=lambda r: r.id):
+        first.setdefault(r.k, r.id)
+    assert len(rows) == 8000 and all(r["__again"] == (r.k is not None and first[r.k] != r.id) for r in rows)
+    tasks = [r.task for r in rows]
+    assert max(tasks.count(t) for t in set(tasks)) < 2000
+
+
 @pytest.fixture
 def facts(spark):
     rows = [(i, i % 50 if i % 7 else 1000 + i % 3, None if i % 11 == 0 else i % 20) for i in range(2000)]

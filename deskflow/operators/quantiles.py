@@ -124,16 +124,18 @@ def grouped_quantiles(df: DataFrame, by: list[str], column: str, probs: list[flo
     """``by`` columns, n, q0, q1, ...: quantiles of a column within each group
     (a null group key is a group).  The spans of all groups are a table that
     is narrowed round by round, so neither many groups nor one that holds
-    most of the rows gathers values in a task."""
+    most of the rows gathers values in a task.  The group keys and values are
+    stored first: every round reads them again, not what ``df`` is made of."""
     spark = df.sparkSession
     root = work_dir(spark, "quantiles")
-    x = df.select(*[F.col(c).alias(f"g{i}") for i, c in enumerate(by)], _number(column).alias("value")).where("value is not null")
     keys = [f"g{i}" for i in range(len(by))]
 
     def stored(frame: DataFrame, name: str) -> DataFrame:
         frame.write.parquet(f"{root}/{name}")
         return spark.read.schema(frame.schema).parquet(f"{root}/{name}")
 
+    x = df.select(*[F.col(c).alias(k) for k, c in zip(keys, by)], _number(column).alias("value")).where("value is not null")
+    x = stored(x, "values")
     exact = [F.lit(p) * (F.col("n") - 1) for p in probs]
     every = F.array_distinct(F.array(*[f(e).cast("bigint") for e in exact for f in (F.floor, F.ceil)]))
     groups = stored(x.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")), "groups")

@@ -65,6 +65,20 @@ def test_grouped_quantiles(spark, monkeypatch):
     assert quantiles.grouped_quantiles(df.limit(0), ["g"], "x", [0.5]).count() == 0
 
 
+def test_grouped_quantiles_make_their_rows_once(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "BUCKETS", 16)
+    made = spark.sparkContext.accumulator(0)
+
+    def row(i):
+        made.add(1)
+        return (f"g{i % 3}", float(i * i % 997))
+
+    df = spark.createDataFrame(spark.sparkContext.range(0, 600, 1, 3).map(row), "g string, x double")
+    got = {r.g: (r.n, r.q0) for r in quantiles.grouped_quantiles(df, ["g"], "x", [0.5]).collect()}
+    assert got == {f"g{k}": (200, statistics.median(float(i * i % 997) for i in range(k, 600, 3))) for k in range(3)}
+    assert made.value == 600
+
+
 def test_describe_matches_statistics(spark):
     xs = values("hot")
     df = spark.createDataFrame([(x, int(x) % 5, "a" if x > 0 else None) for x in xs], "x double, k int, t string")

@@ -11,15 +11,16 @@ id, and a committed batch that is delivered again is passed over.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import asdict, dataclass, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from deskflow.sources import files
 
 MARK = "_mark"
+CHUNK = "chunk-"
 
 
 @dataclass(frozen=True)
@@ -72,21 +73,39 @@ class ChunkTable:
 
 
 def drain(spark: SparkSession, landing: str, schema: T.StructType, checkpoint: str,
-          load: Callable[[DataFrame, int], None], files_per_batch: int = 1) -> None:
+          load: Callable[[DataFrame, int], None], files_per_batch: int | None = 1) -> None:
     """Hand the landing folder's new files to ``load``, oldest first and a
-    few a micro-batch, until none is left (available-now trigger).  Progress
-    is kept in the stream's checkpoint folder."""
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing)
+    few a micro-batch (None: all that are there), until none is left
+    (available-now trigger).  Progress is kept in the stream's checkpoint
+    folder."""
+    source = spark.readStream.schema(schema)
+    if files_per_batch is not None:
+        source = source.option("maxFilesPerTrigger", files_per_batch)
+    stream = (source.parquet(landing)
               .writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
               .trigger(availableNow=True).start())
     stream.awaitTermination()
 
 
 def land_chunks(df: DataFrame, landing: str, order: str, bounds: list) -> None:
-    """Write rows as one file for each range of ``order`` between the
-    bounds, in turn (the test stand-in for chunks that arrive over time)."""
+    """Write rows as one chunk folder for each range of ``order`` between the
+    bounds, in turn (the test stand-in for chunks that arrive over time).  A
+    chunk is sorted over as many files as its size asks for; rows equal in
+    ``order`` stay in one file, as they came."""
     cuts = [None, *bounds, None]
-    for lo, hi in zip(cuts, cuts[1:]):
+    for i, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
         tests = ([df[order] >= lo] if lo is not None else []) + ([df[order] < hi] if hi is not None else [])
         part = df.where(reduce(lambda a, b: a & b, tests)) if tests else df
-        part.coalesce(1).write.mode("append").parquet(landing)
+        part = part.withColumn("__tie", F.monotonically_increasing_id()).repartitionByRange(order)
+        part.sortWithinPartitions(order, "__tie").drop("__tie").write.mode("append").parquet(f"{landing}/{CHUNK}{i:09d}")
+
+
+def landed(spark: SparkSession, landing: str, checkpoint: str, files_per_batch: int) -> Iterator[tuple[str, str, int | None]]:
+    """(folder, checkpoint, files a micro-batch) of the streams that drain a
+    landing folder, in turn: each chunk folder is one stream of one batch;
+    without such folders the files in ``landing`` are one stream."""
+    names = sorted(name for name in files.folder_names(spark, landing) if name.startswith(CHUNK))
+    if not names:
+        yield landing, checkpoint, files_per_batch
+    for name in names:
+        yield f"{landing}/{name}", f"{checkpoint}/{name}", None

@@ -15,13 +15,14 @@ high-water mark; tickets with ids are keyed by them in the same way.
 from __future__ import annotations
 
 import datetime as _dt
+from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from deskflow import schemas
 from deskflow.plans import etl
-from deskflow.streaming.chunks import ChunkTable, drain
+from deskflow.streaming.chunks import ChunkTable, drain, landed
 
 ACCEPTED_SCHEMA = T.StructType([
     T.StructField("seq", T.LongType()), T.StructField("site_id", T.IntegerType()),
@@ -99,11 +100,12 @@ def run_ticket_stream(spark: SparkSession, landing: str, raw_schema: T.StructTyp
                       target: str, checkpoint: str, as_of: _dt.datetime = etl.AS_OF, files_per_batch: int = 1) -> DataFrame:
     """Drain raw tickets from the landing folder into ``target`` and return
     the accepted rows.  Each chunk takes as many ids as it has rows, rejected
-    ones too, as the batch load does."""
+    ones too, as the batch load does.  A chunk is a chunk folder, or a few
+    files where the landing folder holds files only."""
     table = ticket_table(spark, target)
     supplied = "ticket_id" in etl.rename_ticket_columns_names(raw_schema.names)
 
-    def load_batch(batch: DataFrame, epoch: int) -> None:
+    def load_batch(stream: str, batch: DataFrame, epoch: int) -> None:
         def build(mark):
             batch.persist(StorageLevel.MEMORY_AND_DISK)
             held.append(batch)
@@ -114,10 +116,11 @@ def run_ticket_stream(spark: SparkSession, landing: str, raw_schema: T.StructTyp
 
         held: list[DataFrame] = []
         try:
-            table.commit(checkpoint, epoch, build)
+            table.commit(stream, epoch, build)
         finally:
             for df in held:
                 df.unpersist()
 
-    drain(spark, landing, raw_schema, checkpoint, load_batch, files_per_batch)
+    for folder, progress, some in landed(spark, landing, checkpoint, files_per_batch):
+        drain(spark, folder, raw_schema, progress, partial(load_batch, progress), some)
     return table.read("accepted")

@@ -2,6 +2,7 @@
 chunks commit with their ids, corrupt CSV records are kept."""
 
 import tempfile
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -136,6 +137,24 @@ def test_ticket_stream_equals_batch_after_a_replay(spark, wh, monkeypatch):
     assert run().count() == want.count()  # nothing new
 
 
+def test_a_chunk_of_many_files_is_one_batch(spark, wh):
+    """Chunks are written by as many tasks as they need; ids still follow
+    the rows' order, rows of one seq theirs in the source."""
+    base, setting = folder("tickets"), "spark.sql.adaptive.coalescePartitions.enabled"
+    raw = wh.raw_ticket.withColumn("seq", F.floor(F.col("seq") / 3))
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        chunks.land_chunks(raw, f"{base}/landing", "seq", [100, 300])
+    finally:
+        spark.conf.set(setting, before)
+    assert len(list(Path(f"{base}/landing").rglob("*.parquet"))) > 3
+    got = incremental.run_ticket_stream(spark, f"{base}/landing", raw.schema, wh.dims(), f"{base}/t", f"{base}/c")
+    want = files.align(etl.load_fact_ticket(raw, wh.dims())[0], schemas.FACT_TICKET)
+    assert incremental.ticket_table(spark, f"{base}/t").mark().chunk == 2
+    assert got.count() == raw.count() and got.exceptAll(want).count() == 0
+
+
 def test_a_committed_batch_is_passed_over(spark):
     schema = T.StructType([T.StructField("x", T.LongType())])
     table = chunks.ChunkTable(spark, folder("chunks"), {"accepted": schema}, first_id=5)

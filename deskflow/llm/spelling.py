@@ -128,12 +128,19 @@ def grams(words: DataFrame) -> DataFrame:
     return words.select(F.col("word").alias("other"), F.col("n").alias("other_n"), F.inline(F.array(*parts)))
 
 
+def _sorted(side: DataFrame) -> DataFrame:
+    """A side of a join that is never broadcast: Spark sizes it by the stored
+    file, without the rows that ``inline`` adds and with packed words, so that
+    a table sized at 10 MB may take the driver hundreds."""
+    return side.hint("merge")
+
+
 def near_words(words: DataFrame) -> DataFrame:
     """word, n, near, near_n: each ordered pair of near words once."""
     c, g = chunks(words), grams(words)
     same = (c["len"] == g["of"]) & (c["chunk"] == g["at"]) & (c["gram"] == g["piece"])
     once = (F.length("other") > F.col("len")) | (F.col("word") < F.col("other"))
-    met = c.join(g, same & once & (F.levenshtein("word", "other", 1) == 1))
+    met = c.join(_sorted(g), same & once & (F.levenshtein("word", "other", 1) == 1))
     pairs = met.select("word", "n", F.col("other").alias("near"), F.col("other_n").alias("near_n")).distinct()
     return pairs.unionByName(pairs.select(F.col("near").alias("word"), F.col("near_n").alias("n"),
                                           F.col("word").alias("near"), F.col("n").alias("near_n")))
@@ -145,7 +152,7 @@ def roots(forms: DataFrame) -> DataFrame:
     at = store(forms.select("word", F.col("form").alias("root"), F.lit(True).alias("moved")), "spelling-forms")
     while not at.where("moved").isEmpty():
         on = at.select(F.col("word").alias("w2"), F.col("root").alias("r2"))
-        step = at.join(on, F.col("root") == F.col("w2"), "left")
+        step = at.join(_sorted(on), F.col("root") == F.col("w2"), "left")
         at = store(step.select("word", F.coalesce("r2", "root").alias("root"), F.col("r2").isNotNull().alias("moved")), "spelling-roots")
     return at.select("word", "root")
 
@@ -160,6 +167,6 @@ def spelling_groups(docs: DataFrame, every: int = 97, least: int = 5, seen: int
                              F.when(has, -F.col("best.less")).alias("form_n")), "spelling-near")
     with scratch(docs.sparkSession):
         ends = store(roots(best.where("form is not null")), "spelling-ends", keep=True)
-    out = words.join(best, "word", "left").join(ends, "word", "left")
+    out = words.join(_sorted(best), "word", "left").join(_sorted(ends), "word", "left")
     return out.select("word", "form", F.coalesce("root", "word").alias("root"), "n",
                       F.coalesce("n_near", F.lit(0).cast("bigint")).alias("n_near"), "form_n")

@@ -2,6 +2,7 @@ import re
 import zlib
 from collections import Counter
 
+from deskflow.llm import spelling
 from deskflow.llm.queries import QUERIES
 from deskflow.llm.spelling import near_words, roots, spelling_groups, text_words
 
@@ -84,3 +85,22 @@ def test_roots_of_a_long_chain(spark):
     chain = [(f"w{i:02}", f"w{i + 1:02}") for i in range(37)]
     got = {r["word"]: r["root"] for r in roots(spark.createDataFrame(chain, "word string, form string")).collect()}
     assert got == {f"w{i:02}": "w37" for i in range(37)}
+
+
+def test_no_join_rests_on_an_estimated_size(make, monkeypatch):
+    """Every table here is below Spark's broadcast threshold, as the stored
+    words of a larger corpus may seem to be before they are cut."""
+    plans, kept = [], spelling.store
+
+    def noted(df, *args, **named):
+        plans.append(df)
+        return kept(df, *args, **named)
+
+    monkeypatch.setattr(spelling, "store", noted)
+    words = {"colour": 40, "color": 18, "colon": 9, "colonx": 3}
+    rows = [(k, " ".join([w] * c)) for k, (w, c) in enumerate(words.items())]
+    out = spelling_groups(make(rows), every=1 << 40)
+    assert grouped(out) == brute(counted(rows, every=1 << 40))
+    shown = [df._jdf.queryExecution().executedPlan().toString() for df in [*plans, out]]
+    assert not any("Broadcast" in x for x in shown)
+    assert sum("SortMergeJoin" in x for x in shown) == 5  # near words, three doublings, the result
